@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rosterline.functions.columns import file_safe
+from rosterline.schemas import empty_table
 from rosterline.workspace import committed_children
 
 
@@ -71,40 +73,40 @@ def write_per_report(df: DataFrame, path: str, title: str) -> None:
 
 
 class HistoryParts:
-    """A stored history in two parts: closed versions are only added, current ones rewritten.
+    """A stored history, batch by batch: closed versions are only added, current ones rewritten.
 
-    Every batch writes ``closed/batch=N`` and then ``current/batch=N``; the second commits
-    it. Repeating a batch overwrites both with the same rows, so a replay is harmless.
+    Batch ``N`` writes ``batch=N`` with one part per value of the current flag. The history
+    is the closed part of every committed batch and the current part of the last. Storing
+    a batch again overwrites it with the same rows, so a replay is harmless.
     """
 
-    def __init__(self, spark: SparkSession, base: str, schema: str, current: str = "is_current") -> None:
+    def __init__(self, spark: SparkSession, base: str, schema: StructType, current: str = "is_current") -> None:
         self.spark, self.base, self.schema, self.flag = spark, base, schema, current
 
-    def last_batch(self, before: int | None = None) -> int | None:
-        batches = committed_children(self.spark, f"{self.base}/current", "batch=")
-        batches = [b for b in batches if before is None or b < before]
-        return batches[-1] if batches else None
+    def batches(self, before: int | None = None) -> list[int]:
+        numbers = committed_children(self.spark, self.base, "batch=")
+        return [n for n in numbers if before is None or n < before]
+
+    def _read(self, numbers: list[int]) -> DataFrame:
+        paths = [f"{self.base}/batch={n}" for n in numbers]
+        with_batch = StructType([*self.schema.fields, StructField("batch", IntegerType())])
+        return self.spark.read.schema(with_batch).option("basePath", self.base).parquet(*paths)
 
     def current(self, before: int | None = None) -> DataFrame:
-        batch = self.last_batch(before)
-        if batch is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.base}/current/batch={batch}")
-
-    def store(self, batch: int, versions: DataFrame) -> None:
-        """Stores what a batch left current and what it closed."""
-        staged = f"{self.base}/staged/batch={batch}"
-        versions.write.mode("overwrite").parquet(staged)
-        rows = self.spark.read.schema(self.schema).parquet(staged)
-        rows.where(~F.col(self.flag)).write.mode("overwrite").parquet(f"{self.base}/closed/batch={batch}")
-        rows.where(self.flag).write.mode("overwrite").parquet(f"{self.base}/current/batch={batch}")
+        """Versions that batch ``before`` finds open; all that are open without it."""
+        numbers = self.batches(before)
+        if not numbers:
+            return empty_table(self.spark, self.schema)
+        return self._read(numbers[-1:]).where(self.flag).select(*self.schema.names)
+
+    def store(self, number: int, versions: DataFrame) -> None:
+        """Stores what a batch left open and what it closed."""
+        versions.write.mode("overwrite").partitionBy(self.flag).parquet(f"{self.base}/batch={number}")
 
     def read(self) -> DataFrame:
         """All versions as of the last committed batch."""
-        batch = self.last_batch()
-        current = self.current()
-        closed = committed_children(self.spark, f"{self.base}/closed", "batch=")
-        paths = [f"{self.base}/closed/batch={b}" for b in closed if batch is not None and b <= batch]
-        if not paths:
-            return current
-        return current.unionByName(self.spark.read.schema(self.schema).parquet(*paths))
+        numbers = self.batches()
+        if not numbers:
+            return empty_table(self.spark, self.schema)
+        rows = self._read(numbers)
+        return rows.where(~F.col(self.flag) | (F.col("batch") == numbers[-1])).select(*self.schema.names)
