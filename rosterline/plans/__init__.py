@@ -6,7 +6,7 @@ import importlib
 
 from rosterline.plans.registry import BUILDS, SQL, Build
 
-MODULES = ("access", "histories")
+MODULES = ("access", "devices", "histories")
 
 
 def _load() -> None:
