@@ -84,6 +84,20 @@ def with_neighbours(
     )
 
 
+def numbered(df: DataFrame, keys: list[str], order: str, chunk: Column, name: str) -> DataFrame:
+    """Adds a number from 0 per key in ``order``, counted chunk by chunk (see ``with_neighbours``)."""
+    rows = df.withColumn("__chunk", chunk)
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__rows")).select(
+        *keys, "__chunk", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset")
+    )
+    inside = F.row_number().over(Window.partitionBy(*keys, "__chunk").orderBy(order)) - 1
+    return (
+        rows.withColumn("__inside", inside).join(offsets, [*keys, "__chunk"])
+        .withColumn(name, F.col("__inside") + F.col("__offset")).select(*df.columns, name)
+    )
+
+
 def mapped_rows(df: DataFrame, keys: list[str], function, output: str, key_schema: str) -> DataFrame:
     """Runs ``function(key values) -> list of rows`` for every distinct key, in Arrow batches.
 

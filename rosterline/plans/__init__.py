@@ -6,7 +6,7 @@ import importlib
 
 from rosterline.plans.registry import BUILDS, SQL, Build
 
-MODULES = ("access", "devices", "histories")
+MODULES = ("access", "controls", "devices", "histories", "ingest")
 
 
 def _load() -> None:

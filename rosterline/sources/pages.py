@@ -159,11 +159,12 @@ def fan_out(keys: DataFrame, pages: DataFrame, key: str) -> DataFrame:
     its absence of records must not be read as a removal. A key without records gives one
     row whose ``record`` is NULL.
     """
-    status = batch_status(pages, (key,)).select(key, F.col("is_complete").alias("key_complete"))
-    records = flatten_pages(pages, only_complete=False, batch=(key,)).select(key, "page_seq", "position", "record")
-    wanted = keys.select(key).distinct()
-    return (
-        wanted.join(status, key, "left")
-        .join(records, key, "left")
-        .withColumn("key_complete", F.coalesce("key_complete", F.lit(False)))
+    status = batch_status(pages, (key,)).select(key, "records", "is_complete")
+    wanted = keys.select(key).distinct().join(status, key, "left").select(
+        key,
+        F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("is_complete", F.lit(False)).alias("key_complete"),
     )
+    records = flatten_pages(pages, only_complete=False, batch=(key,)).select(key, "page_seq", "position", "record")
+    held = records.join(wanted.drop("records"), key)
+    return held.unionByName(wanted.where("records = 0").drop("records"), allowMissingColumns=True)
