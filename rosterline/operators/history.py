@@ -133,6 +133,7 @@ def scd2_from_feed(
     unique_ts: bool = False,
     chunk: Column | None = None,
     validity: Validity = Validity(),
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Replays an ordered change feed into versions.
 
@@ -142,6 +143,7 @@ def scd2_from_feed(
     ``unique_ts=True`` states that there are none and saves that shuffle. One integral
     ``seq`` is cut into chunks by itself; for any other give ``chunk``, a number that
     grows along ``seq`` (see ``with_neighbours``). Rows with a NULL key are left out.
+    ``carried`` columns are not compared; a version has those of the row that opened it.
     """
     order = [seq] if isinstance(seq, str) else list(seq)
     removed = F.lit(False) if removed is None else F.coalesce(removed, F.lit(False))
@@ -151,7 +153,7 @@ def scd2_from_feed(
     )
     chunk = in_chunks(order[0]) if chunk is None else chunk
     rows = feed.where(valid).select(
-        *keys, *order, F.col(ts).alias("__ts"), state.alias("__state"), chunk.alias("__chunk")
+        *keys, *order, F.col(ts).alias("__ts"), state.alias("__state"), chunk.alias("__chunk"), *carried
     )
     if not unique_ts:
         rows = latest_per_key(rows, [*keys, "__ts"], order)
@@ -165,6 +167,7 @@ def scd2_from_feed(
     return timed.where(~F.col("__state.gone")).select(
         *keys,
         *[F.col(f"__state.{c}").alias(c) for c in tracked],
+        *carried,
         F.col("__ts").alias(validity.start),
         F.col("__next").alias(validity.end),
         F.col("__next").isNull().alias(validity.current),
@@ -204,7 +207,7 @@ def apply_actions(
 
 def apply_feed(
     history: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], ts: str, seq: str,
-    removed: str | None = None, validity: Validity = Validity(),
+    removed: str | None = None, validity: Validity = Validity(), carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Versions after a batch of attribute changes; the batch may hold many rows per key.
 
@@ -215,13 +218,15 @@ def apply_feed(
     untouched = open_rows.join(touched, keys, "left_anti")
     flag = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
     entering = open_rows.join(touched, keys, "left_semi").select(
-        *keys, *tracked, F.col(validity.start).alias(ts), F.lit(-1).cast("bigint").alias(seq),
+        *keys, *tracked, *carried, F.col(validity.start).alias(ts), F.lit(-1).cast("bigint").alias(seq),
         F.lit(False).alias("__removed"),
     )
     feed = entering.unionByName(
-        batch.select(*keys, *tracked, ts, F.col(seq).cast("bigint").alias(seq), flag.alias("__removed"))
+        batch.select(*keys, *tracked, *carried, ts, F.col(seq).cast("bigint").alias(seq), flag.alias("__removed"))
+    )
+    replayed = scd2_from_feed(
+        feed, keys, tracked, ts, seq, F.col("__removed"), validity=validity, carried=carried
     )
-    replayed = scd2_from_feed(feed, keys, tracked, ts, seq, F.col("__removed"), validity=validity)
     columns = replayed.columns
     return closed.select(*columns).unionByName(untouched.select(*columns)).unionByName(replayed)
 

@@ -41,6 +41,15 @@ def in_chunks(seq: str, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(F.col(seq) / F.lit(rows)).cast("bigint")
 
 
+def in_time_chunks(df: DataFrame, ts: str, minutes: int = 1) -> Column:
+    """A chunk number for rows ordered by time: the count of ``minutes`` spans before them."""
+    if df.schema[ts].dataType.simpleString() == "timestamp":
+        total = F.floor(F.unix_seconds(ts) / 60)
+    else:
+        total = F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return F.floor(total / minutes).cast("bigint")
+
+
 def with_neighbours(
     df: DataFrame,
     keys: list[str],

@@ -6,7 +6,7 @@ import importlib
 
 from rosterline.plans.registry import BUILDS, SQL, Build
 
-MODULES = ("access", "controls", "devices", "histories", "ingest")
+MODULES = ("access", "controls", "devices", "histories", "ingest", "lifecycles")
 
 
 def _load() -> None:

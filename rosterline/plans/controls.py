@@ -65,7 +65,7 @@ def dq_validity_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     spoiled = membership(spark, sf_dir).withColumns(
         {"valid_to": late, "is_current": F.col("is_current") | (F.col("member_id") == 7)}
     )
-    return Q.validity_violations(spoiled, MEMBER, F.unix_date(F.to_date("valid_from")))
+    return Q.validity_violations(spoiled, MEMBER)
 
 
 @query("""

@@ -43,7 +43,7 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMEST
 """)
 def snapshot_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed_snapshots(spark, sf_dir)
-    declared = schemas.schema(f"{SNAPSHOT_DDL}, {schemas.CORRUPT_COLUMN} STRING, {schemas.PARTITION_DDL}")
+    declared = f"{SNAPSHOT_DDL}, {schemas.CORRUPT_COLUMN} STRING, {schemas.PARTITION_DDL}"
     day = snapshots.read_snapshot(spark, path, declared, snapshots.parse_day("1997-05-01"))
     absent = snapshots.read_snapshot(spark, f"{path}-absent", declared)
     return day.unionByName(absent).drop(schemas.CORRUPT_COLUMN)
@@ -55,12 +55,12 @@ SELECT o_orderkey, TIMESTAMP '2024-01-31' AS ingestion_timestamp, 'year=1997/mon
 FROM orders WHERE o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-06-01'
 """)
 def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    declared = schemas.schema(f"{SNAPSHOT_DDL}, {schemas.PARTITION_DDL}")
+    declared = f"{SNAPSHOT_DDL}, {schemas.PARTITION_DDL}"
     day = date(1997, 5, 1)
     rows = snapshots.read_snapshot(spark, _landed_snapshots(spark, sf_dir), declared, day)
     added = snapshots.with_ingest_columns(rows, inputs.AS_OF, day)
     return added.select(
-        "o_orderkey", F.col("ingestion_timestamp").cast("timestamp_ntz").alias("ingestion_timestamp"),
+        "o_orderkey", "ingestion_timestamp",
         F.regexp_extract("source_file_name", r"(year=\d+/month=\d+/day=\d+)", 1).alias("partition"),
         "snapshot_date", "snapshot_year", "snapshot_month", "snapshot_day",
     )
@@ -182,7 +182,7 @@ ends AS (SELECT batch, max_by(event_type, event_id) AS last_type, max(event_id)
          FROM rows GROUP BY 1)"""
 
 
-def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed as pages of 100 group records, ten pages to a batch.
 
     A batch whose last event is an error ends without a delta link: it was cut off.
@@ -212,7 +212,7 @@ def _landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_last & (F.col("last_type") != "error"), link).alias("@odata.deltaLink"),
     )
     path = fresh_dir(spark, "pages")
-    envelopes.write.json(path)
+    envelopes.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     return feed.read_pages(spark, path, schemas.GROUP_RECORD)
 
 
@@ -224,7 +224,7 @@ SELECT CAST(batch AS VARCHAR) AS batch_id, page AS page_seq, CAST(event_id % 100
 FROM rows JOIN ends USING (batch) WHERE last_type <> 'error'
 """)
 def change_page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = feed.flatten_pages(_landed_pages(spark, sf_dir))
+    records = feed.flatten_pages(landed_pages(spark, sf_dir))
     return feed.link_changes(records, "members@delta", "member_id").select(
         "batch_id", "page_seq", "position", "group_id", "member_id", "action"
     )
@@ -237,7 +237,7 @@ SELECT CAST(batch AS VARCHAR) AS batch_id, CASE WHEN last_type <> 'error' THEN '
 FROM rows JOIN ends USING (batch) GROUP BY batch, last_type
 """)
 def batch_page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_progress(feed.batch_status(_landed_pages(spark, sf_dir)))
+    return batch_progress(feed.batch_status(landed_pages(spark, sf_dir)))
 
 
 # --- fan-out per key ---------------------------------------------------------------------
@@ -306,9 +306,7 @@ def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actions landed week by week; every landing is applied before the next."""
     landing, base, checkpoint = (fresh_dir(spark, name) for name in ("actions", "history", "progress"))
     rows = inputs.actions(spark, sf_dir)
-    declared = schemas.schema(
-        "group_id BIGINT, member_id BIGINT, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN"
-    )
+    declared = "group_id BIGINT, member_id BIGINT, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN"
     store = sinks.HistoryParts(spark, base, declared)
     day = F.dayofmonth("ts")
     for week in (day <= 8, (day > 8) & (day <= 16), (day > 16) & (day <= 24), day > 24):

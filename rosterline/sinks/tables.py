@@ -80,8 +80,9 @@ class HistoryParts:
     a batch again overwrites it with the same rows, so a replay is harmless.
     """
 
-    def __init__(self, spark: SparkSession, base: str, schema: StructType, current: str = "is_current") -> None:
-        self.spark, self.base, self.schema, self.flag = spark, base, schema, current
+    def __init__(self, spark: SparkSession, base: str, schema: str, current: str = "is_current") -> None:
+        self.spark, self.base, self.flag = spark, base, current
+        self.schema = StructType.fromDDL(schema)
 
     def batches(self, before: int | None = None) -> list[int]:
         numbers = committed_children(self.spark, self.base, "batch=")

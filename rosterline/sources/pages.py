@@ -8,27 +8,21 @@ batch carries a delta link.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from rosterline.functions.columns import principal_type
-from rosterline.schemas import schema
 
 BATCH = ("scope", "batch_id")
 
 
-def envelope_schema(record: StructType) -> StructType:
-    head = schema("scope STRING, batch_id STRING, page_seq BIGINT, received_ts TIMESTAMP_NTZ, error STRING")
-    return StructType(
-        head.fields
-        + [
-            StructField("value", ArrayType(record)),
-            StructField("@odata.nextLink", StringType()),
-            StructField("@odata.deltaLink", StringType()),
-        ]
+def envelope_schema(record: str) -> str:
+    """The envelope around records of a DDL layout."""
+    return (
+        "scope STRING, batch_id STRING, page_seq BIGINT, received_ts TIMESTAMP_NTZ, error STRING, "
+        f"value ARRAY<STRUCT<{record}>>, `@odata.nextLink` STRING, `@odata.deltaLink` STRING"
     )
 
 
-def read_pages(spark: SparkSession, path: str, record: StructType) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, record: str) -> DataFrame:
     """Envelopes below ``path`` with ``next_link`` and ``delta_link`` columns."""
     return (
         spark.read.schema(envelope_schema(record)).json(path)
@@ -90,7 +84,7 @@ def group_rows(records: DataFrame, keep: tuple[str, ...] = ("batch_id", "receive
         r.getField("mailEnabled").alias("mail_enabled"),
         r.getField("groupTypes").alias("group_types"),
         r.getField("description").alias("description"),
-        F.try_to_timestamp(r.getField("lastModifiedDateTime")).alias("last_modified"),
+        F.try_to_timestamp(r.getField("lastModifiedDateTime")).cast("timestamp_ntz").alias("last_modified"),
         F.to_json(r).alias("raw_json"),
         *keep,
         *[c for c in ("page_seq", "position") if c in records.columns],
@@ -145,7 +139,7 @@ def user_rows(records: DataFrame, keep: tuple[str, ...] = ("batch_id", "received
         r.getField("mail").alias("mail"),
         r.getField("accountEnabled").alias("account_enabled"),
         r.getField("@removed").isNotNull().alias("removed"),
-        F.try_to_timestamp(r.getField("lastModifiedDateTime")).alias("last_modified"),
+        F.try_to_timestamp(r.getField("lastModifiedDateTime")).cast("timestamp_ntz").alias("last_modified"),
         F.to_json(r).alias("raw_json"),
         *keep,
         *[c for c in ("page_seq", "position") if c in records.columns],
