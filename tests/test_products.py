@@ -1,0 +1,134 @@
+"""Directory and site products on small tables."""
+
+import json
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from rosterline import schemas
+from rosterline.products import directory as D, sites
+from rosterline.schemas import empty_table
+from rosterline.sources import pages as P
+
+T0, T1 = datetime(2025, 1, 1), datetime(2025, 1, 2)
+
+
+def as_set(df, *columns):
+    return {tuple(r) for r in (df.select(*columns) if columns else df).collect()}
+
+
+def feed(spark, tmp_path, record, batches):
+    lines = []
+    for number, values in enumerate(batches):
+        lines.append(json.dumps({"scope": "s", "batch_id": f"b{number}", "page_seq": 0, "received_ts": f"2025-01-0{number + 1}T00:00:00.000000",
+                                 "value": values, "@odata.deltaLink": "t"}))
+    (tmp_path / "f.json").write_text("\n".join(lines))
+    return P.flatten_pages(P.read_pages(spark, str(tmp_path), record))
+
+
+def test_user_versions(spark, tmp_path):
+    user = {"id": "u", "userPrincipalName": "u@x", "displayName": "U", "mail": None, "accountEnabled": True}
+    records = feed(spark, tmp_path, schemas.USER_RECORD, [
+        [user], [dict(user)], [{**user, "mail": "m"}], [{"id": "u", "@removed": {"reason": "deleted"}}]])
+    history = D.user_history(P.user_rows(records))
+    day = [datetime(2025, 1, i) for i in range(1, 5)]
+    assert as_set(history, "mail", "valid_from", "valid_to", "is_current", "source_run_id") == {
+        (None, day[0], day[2], False, "b0"), ("m", day[2], day[3], False, "b2")}
+
+
+def test_users_advance_batch_by_batch(spark, tmp_path):
+    user = {"id": "u", "userPrincipalName": "u@x", "displayName": "U", "mail": None, "accountEnabled": True}
+    rows = P.user_rows(feed(spark, tmp_path, schemas.USER_RECORD, [[user], [{**user, "displayName": "V"}], [{**user, "displayName": "V"}]]))
+    rows = rows.withColumn("n", F.col("position").cast("bigint"))
+    whole = D.user_history(rows)
+    history = D.user_history(rows.where("batch_id = 'b0'"))
+    for batch in ("b1", "b2"):
+        history = D.advance_users(history, rows.where(F.col("batch_id") == batch), "n")
+    assert as_set(history, *whole.columns) == as_set(whole)
+
+
+def test_group_and_link_versions(spark, tmp_path):
+    group = {"id": "g", "displayName": "G", "mail": "g@x", "securityEnabled": True, "description": "d", "members@delta": [{"id": "m"}]}
+    records = feed(spark, tmp_path, schemas.GROUP_RECORD, [
+        [group], [{**group, "description": "e", "members@delta": [{"id": "m", "@removed": {"reason": "x"}}]}], [{"id": "g", "@removed": {"reason": "deleted"}}]])
+    groups = D.group_history(P.group_rows(records))
+    assert as_set(groups, "description", "valid_from", "valid_to") == {("d", datetime(2025, 1, 1), datetime(2025, 1, 3))}
+    links = D.link_history(P.link_changes(records, "members@delta", "member_object_id", keep=("batch_id", "received_ts")), "member_object_id")
+    assert as_set(links) == {("g", "m", datetime(2025, 1, 1), datetime(2025, 1, 2), False)}
+
+
+def test_snapshot_members_are_only_added(spark):
+    members = spark.createDataFrame([("g", "a"), ("g", "a")], schemas.GROUP_MEMBERS)
+    once = D.members_from_snapshot(empty_table(spark, schemas.GROUP_MEMBERSHIP), members, T0)
+    again = D.members_from_snapshot(once, spark.createDataFrame([("g", "b")], schemas.GROUP_MEMBERS), T1)
+    assert as_set(again, "member_object_id", "valid_from", "is_current") == {("a", T0, True), ("b", T1, True)}
+    owners = spark.createDataFrame([("g", "o")], schemas.GROUP_OWNERS)
+    assert D.owners_from_snapshot(empty_table(spark, schemas.GROUP_OWNERSHIP), owners, T0).count() == 1
+
+
+def test_closure_reads_current_rows_only(spark):
+    validity = [(T0, None, True), (T0, T1, False)]
+    members = spark.createDataFrame([("g", "u", *validity[0], None), ("g", "old", *validity[1], None)], schemas.GROUP_MEMBERSHIP)
+    users = spark.createDataFrame([("u", *validity[0]), ("old", *validity[0])], f"user_object_id STRING, {schemas.VALIDITY}")
+    groups = spark.createDataFrame([("g", *validity[0])], f"aad_group_id STRING, {schemas.VALIDITY}")
+    assert as_set(D.transitive_members(members, groups, users, T1)) == {("g", "u", T1, None, True)}
+
+
+def test_owner_history_spares_groups_fetched_in_part(spark):
+    record = "STRUCT<id: STRING, displayName: STRING, userPrincipalName: STRING>"
+    def fetched(rows):
+        return spark.createDataFrame(rows, f"group_id STRING, record {record}, key_complete BOOLEAN")
+    day0 = fetched([("g1", ("a", "A", "a@"), True), ("g2", ("b", "B", "b@"), True)])
+    day1 = fetched([("g1", None, False), ("g2", None, True)])
+    history = D.owner_history(None, *D.owner_rows(day0), T0)
+    assert history.columns == [c.split()[0] for c in schemas.OWNER_HISTORY.split(", ")]
+    history = D.owner_history(history, *D.owner_rows(day1), T1)
+    assert as_set(history, "group_id", "is_current", "end_date") == {("g1", True, None), ("g2", False, T1)}
+
+
+def test_groups_to_ask(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", T0)], "id STRING, deletedDate TIMESTAMP_NTZ")
+    assert as_set(D.groups_to_ask(df)) == {("a",)}
+
+
+def raw(spark, *records):
+    return spark.createDataFrame([(json.dumps(r), "file") for r in records], "_raw_data STRING, source_file STRING")
+
+
+def test_site_versions_from_json(spark):
+    site = {"id": "s", "webUrl": "w", "name": "n", "parentSiteId": None}
+    history = sites.site_history(empty_table(spark, schemas.DIM_SITE), raw(spark, site), T0)
+    history = sites.site_history(history, raw(spark, {**site, "name": None}), T1)
+    assert as_set(history, "title", "valid_from", "valid_to", "source_run_id") == {("n", T0, T1, "file"), (None, T1, None, "file")}
+
+
+def test_assignments_twice_change_nothing_and_absent_ones_end(spark):
+    rows = [{"resourceId": r, "principalId": "p", "roleDefinitionId": "d", "isInherited": "true", "siteId": "s"} for r in "xy"]
+    first = sites.assignment_history(empty_table(spark, schemas.ROLE_ASSIGNMENTS_JSON), raw(spark, *rows), T0)
+    assert as_set(sites.assignment_history(first, raw(spark, *rows), T1)) == as_set(first)
+    after = sites.assignment_history(first, raw(spark, rows[0]), T1)
+    assert as_set(after, "resource_id", "is_current", "is_inherited") == {("x", True, True), ("y", False, True)}
+
+
+def test_role_definitions_are_distinct_by_name(spark):
+    role = {"roleDefinitionId": "1", "roleName": "Read", "basePermissions": "r", "isCustomRole": "false"}
+    got = sites.role_definitions(raw(spark, role, role))
+    assert got.columns == [c.split()[0] for c in schemas.ROLE_DEFINITIONS.split(", ")] and got.count() == 1
+
+
+def test_entitlements_of_current_versions(spark):
+    permissions = spark.createDataFrame(
+        [("r", "doc", "s", "sg", "SharePointGroup", None, "d", False), ("r", "doc", "s", "ext", "B2BUser", "l", "d", False)], schemas.PERMISSIONS)
+    roles = sites.current_assignments(permissions, T0)
+    groups = sites.site_group_history(empty_table(spark, schemas.SITE_GROUP_MEMBERSHIP), raw(spark, {"groupId": "sg", "userId": "u"}), T0)
+    users = spark.createDataFrame([("u", T0, None, True)], f"user_object_id STRING, {schemas.VALIDITY}")
+    closure = empty_table(spark, schemas.TRANSITIVE_MEMBERSHIP)
+    got = sites.user_entitlements(roles, groups, closure, users)
+    assert got.columns == [c.split()[0] for c in schemas.ENTITLEMENTS.split(", ")]
+    assert as_set(got, "user_object_id", "grant_type") == {("u", "SharePointGroup"), ("ext", "Direct")}
+
+
+def test_directory_checks(spark):
+    users = spark.createDataFrame([(None,)], "user_object_id STRING")
+    groups = spark.createDataFrame([("g",)], "aad_group_id STRING")
+    assert {r.violations for r in D.directory_checks(users, groups).collect()} == {0, 1}
