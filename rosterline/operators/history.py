@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterline.operators.keyed import in_chunks, latest_per_key, with_neighbours
+from rosterline.workspace import sized
 
 
 @dataclass(frozen=True)
@@ -194,7 +195,7 @@ def apply_actions(
     an add at its start. Closed versions of earlier batches are not an input: they never
     change. The batch must not reach back before those.
     """
-    touched = batch.select(*keys).distinct()
+    touched = sized(batch.select(*keys).distinct(), "touched-keys")
     open_rows = current.where(validity.current)
     untouched = open_rows.join(touched, keys, "left_anti")
     entering = open_rows.join(touched, keys, "left_semi").select(
@@ -213,7 +214,7 @@ def apply_feed(
 
     The open version of every touched key is replayed before the batch.
     """
-    touched = batch.select(*keys).distinct()
+    touched = sized(batch.select(*keys).distinct(), "touched-keys")
     open_rows, closed = _split_versions(history, validity)
     untouched = open_rows.join(touched, keys, "left_anti")
     flag = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from rosterline.operators.history import upsert_state
+from rosterline.workspace import sized
 
 
 def above_mark(feed: DataFrame, marks: DataFrame, scope: str, seq: str, mark: str = "mark") -> DataFrame:
@@ -43,4 +44,4 @@ def latest_batch_keys(feed: DataFrame, key: str, batch: str = "delta_batch_id",
 
 def refresh_children(children: DataFrame, changed: DataFrame, key: str) -> DataFrame:
     """Child rows of the changed keys."""
-    return children.join(changed.select(key), key, "left_semi")
+    return children.join(sized(changed.select(key), "changed-keys"), key, "left_semi")

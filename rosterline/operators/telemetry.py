@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rosterline.functions.columns import build_version, recency_label
 from rosterline.functions.predicates import none_like, within
 from rosterline.operators.keyed import latest_per_key, top_by_distinct
+from rosterline.workspace import sized
 
 # Issue names, vendor texts that make a speaker unremarkable, display limits.
 LATENCY = "Citrix ICA Latency"
@@ -86,6 +87,16 @@ def fence_limits(telemetry: DataFrame, measure: str = "latencyAverage", keys: li
     return quartiles.select(*keys, q1.alias("q1"), q3.alias("q3"), (q3 + FENCE_FACTOR * (q3 - q1)).alias(name))
 
 
+def with_limits(telemetry: DataFrame, limits: DataFrame, keys: list[str] = PLACE) -> DataFrame:
+    """Adds the limits of each row's group; the rows are not shuffled while limits are few."""
+    return telemetry.join(sized(limits, "limits"), keys, "left")
+
+
+def of_people(telemetry: DataFrame, people: DataFrame, key: str = "gpin") -> DataFrame:
+    """Rows of the given people."""
+    return telemetry.join(people.select(key), key, "left_semi")
+
+
 def valid_builds(clients: DataFrame, version: str = "BuildVersion", device: str = "EMMA") -> DataFrame:
     """The two builds most devices run."""
     return top_by_distinct(clients, version, device, VALID_BUILDS).select(F.col(version).alias("build"))
@@ -157,11 +168,11 @@ def issue_report_v1(
     Latency is held against the 75th percentile of all times. ``clients`` has (BuildVersion,
     EMMA), ``approved`` has (Value). Rows of a person and connection must differ in time.
     """
-    rows = telemetry.join(people.select("gpin"), "gpin", "left_semi")
+    rows = of_people(telemetry, sized(people, "people"))
     newest = latest_per_key(
         rows.where(within(F.col("timeStamp"), as_of, REPORT_DAYS)), ["gpin", "connection"], ["timeStamp"]
     )
-    judged = newest.join(percentile_limits(rows), PLACE, "left")
+    judged = with_limits(newest, percentile_limits(rows))
     judged = flag_listed(judged, F.col("thisClientBuildVersion"), valid_builds(clients), "build", "__build_ok")
     judged = flag_listed(judged, F.col("citrixClientVersion"), approved, "Value", "__client_ok")
     rules = [
@@ -179,11 +190,9 @@ def issue_report_v2(
     as_of: datetime,
 ) -> DataFrame:
     """Issues on every row of the last 30 days, latency held against the interquartile fence."""
-    recent = telemetry.where(within(F.col("timeStamp"), as_of, REPORT_DAYS)).join(
-        people.select("gpin"), "gpin", "left_semi"
-    )
+    recent = of_people(telemetry.where(within(F.col("timeStamp"), as_of, REPORT_DAYS)), sized(people, "people"))
     limits = fence_limits(recent).select(*PLACE, "latencyUpperBound")
-    judged = with_build(recent, lookup).join(limits, PLACE, "left")
+    judged = with_limits(with_build(recent, lookup), limits)
     judged = flag_listed(judged, F.col("finalClientBuildVersion"), valid_builds(clients), "build", "__build_ok")
     judged = flag_listed(judged, F.trim("citrixClientVersion"), supported, "Value", "__client_ok")
     rules = [

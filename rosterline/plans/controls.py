@@ -8,6 +8,7 @@ from rosterline.operators import increments as L, quality as Q
 from rosterline.plans import inputs
 from rosterline.plans.histories import MEMBER, membership
 from rosterline.plans.registry import query, table
+from rosterline.workspace import sized
 
 
 @query("""
@@ -100,6 +101,7 @@ def high_water_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = feed.where((F.col("ts") < middle) & (F.col("scope") != "scope4")).groupBy("scope").agg(
         F.max("event_id").alias("mark")
     )
+    marks = sized(marks, "marks")
     taken = L.above_mark(feed, marks, "scope", "event_id")
     report = taken.groupBy("scope").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("top"))
     moved = L.next_marks(marks, taken, "scope", "event_id")

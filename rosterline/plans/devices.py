@@ -9,6 +9,7 @@ from rosterline.functions.predicates import none_like, within
 from rosterline.operators import keyed, telemetry as T
 from rosterline.plans import inputs
 from rosterline.plans.registry import query, table
+from rosterline.workspace import sized
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,8 @@ WHERE user_id IN (SELECT gpin FROM people) AND ts >= {inputs.AS_OF_SQL} - INTERV
 """)
 def semi_join_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("gpin"), "ts", "value")
-    return events.where(within(F.col("ts"), inputs.AS_OF, "7 days")).join(_people(spark, sf_dir), "gpin", "left_semi")
+    recent = events.where(within(F.col("ts"), inputs.AS_OF, "7 days"))
+    return T.of_people(recent, sized(_people(spark, sf_dir), "people"))
 
 
 LATENCY_EVENTS = """SELECT user_id % 25 AS place, event_type AS connection, value FROM events"""
@@ -52,7 +54,7 @@ FROM events LEFT JOIN limits ON user_id % 25 = place AND event_type = conn
 """)
 def threshold_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _latency(spark, sf_dir)
-    return rows.join(T.percentile_limits(rows), T.PLACE, "left").select(*rows.columns, "latencyThreshold")
+    return T.with_limits(rows, T.percentile_limits(rows)).select(*rows.columns, "latencyThreshold")
 
 
 @query("""
@@ -167,14 +169,14 @@ WITH_LIMITS = 'telemetry LEFT JOIN limits ON "workLocationId" = place AND connec
 @query(_issue(T.LATENCY, '"latencyAverage"', WITH_LIMITS, '"latencyAverage" > bound', P75_SQL))
 def issue_latency_p75(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.telemetry(spark, sf_dir)
-    judged = rows.join(T.percentile_limits(rows), T.PLACE, "left")
+    judged = T.with_limits(rows, T.percentile_limits(rows))
     return T.apply_rules(judged, [T.Rule(T.LATENCY, F.col("latencyAverage"), F.expr("latencyAverage > latencyThreshold"))])
 
 
 @query(_issue(T.LATENCY, '"latencyAverage"', WITH_LIMITS, '"latencyAverage" > bound', IQR_SQL))
 def issue_latency_iqr(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.telemetry(spark, sf_dir)
-    judged = rows.join(T.fence_limits(rows), T.PLACE, "left")
+    judged = T.with_limits(rows, T.fence_limits(rows))
     return T.apply_rules(judged, [T.Rule(T.LATENCY, F.col("latencyAverage"), F.expr("latencyAverage > latencyUpperBound"))])
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -25,5 +26,13 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Build],
     return register
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file footer once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)

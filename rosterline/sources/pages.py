@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterline.functions.columns import principal_type
+from rosterline.workspace import sized
 
 BATCH = ("scope", "batch_id")
 
@@ -64,7 +65,7 @@ def flatten_pages(pages: DataFrame, only_complete: bool = True, batch: tuple[str
     A page that was landed twice (a retry) counts once.
     """
     if only_complete:
-        complete = batch_status(pages, batch).where("is_complete").select(*batch)
+        complete = sized(batch_status(pages, batch).where("is_complete").select(*batch), "complete-batches")
         pages = pages.join(complete, list(batch), "left_semi")
     once = pages.where(F.col("error").isNull()).dropDuplicates([*batch, "page_seq"])
     return once.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -33,6 +33,18 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def sized(df: DataFrame, label: str) -> DataFrame:
+    """Stores a result that is likely small and gives it back as a scan of known size.
+
+    The optimizer cannot tell how far an aggregate shrinks its input, so it would shuffle
+    the large side of a join with it. From a stored table it knows: below the broadcast
+    threshold the large side stays where it is, above it both sides are shuffled as usual.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

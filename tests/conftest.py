@@ -13,7 +13,8 @@ def spark():
     session = (
         SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
         .appName("rosterline-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
