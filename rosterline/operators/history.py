@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterline.operators.keyed import in_chunks, latest_per_key, with_neighbours
+from rosterline.operators.keyed import HOT_ROWS, in_chunks, latest_per_key, split_hot_keys, with_neighbours
 from rosterline.workspace import sized
 
 
@@ -135,16 +135,19 @@ def scd2_from_feed(
     chunk: Column | None = None,
     validity: Validity = Validity(),
     carried: tuple[str, ...] = (),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Replays an ordered change feed into versions.
 
     ``seq`` orders the rows of a key, and times do not decrease along it. A row that
     changes nothing is dropped, a tombstone ends the version, a tombstone without a
     version is ignored. Rows of a key that share a time count as one change, the last;
-    ``unique_ts=True`` states that there are none and saves that shuffle. One integral
-    ``seq`` is cut into chunks by itself; for any other give ``chunk``, a number that
-    grows along ``seq`` (see ``with_neighbours``). Rows with a NULL key are left out.
-    ``carried`` columns are not compared; a version has those of the row that opened it.
+    ``unique_ts=True`` states that there are none. ``carried`` columns are not compared; a
+    version has those of the row that opened it. Rows with a NULL key are left out.
+
+    The feed is shuffled and sorted once. Keys with more than ``hot_rows`` rows are cut in
+    chunks: one integral ``seq`` is cut by itself, for any other give ``chunk``, a number
+    that grows along ``seq``.
     """
     order = [seq] if isinstance(seq, str) else list(seq)
     removed = F.lit(False) if removed is None else F.coalesce(removed, F.lit(False))
@@ -152,19 +155,20 @@ def scd2_from_feed(
     state = F.struct(
         removed.alias("gone"), *[F.when(~removed, F.col(c)).alias(c) for c in tracked]
     )
-    chunk = in_chunks(order[0]) if chunk is None else chunk
-    rows = feed.where(valid).select(
-        *keys, *order, F.col(ts).alias("__ts"), state.alias("__state"), chunk.alias("__chunk"), *carried
+    chunk = in_chunks(order[0], hot_rows) if chunk is None else chunk
+    rows = split_hot_keys(feed.where(valid), keys, chunk, hot_rows)
+    rows = rows.select(
+        *keys, *order, F.col(ts).alias("__ts"), state.alias("__state"), *carried,
+        *[c for c in rows.columns if c == "__chunk"],
     )
     if not unique_ts:
-        rows = latest_per_key(rows, [*keys, "__ts"], order)
-
-    seen = with_neighbours(rows, keys, order, "__chunk", previous={"__state": "__last"})
+        rows = with_neighbours(rows, keys, order, following={"__ts": "__next"})
+        rows = rows.where(~F.col("__ts").eqNullSafe(F.col("__next"))).drop("__next")
+    seen = with_neighbours(rows, keys, order, previous={"__state": "__last"})
     changed = F.when(F.col("__last").isNull(), ~F.col("__state.gone")).otherwise(
         ~F.col("__state").eqNullSafe(F.col("__last"))
     )
-    changes = seen.where(changed).drop("__last")
-    timed = with_neighbours(changes, keys, order, "__chunk", following={"__ts": "__next"})
+    timed = with_neighbours(seen.where(changed).drop("__last"), keys, order, following={"__ts": "__next"})
     return timed.where(~F.col("__state.gone")).select(
         *keys,
         *[F.col(f"__state.{c}").alias(c) for c in tracked],
@@ -212,7 +216,8 @@ def apply_feed(
 ) -> DataFrame:
     """Versions after a batch of attribute changes; the batch may hold many rows per key.
 
-    The open version of every touched key is replayed before the batch.
+    The open version of every touched key is replayed before the batch. Store the result
+    before applying the next batch: plans of many batches in a row grow with each.
     """
     touched = sized(batch.select(*keys).distinct(), "touched-keys")
     open_rows, closed = _split_versions(history, validity)

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
 from rosterline.operators.history import upsert_state
-from rosterline.workspace import sized
+from rosterline.schemas import CHANGE_MARKS, empty_table
+from rosterline.sinks.tables import read_version, replace_partitions, write_version
+from rosterline.sources.pages import batch_status, flatten_pages
+from rosterline.workspace import committed_children, sized
 
 
 def above_mark(feed: DataFrame, marks: DataFrame, scope: str, seq: str, mark: str = "mark") -> DataFrame:
@@ -22,18 +26,36 @@ def next_marks(marks: DataFrame, taken: DataFrame, scope: str, seq: str, mark: s
     return marks.select(scope, mark).unionByName(reached).groupBy(scope).agg(F.max(mark).alias(mark))
 
 
-def commit_tokens(tokens: DataFrame, status: DataFrame) -> DataFrame:
-    """Resume tokens after the complete batches of ``status``; an unfinished batch changes none."""
+def commit_tokens(tokens: DataFrame, status: DataFrame, baseline: datetime | None = None) -> DataFrame:
+    """Resume tokens after the complete batches of ``status``; an unfinished batch changes none.
+
+    ``tokens`` has the layout CHANGE_MARKS; ``baseline`` is the snapshot time a seed started from.
+    """
+    since = F.lit(baseline.isoformat(sep=" ") if baseline else None).cast("timestamp_ntz")
     finished = status.where("is_complete").select(
-        "scope", "delta_link", F.col("received_ts").alias("last_success_ts"), "batch_id"
+        "scope", "delta_link", F.col("received_ts").alias("last_success_ts"), since.alias("snapshot_filter_from"),
+        "batch_id",
     )
     return upsert_state(tokens, finished, ["scope"], ["last_success_ts", "batch_id"])
 
 
-def write_then_commit(write: Callable[[], None], commit: Callable[[], None]) -> None:
-    """Stores the rows first and the mark after it, so a failure in between repeats rows but loses none."""
-    write()
-    commit()
+def land_batches(
+    pages: DataFrame, rows: Callable[[DataFrame], DataFrame], rows_path: str, tokens_base: str,
+    baseline: datetime | None = None,
+) -> None:
+    """Stores the records of complete batches, and only then their resume tokens.
+
+    ``rows`` turns flattened records into the rows to store and keeps ``batch_id``. A
+    failure in between leaves the old tokens; the repeated run replaces the same batches,
+    so nothing is lost or doubled.
+    """
+    spark = pages.sparkSession
+    replace_partitions(rows(flatten_pages(pages)), rows_path, ["batch_id"])
+    if committed_children(spark, tokens_base, "version="):
+        tokens = read_version(spark, tokens_base)
+    else:
+        tokens = empty_table(spark, CHANGE_MARKS)
+    write_version(commit_tokens(tokens, batch_status(pages), baseline), tokens_base)
 
 
 def latest_batch_keys(feed: DataFrame, key: str, batch: str = "delta_batch_id", received: str = "received_ts") -> DataFrame:

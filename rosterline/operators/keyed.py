@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-CHUNK_ROWS = 1_000_000
+from rosterline.workspace import stored
+
+HOT_ROWS = 1_000_000
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -32,7 +34,7 @@ def top_by_distinct(df: DataFrame, key: str, counted: str, k: int, count_name: s
     )
 
 
-def in_chunks(seq: str, rows: int = CHUNK_ROWS) -> Column:
+def in_chunks(seq: str, rows: int = HOT_ROWS) -> Column:
     """A chunk number for an integral ``seq`` that is unique per key.
 
     A chunk spans ``rows`` numbers, so no (key, chunk) group holds more than ``rows`` rows
@@ -42,7 +44,7 @@ def in_chunks(seq: str, rows: int = CHUNK_ROWS) -> Column:
 
 
 def in_time_chunks(df: DataFrame, ts: str, minutes: int = 1) -> Column:
-    """A chunk number for rows ordered by time: the count of ``minutes`` spans before them."""
+    """A chunk number for rows ordered by time: the number of their span of ``minutes``."""
     if df.schema[ts].dataType.simpleString() == "timestamp":
         total = F.floor(F.unix_seconds(ts) / 60)
     else:
@@ -50,60 +52,80 @@ def in_time_chunks(df: DataFrame, ts: str, minutes: int = 1) -> Column:
     return F.floor(total / minutes).cast("bigint")
 
 
+def split_hot_keys(df: DataFrame, keys: list[str], chunk: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Adds ``__chunk``: the chunk number for keys with more than ``hot_rows`` rows, else NULL.
+
+    Rows are counted per key first, with partial counts before the shuffle. At most one key
+    in ``hot_rows`` rows can be hot, so their list is small; it is stored, and if it is
+    empty, as with most tables, the column is left out.
+    """
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows).select(*keys)
+    hot, found = stored(hot, "hot-keys", F.count(F.lit(1)))
+    if not found:
+        return df
+    flagged = df.withColumn("__number", chunk).join(hot.withColumn("__hot", F.lit(True)), keys, "left")
+    return flagged.select(*df.columns, F.when(F.col("__hot"), F.col("__number")).alias("__chunk"))
+
+
 def with_neighbours(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    chunk: str,
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
 ) -> DataFrame:
     """Adds values of the row before and the row after, per key in ``order``.
 
     ``previous`` and ``following`` map a source column to the name of the added column. A
-    plain window over the key would gather a hot key in one task. Here the window runs
-    inside (key, chunk) and only the border row of every chunk looks across: each chunk is
-    aggregated to its first and last row, those few are put in order per key and joined
-    back on (key, chunk), for which the windowed side is already partitioned. Chunk
-    numbers must grow with ``order``; keys must not be NULL.
+    window over a hot key would gather it in one task, so on the result of
+    ``split_hot_keys`` the window runs inside (key, chunk), and for hot keys only, each
+    chunk is aggregated to its border rows, which are put in order per key and joined back
+    on (key, chunk), for which the windowed side is already partitioned. Chunk numbers
+    must grow with ``order``; keys must not be NULL.
     """
-    previous, following = previous or {}, following or {}
-    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
-    per_key = Window.partitionBy(*keys).orderBy(chunk)
-    position = F.struct(*order)
+    split = "__chunk" in df.columns
+    group = [*keys, "__chunk"] if split else keys
+    inside = Window.partitionBy(*group).orderBy(*order)
+    per_key = Window.partitionBy(*keys).orderBy("__chunk")
     borders, across, added, temporary = [], {}, {}, []
 
     windowed = df
-    for columns, offset, edge in ((previous, F.lag, F.max_by), (following, F.lead, F.min_by)):
+    sides = (("__before", previous or {}, F.lag, F.max_by), ("__after", following or {}, F.lead, F.min_by))
+    for name, columns, offset, edge in sides:
         if not columns:
             continue
-        name = "__before" if offset is F.lag else "__after"
         payload = F.struct(*columns)
         windowed = windowed.withColumn(name, offset(payload).over(inside))
-        borders.append(edge(payload, position).alias(name + "_edge"))
-        across[name + "_chunk"] = offset(F.col(name + "_edge")).over(per_key)
-        neighbour = F.coalesce(name, name + "_chunk")
+        neighbour = F.coalesce(name, f"{name}_chunk") if split else F.col(name)
         added.update({new: neighbour.getField(old) for old, new in columns.items()})
-        temporary += [name, name + "_chunk"]
-
-    edges = df.groupBy(*keys, chunk).agg(*borders).withColumns(across)
-    edges = edges.select(*keys, chunk, *[c for c in temporary if c.endswith("_chunk")])
-    return windowed.join(edges, [*keys, chunk], "left").withColumns(added).drop(*temporary).select(
-        *df.columns, *added
-    )
-
-
-def numbered(df: DataFrame, keys: list[str], order: str, chunk: Column, name: str) -> DataFrame:
-    """Adds a number from 0 per key in ``order``, counted chunk by chunk (see ``with_neighbours``)."""
-    rows = df.withColumn("__chunk", chunk)
+        temporary.append(name)
+        if split:
+            borders.append(edge(payload, F.struct(*order)).alias(f"{name}_edge"))
+            across[f"{name}_chunk"] = offset(F.col(f"{name}_edge")).over(per_key)
+    if split:
+        chunks = df.where(F.col("__chunk").isNotNull()).groupBy(*group).agg(*borders)
+        edges = chunks.withColumns(across).select(*group, *across)
+        windowed = windowed.join(edges, group, "left")
+        temporary += list(across)
+    return windowed.withColumns(added).drop(*temporary).select(*df.columns, *added)
+
+
+def numbered(df: DataFrame, keys: list[str], order: str, chunk: Column, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Adds a number from 0 per key in ``order``; hot keys are counted chunk by chunk."""
+    rows = split_hot_keys(df, keys, chunk, hot_rows)
+    split = "__chunk" in rows.columns
+    group = [*keys, "__chunk"] if split else keys
+    inside = (F.row_number().over(Window.partitionBy(*group).orderBy(order)) - 1).cast("bigint")
+    if not split:
+        return rows.withColumn(name, inside)
     earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(*keys, "__chunk").agg(F.count(F.lit(1)).alias("__rows")).select(
-        *keys, "__chunk", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset")
+    offsets = (
+        rows.where(F.col("__chunk").isNotNull()).groupBy(*group).agg(F.count(F.lit(1)).alias("__rows"))
+        .select(*group, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"))
     )
-    inside = F.row_number().over(Window.partitionBy(*keys, "__chunk").orderBy(order)) - 1
     return (
-        rows.withColumn("__inside", inside).join(offsets, [*keys, "__chunk"])
-        .withColumn(name, F.col("__inside") + F.col("__offset")).select(*df.columns, name)
+        rows.withColumn("__inside", inside).join(offsets, group, "left")
+        .withColumn(name, F.col("__inside") + F.coalesce("__offset", F.lit(0))).select(*df.columns, name)
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterline.operators.history import Validity
-from rosterline.operators.keyed import in_time_chunks, with_neighbours
+from rosterline.operators.keyed import HOT_ROWS, in_time_chunks, split_hot_keys, with_neighbours
 from rosterline.schemas import INGESTION_RUNS
 
 
@@ -44,18 +44,21 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
-def validity_violations(history: DataFrame, keys: list[str], validity: Validity = Validity(), minutes: int = 1) -> DataFrame:
+def validity_violations(
+    history: DataFrame, keys: list[str], validity: Validity = Validity(), minutes: int = 1,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Broken history invariants: (rule, violations).
 
     Rules: a version ends after it starts, a version does not start before the one before
     it ended, a current version has no end, and a key has at most one current version.
-    Versions of a key are compared in chunks of ``minutes`` by their start.
+    Keys with more than ``hot_rows`` versions are compared in chunks of ``minutes`` by start.
     """
     start, end, current = validity.columns
-    rows = history.select(*keys, start, end, current, in_time_chunks(history, start, minutes).alias("__chunk"))
-    seen = with_neighbours(
-        rows, keys, [start, end], "__chunk", previous={start: "__prev_start", end: "__prev_end"}
+    rows = split_hot_keys(
+        history.select(*keys, start, end, current), keys, in_time_chunks(history, start, minutes), hot_rows
     )
+    seen = with_neighbours(rows, keys, [start, end], previous={start: "__prev_start", end: "__prev_end"})
     overlaps = F.col("__prev_start").isNotNull() & (
         F.col("__prev_end").isNull() | (F.col(start) < F.col("__prev_end"))
     )

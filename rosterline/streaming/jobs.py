@@ -12,12 +12,17 @@ from rosterline.sinks.tables import HistoryParts
 def ingest_files(
     spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
     partition_cols: list[str] = ("year", "month", "day"), file_format: str = "json",
+    files_per_batch: int | None = None,
 ) -> None:
     """Stores every file of ``source`` once, then returns. A later run takes only new files.
 
-    The checkpoint lies apart from the source. Rows get their source file and time of ingest.
+    The checkpoint lies apart from the source. Rows get their source file and time of
+    ingest. ``files_per_batch`` cuts a large backlog into several micro-batches.
     """
-    rows = spark.readStream.format(file_format).schema(schema).load(source).select(
+    reader = spark.readStream.format(file_format).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.load(source).select(
         "*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingest_ts")
     )
     query = (

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -33,6 +33,14 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, label: str, measure: Column) -> tuple[DataFrame, int]:
+    """Writes a table to a fresh folder; gives it back as a scan, with an aggregate seen on the way."""
+    path = fresh_dir(df.sparkSession, label)
+    written = Observation()
+    df.observe(written, measure.alias("measure")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), written.get["measure"]
+
+
 def sized(df: DataFrame, label: str) -> DataFrame:
     """Stores a result that is likely small and gives it back as a scan of known size.
 

@@ -82,9 +82,29 @@ def test_fan_out_flags_keys_that_are_not_whole(spark, land):
 
 def test_token_moves_only_with_a_finished_batch(spark, land):
     pages = land([page("b1", 0, [GROUP], last=True), page("b2", 0, [GROUP], scope="users")])
-    tokens = spark.createDataFrame([("users", "old", None), ("groups", "old", None)], "scope STRING, delta_link STRING, last_success_ts TIMESTAMP_NTZ")
-    moved = L.commit_tokens(tokens, P.batch_status(pages))
-    assert {(r.scope, r.delta_link) for r in moved.collect()} == {("users", "old"), ("groups", "b1-0")}
+    tokens = spark.createDataFrame([("users", "old", None, None), ("groups", "old", None, None)], schemas.CHANGE_MARKS)
+    moved = L.commit_tokens(tokens, P.batch_status(pages), datetime(2024, 12, 31))
+    assert {(r.scope, r.delta_link, r.snapshot_filter_from) for r in moved.collect()} == {
+        ("users", "old", None), ("groups", "b1-0", datetime(2024, 12, 31))}
+
+
+def test_rows_are_stored_before_the_token_and_a_retry_repeats_nothing(spark, land, tmp_path, monkeypatch):
+    pages = land([page("b1", 0, [GROUP, GONE], last=True)])
+    rows_path, tokens = str(tmp_path / "rows"), str(tmp_path / "tokens")
+
+    def fail(*_):
+        raise RuntimeError("disk")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(L, "replace_partitions", fail)
+        with pytest.raises(RuntimeError):
+            L.land_batches(pages, P.group_rows, rows_path, tokens)
+    assert not (tmp_path / "tokens").exists()
+    for _ in range(2):
+        L.land_batches(pages, P.group_rows, rows_path, tokens)
+    assert {r.group_id for r in spark.read.parquet(rows_path).collect()} == {"g1", "g2"}
+    assert spark.read.parquet(rows_path).count() == 2
+    assert [(r.scope, r.delta_link) for r in L.read_version(spark, tokens).collect()] == [("groups", "b1-0")]
 
 
 def test_increments_cover_the_feed_once(spark):
@@ -97,13 +117,6 @@ def test_increments_cover_the_feed_once(spark):
     assert sorted(taken) == list(range(100))
 
 
-def test_mark_is_not_written_when_the_rows_fail():
-    done = []
-    with pytest.raises(RuntimeError):
-        L.write_then_commit(lambda: (_ for _ in ()).throw(RuntimeError()), lambda: done.append(1))
-    assert done == []
-
-
 def test_latest_batch_goes_by_time_not_by_name(spark):
     feed = spark.createDataFrame(
         [("g1", "seed_20250101", datetime(2025, 1, 1)), ("g2", "incr_20260101", datetime(2026, 1, 1))],
@@ -128,6 +141,7 @@ def test_history_violations_are_found(spark):
     df = spark.createDataFrame(rows, "k STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN")
     expected = {"ends before it starts": 1, "overlaps the version before": 2, "current with an end": 1, "more than one current": 1}
     assert {r.rule: r.violations for r in Q.validity_violations(df, ["k"]).collect()} == expected
+    assert {r.rule: r.violations for r in Q.validity_violations(df, ["k"], hot_rows=1).collect()} == expected
     zoned = df.withColumn("valid_from", F.col("valid_from").cast("timestamp")).withColumn("valid_to", F.col("valid_to").cast("timestamp"))
     assert {r.rule: r.violations for r in Q.validity_violations(zoned, ["k"]).collect()} == expected
 

@@ -117,8 +117,9 @@ def test_rows_sharing_a_time_count_as_the_last(spark):
     rows = spark.createDataFrame(
         [("k", "a", 1, T0), ("k", "b", 2, T1), ("k", "a", 3, T1), ("k", "c", 4, T2)], "k STRING, v STRING, seq BIGINT, ts TIMESTAMP_NTZ"
     )
-    got = H.scd2_from_feed(rows, ["k"], ["v"], "ts", "seq")
-    assert as_set(got) == {("k", "a", T0, T2, False), ("k", "c", T2, None, True)}
+    for hot_rows in (1, 100):
+        got = H.scd2_from_feed(rows, ["k"], ["v"], "ts", "seq", hot_rows=hot_rows)
+        assert as_set(got) == {("k", "a", T0, T2, False), ("k", "c", T2, None, True)}
 
 
 def test_actions_ignore_orphan_removes(spark):
@@ -155,7 +156,7 @@ EVENTS = st.lists(
 @given(EVENTS, st.integers(0, 59))
 def test_replay_matches_brute_force_in_any_number_of_batches(spark, rows, cut):
     df = spark.createDataFrame(rows, FEED).withColumn("ts", F.timestamp_seconds("seq").cast("timestamp_ntz"))
-    whole = H.scd2_from_feed(df, ["u"], ["v"], "ts", "seq", F.col("removed"), chunk=F.floor(F.col("seq") / 5))
+    whole = H.scd2_from_feed(df, ["u"], ["v"], "ts", "seq", F.col("removed"), hot_rows=5)
     assert as_set(whole) == replay(rows)
     early = H.scd2_from_feed(df.where(F.col("seq") < cut), ["u"], ["v"], "ts", "seq", F.col("removed"))
     late = df.where(F.col("seq") >= cut)

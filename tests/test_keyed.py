@@ -22,11 +22,13 @@ def brute_neighbours(rows):
 @settings(max_examples=8, deadline=None)
 @given(ROWS, st.integers(1, 7))
 def test_neighbours_and_numbers_cross_chunks(spark, rows, width):
-    df = spark.createDataFrame(rows, "key STRING, seq BIGINT").withColumn("c", keyed.in_chunks("seq", width))
-    seen = keyed.with_neighbours(df, ["key"], ["seq"], "c", {"seq": "prev"}, {"seq": "next"})
+    df = spark.createDataFrame(rows, "key STRING, seq BIGINT")
+    chunk = keyed.in_chunks("seq", width)
+    split = keyed.split_hot_keys(df, ["key"], chunk, hot_rows=width)
+    seen = keyed.with_neighbours(split, ["key"], ["seq"], {"seq": "prev"}, {"seq": "next"})
     assert {(r.key, r.seq, r.prev, r.next) for r in seen.collect()} == brute_neighbours(rows)
 
-    counted = keyed.numbered(df.drop("c"), ["key"], "seq", keyed.in_chunks("seq", width), "n").collect()
+    counted = keyed.numbered(df, ["key"], "seq", chunk, "n", hot_rows=width).collect()
     assert {(r.key, r.seq, r.n) for r in counted} == {
         (k, s, sorted(x for y, x in rows if y == k).index(s)) for k, s in rows
     }
@@ -34,9 +36,9 @@ def test_neighbours_and_numbers_cross_chunks(spark, rows, width):
 
 def test_neighbour_values_may_be_null(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, None)], "k STRING, s BIGINT, v STRING")
-    df = df.withColumn("c", keyed.in_chunks("s", 1))
-    seen = keyed.with_neighbours(df, ["k"], ["s"], "c", {"v": "pv", "s": "ps"})
-    assert [(r.s, r.ps, r.pv) for r in seen.orderBy("s").collect()] == [(1, None, None), (2, 1, None), (3, 2, "x")]
+    for rows in (df, keyed.split_hot_keys(df, ["k"], keyed.in_chunks("s", 1), hot_rows=1)):
+        seen = keyed.with_neighbours(rows, ["k"], ["s"], {"v": "pv", "s": "ps"})
+        assert [(r.s, r.ps, r.pv) for r in seen.orderBy("s").collect()] == [(1, None, None), (2, 1, None), (3, 2, "x")]
 
 
 def test_latest_per_key_keeps_nulls_and_breaks_ties(spark):
@@ -53,12 +55,16 @@ def test_top_prefers_smallest_name_on_ties_and_skips_null(spark):
     assert [tuple(r) for r in keyed.top_by_distinct(df, "version", "device", 2).collect()] == [("v1", 2), ("v2", 2)]
 
 
-def test_hot_key_is_cut_into_chunks_of_bounded_size(spark):
-    df = spark.range(3000).select(F.lit("hot").alias("k"), F.col("id").alias("s")).withColumn("c", keyed.in_chunks("s", 500))
-    assert df.groupBy("k", "c").count().agg(F.max("count")).first()[0] == 500
-    seen = keyed.with_neighbours(df, ["k"], ["s"], "c", following={"s": "next"})
-    assert seen.where("next IS NULL").count() == 1
-    assert seen.where("next = s + 1").count() == 2999
+def test_only_hot_keys_are_cut_and_their_chunks_are_bounded(spark):
+    hot = spark.range(3000).select(F.lit("hot").alias("k"), F.col("id").alias("s"))
+    df = hot.unionByName(spark.range(40).select(F.lit("cold").alias("k"), F.col("id").alias("s")))
+    split = keyed.split_hot_keys(df, ["k"], keyed.in_chunks("s", 500), hot_rows=500)
+    assert split.where("k = 'cold'").where("__chunk IS NOT NULL").count() == 0
+    assert split.groupBy("k", "__chunk").count().agg(F.max("count")).first()[0] == 500
+    seen = keyed.with_neighbours(split, ["k"], ["s"], following={"s": "next"})
+    assert seen.where("next IS NULL").count() == 2
+    assert seen.where("next = s + 1").count() == 3038
+    assert "__chunk" not in keyed.split_hot_keys(df, ["k"], keyed.in_chunks("s")).columns
 
 
 def test_failing_key_becomes_an_error_row(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rosterline import schemas
 from rosterline.products import directory as D, sites
 from rosterline.schemas import empty_table
+from rosterline.sinks.tables import read_version, write_version
 from rosterline.sources import pages as P
 
 T0, T1 = datetime(2025, 1, 1), datetime(2025, 1, 2)
@@ -38,12 +39,16 @@ def test_user_versions(spark, tmp_path):
 
 def test_users_advance_batch_by_batch(spark, tmp_path):
     user = {"id": "u", "userPrincipalName": "u@x", "displayName": "U", "mail": None, "accountEnabled": True}
-    rows = P.user_rows(feed(spark, tmp_path, schemas.USER_RECORD, [[user], [{**user, "displayName": "V"}], [{**user, "displayName": "V"}]]))
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    rows = P.user_rows(feed(spark, landing, schemas.USER_RECORD, [[user], [{**user, "displayName": "V"}], [{**user, "displayName": "V"}]]))
     rows = rows.withColumn("n", F.col("position").cast("bigint"))
     whole = D.user_history(rows)
     history = D.user_history(rows.where("batch_id = 'b0'"))
+    base = str(tmp_path / "users")
     for batch in ("b1", "b2"):
-        history = D.advance_users(history, rows.where(F.col("batch_id") == batch), "n")
+        write_version(D.advance_users(history, rows.where(F.col("batch_id") == batch), "n"), base)
+        history = read_version(spark, base)
     assert as_set(history, *whole.columns) == as_set(whole)
 
 

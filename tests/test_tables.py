@@ -127,7 +127,7 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     ingest_files(spark, source, schema, target, progress)
     assert spark.read.parquet(target).count() == 6
     rows.withColumn("id", F.col("id") + 100).write.mode("append").partitionBy("year", "month", "day").json(source)
-    ingest_files(spark, source, schema, target, progress)
+    ingest_files(spark, source, schema, target, progress, files_per_batch=1)
     stored = spark.read.parquet(target)
     assert stored.count() == 12 and {"source_file", "ingest_ts"} <= set(stored.columns)
 
