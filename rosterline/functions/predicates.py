@@ -1,4 +1,4 @@
-"""Row filters that recur across the pipelines."""
+"""Row filters that recur across the operators."""
 
 from __future__ import annotations
 
