@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import line_dedup
+from rosterline.llm import decontamination, line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +45,39 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     return result.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+@query("""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id::VARCHAR AS item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS key
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM sized)),
+doc_windows AS (
+  SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS key
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p
+    FROM docs CROSS JOIN (SELECT DISTINCT n FROM sized) WHERE len(w) >= n)),
+found AS (SELECT r, p, n, item_id FROM doc_windows JOIN item_windows USING (n, key)),
+hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+""")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.locate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
