@@ -199,14 +199,12 @@ def allocate(counts: list[list[float]], widths: list[int], rows: int, max_distan
     return best[max_distance + 1][1]
 
 
-def _probe_keys(part: int, bits: list[int], threshold: int) -> list[str]:
+def _probe_keys(part: int, bits: list[int], threshold: int) -> str:
     """SQL of the keys of one part: its value with each choice of ``threshold`` bits masked."""
-    value = _extract("fingerprint", bits)
-    keys = []
-    for number, masked in enumerate(combinations(range(len(bits)), threshold)):
-        kept = ((1 << len(bits)) - 1) & ~sum(1 << i for i in masked)
-        keys.append(f"named_struct('part', {part}, 'choice', {number}, 'value', {value} & {kept}L)")
-    return keys
+    full = (1 << len(bits)) - 1
+    masks = ", ".join(f"{full & ~sum(1 << i for i in masked)}L" for masked in combinations(range(len(bits)), threshold))
+    key = f"named_struct('path', {part}, 'k', xxhash64({part}, i, {_extract('fingerprint', bits)} & mask))"
+    return f"transform(array({masks}), (mask, i) -> {key})"
 
 
 def probe_keys(
@@ -218,10 +216,9 @@ def probe_keys(
     times: the bits not yet in the key are cut into ``max_distance + 1`` pieces, one of which
     must agree. Only rows of hot keys go on to the next level.
     """
-    keys = [k for i, (part, t) in enumerate(zip(parts, thresholds)) if t >= 0 for k in _probe_keys(i, part, t)]
-    rows = prints.select("fingerprint", F.explode(F.expr(f"array({', '.join(keys)})")).alias("key")).select(
-        "fingerprint", F.col("key.part").alias("path"), F.expr("xxhash64(key.part, key.choice, key.value)").alias("k")
-    )
+    keys = [_probe_keys(i, part, t) for i, (part, t) in enumerate(zip(parts, thresholds)) if t >= 0]
+    rows = prints.select("fingerprint", F.explode(F.expr(f"concat({', '.join(keys)})")).alias("key"))
+    rows = rows.select("fingerprint", "key.path", "key.k")
     rest = {i: [b for b in range(BITS) if b not in part] for i, part in enumerate(parts)}
     pieces, done = max_distance + 1, []
     for level in range(levels):
@@ -253,7 +250,7 @@ def _links(values: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
 
     Every reached fingerprint is compared only with those not reached yet.
     """
-    found, left = [], np.sort(values)
+    found, left = [], values
     while len(left) > 1:
         root, left = left[0], left[1:]
         frontier = [root]
@@ -261,7 +258,7 @@ def _links(values: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
             near = np.bitwise_count(left ^ frontier.pop()) <= max_distance
             if near.any():
                 hits = left[near]
-                found += [(int(root), int(hit)) for hit in hits]
+                found += [(root, hit) for hit in hits]
                 frontier.extend(hits)
                 left = left[~near]
     return found
@@ -277,13 +274,14 @@ def verified_links(candidates: DataFrame, max_distance: int) -> DataFrame:
             cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
             sizes = np.diff(cuts)
             pairs: list[tuple[int, int]] = []
+            values = values.view(np.uint64)  # bitwise_count takes signed numbers by their magnitude
             two = cuts[:-1][sizes == 2]
             close = two[np.bitwise_count(values[two] ^ values[two + 1]) <= max_distance]
-            pairs += zip(values[close].tolist(), values[close + 1].tolist())
+            pairs += zip(values[close], values[close + 1])
             for at, size in zip(cuts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 pairs += _links(values[at:at + size], max_distance)
-            a, b = (list(side) for side in zip(*pairs)) if pairs else ([], [])
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            sides = np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(sides[:, 0]), pa.array(sides[:, 1])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -336,8 +334,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     does not matter, stays; of different texts the one that compares least.
     """
     found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, **options)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.count(F.lit(1)).alias("__rows"))
-    kept = docs.join(first, docs[id_col].eqNullSafe(first["component_id"]))
+    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(
+        F.col("component_id").alias("__first")).agg(F.count(F.lit(1)).alias("__rows"))
+    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("__first")))
     once = kept.where("__rows = 1").select(*docs.columns)
     again = kept.where("__rows > 1").select(*docs.columns)
     values = [c for c in docs.columns if c != id_col]

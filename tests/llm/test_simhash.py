@@ -1,0 +1,133 @@
+"""SimHash near-duplicates against brute force over all pairs."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from rosterline.llm import components as graph, simhash
+
+
+def brute_print(text, words=3):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    shingles = [" ".join(found[i:i + words]) for i in range(len(found) - words + 1)] or ([" ".join(found)] if found else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(rows, distance=3):
+    prints = [brute_print(text) for _, text in rows]
+    ids = [i for i, _ in rows]
+    group = list(range(len(rows)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance:
+                group[top(i)] = top(j)
+    least = {}
+    for i in range(len(rows)):
+        if ids[i] is not None:
+            least[top(i)] = min(ids[i], least.get(top(i), ids[i]))
+    return sorted(((ids[i], prints[i], least.get(top(i))) for i in range(len(rows))), key=str)
+
+
+def computed(result):
+    return sorted(((r[0], r[1] % (1 << 64), r[2]) for r in result.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(7)
+    vocabulary = [f"w{i}é" if i % 9 == 0 else f"W{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 80))) for _ in range(60)]
+    for base in range(6):
+        words = " ".join(rng.choices(vocabulary, k=260)).split()
+        for _ in range(25):
+            copy = list(words)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append((" " if base % 2 else "\n").join(copy))
+    texts += ["", None, " \t\n", "one", "One", "two words", "a\x1cb c d", "a " * 5000]
+    rng.shuffle(texts)
+    return [(i * 3, t) for i, t in enumerate(texts)] + [(9, texts[3]), (9, "other text"), (None, "alone here now"), (None, texts[5])]
+
+
+def test_components_match_brute_force(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(5)
+    assert computed(simhash.near_duplicates(docs)) == brute_components(rows)
+
+
+def test_finer_keys_lose_no_link(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert computed(simhash.near_duplicates(docs, hot_key=2)) == brute_components(rows)
+
+
+@pytest.mark.parametrize("thresholds", [[0, 0, 0, 0], [1, 0, 0, -1], [-1, 1, 1, -1], [2, -1, 0, -1], [3, -1, -1, -1]])
+def test_any_allocation_finds_all(spark, thresholds):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(1 << 62), 1 << 62, 40)
+    values = {int(v) for v in base}
+    for v in base:
+        for n in (1, 2, 3, 4):
+            bits = rng.choice(64, n, replace=False)
+            mask = int(sum(1 << int(b) for b in bits))
+            values.add(((int(v) ^ mask) + (1 << 63)) % (1 << 64) - (1 << 63))
+    values = sorted(values)
+    prints = spark.createDataFrame([(v,) for v in values], "fingerprint BIGINT")
+    parts = [list(range(i, 64, 4)) for i in range(4)]
+    keys = simhash.probe_keys(prints, parts, thresholds, 3)
+    labels = {r["node"]: r["root"] for r in graph.components(simhash.verified_links(keys, 3)).collect()}
+    unsigned = [v % (1 << 64) for v in values]
+    for i, a in enumerate(values):
+        for j in range(i):
+            if (unsigned[i] ^ unsigned[j]).bit_count() <= 3:
+                assert labels[a] == labels[values[j]]
+
+
+def test_allocation_is_least_cost():
+    counts = [[5e6, 9e6, 1e7, 1e7], [10, 900, 5000, 9000], [10, 900, 5000, 9000], [20, 900, 9000, 9000]]
+    chosen = simhash.allocate(counts, [16] * 4, 10, 3)
+    assert sum(t + 1 for t in chosen) == 4 and chosen[0] == -1
+
+
+def test_candidate_counts_are_exact(spark):
+    values = [0, 1, 3, 7, 1 << 40, 5, 5 | 1 << 63]
+    values = [(v + (1 << 63)) % (1 << 64) - (1 << 63) for v in values]
+    prints = spark.createDataFrame([(v,) for v in values], "fingerprint BIGINT")
+    parts = [list(range(i * 16, i * 16 + 16)) for i in range(4)]
+    counts = simhash.candidate_counts(prints, parts, 3)
+    for part, bits in enumerate(parts):
+        own = [sum(((v % (1 << 64)) >> b & 1) << n for n, b in enumerate(bits)) for v in values]
+        for t in range(4):
+            assert counts[part][t] == sum((own[i] ^ own[j]).bit_count() <= t for i in range(len(own)) for j in range(i))
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(7, 7), (-3, 39), (300, 301), (301, 300)]
+    found = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()}
+    assert {found[i] for i in range(100, 161)} == {100}
+    assert {found[i] for i in [5, -3, *range(6, 40)]} == {-3} and found[301] == 300 and len(found) == 61 + 36 + 2
+
+
+def test_one_document_of_each_group_stays(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").withColumn("component_id", F.lit("mine"))
+    kept = simhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    components = {c for _, _, c in brute_components(rows)}
+    got = [r["doc_id"] for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(components, key=str)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id BIGINT, text STRING")
+    assert simhash.near_duplicates(docs).count() == 0
+    assert simhash.without_near_duplicates(docs).count() == 0
