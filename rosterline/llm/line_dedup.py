@@ -141,14 +141,14 @@ def deduplicate_lines(
     others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     rows = docs.select(
         *others, row_id.alias("__row_id"), row_hash.alias("__row_hash"), text_lines(F.col(text_col)).alias("__lines"),
-        F.col(text_col).alias("__text"),
+        F.col(text_col).isNull().alias("__null"),
     )
     same = rows["__row_id"].eqNullSafe(found["row_id"]) & (rows["__row_hash"] == found["row_hash"])
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("drops"))
-    text = F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")
+    lines = F.when(F.col("drops").isNull(), F.col("__lines")).otherwise(F.transform(kept, lambda i: F.get("__lines", i)))
     joined = rows.join(found, same, "left").select(
         *others,
-        F.when(F.col("drops").isNull(), F.col("__text")).otherwise(text).alias(text_col),
+        F.when(~F.col("__null") | F.col("drops").isNotNull(), F.array_join(lines, "\n")).alias(text_col),
         F.size("__lines").cast("bigint").alias("n_lines"),
         F.coalesce(F.size("drops"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
