@@ -60,19 +60,22 @@ def majority_bits(digests: bytes, step: int = 1 << 15) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
-    """Rows (``id_col``, ``fingerprint`` as a signed 64-bit number) of all documents."""
+    """Rows (``id_col``, ``row_hash`` of the text, ``fingerprint`` as a signed 64-bit number) of all documents."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = []
-            for _, _, data, offsets in text_slices(batch.column(1)):
+            for _, _, data, offsets in text_slices(batch.column(2)):
                 raw, cuts = data.tobytes(), offsets.tolist()
                 values += [majority_bits(shingle_hashes(raw[a:b], words)) for a, b in zip(cuts, cuts[1:])]
             prints = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], names=[id_col, "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], names=["id", "row_hash", "fingerprint"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(compute, f"`{id_col}` {kind}, fingerprint BIGINT")
+    row_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.select(F.col(id_col).alias("id"), row_hash.alias("row_hash"), text_col).mapInArrow(
+        compute, f"id {kind}, row_hash BIGINT, fingerprint BIGINT"
+    )
 
 
 def _unpacked(values: np.ndarray) -> np.ndarray:
@@ -310,35 +313,43 @@ def near_duplicates(
     parts: int = PARTS,
     hot_key: int = HOT_KEY,
 ) -> DataFrame:
-    """Per document ``id_col``, ``fingerprint`` (signed number) and ``component_id``, the smallest id reachable."""
+    """Per document ``id``, ``row_hash``, ``fingerprint``, ``component_id`` and ``component``.
+
+    ``component_id`` is the smallest id reachable; ``component`` is a fingerprint of the
+    component, which tells it apart even if ids repeat.
+    """
     prints = sized(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    groups = sized(prints.groupBy("fingerprint").agg(F.min(id_col).alias("first_id")), "distinct-fingerprints")
+    groups, rows = stored(
+        prints.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "distinct-fingerprints", F.count(F.lit(1))
+    )
     cut = correlated_parts(groups, parts)
     counts = candidate_counts(groups, cut, max_distance)
-    thresholds = allocate(counts, [len(part) for part in cut], groups.count(), max_distance)
+    thresholds = allocate(counts, [len(part) for part in cut], rows or 0, max_distance)
     candidates = probe_keys(groups, cut, thresholds, max_distance, hot_key)
     labels = components(verified_links(candidates, max_distance))
     linked = groups.join(labels, groups["fingerprint"] == labels["node"]).select("fingerprint", "first_id", "root")
     least = linked.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    linked = linked.join(least, "root").select("fingerprint", "least_id")
+    linked = linked.join(least, "root").select("fingerprint", "least_id", "root")
     named = groups.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("least_id", "first_id").alias("component_id")
+        "fingerprint", F.coalesce("least_id", "first_id").alias("component_id"),
+        F.coalesce("root", "fingerprint").alias("component"),
     )
-    return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select("id", "row_hash", "fingerprint", "component_id", "component")
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with its own columns, one row of each component: that with the smallest id.
+    """``docs`` with its own columns, one row of each component: one with the smallest id.
 
-    If that id occurs in several rows of the component, one of them, which of equal rows
-    does not matter, stays; of different texts the one that compares least.
+    If that id occurs in several rows of the component, the row whose text hashes least
+    stays, and of rows equal in id and text one, chosen by its other columns.
     """
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, **options)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(
-        F.col("component_id").alias("__first")).agg(F.count(F.lit(1)).alias("__rows"))
-    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("__first")))
-    once = kept.where("__rows = 1").select(*docs.columns)
-    again = kept.where("__rows > 1").select(*docs.columns)
-    values = [c for c in docs.columns if c != id_col]
-    least = again.groupBy(id_col).agg(F.min(F.struct(text_col, *[c for c in values if c != text_col])).alias("__row"))
-    return once.unionByName(least.select(id_col, *[F.col("__row").getField(c).alias(c) for c in values]).select(*docs.columns))
+    found = near_duplicates(docs, id_col, text_col, **options).where(F.col("id").eqNullSafe(F.col("component_id")))
+    alike = found.groupBy("component", "id", "row_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = alike.groupBy("component").agg(F.min(F.struct("row_hash", "id", "n")).alias("__first"))
+    same = docs[id_col].eqNullSafe(F.col("__first.id"))
+    same &= F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__first.row_hash")
+    kept = docs.join(first.select("__first"), same)
+    once = kept.where("__first.n = 1").select(*docs.columns)
+    again = kept.where("__first.n > 1")
+    least = again.groupBy("__first").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return once.unionByName(least.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns]))
