@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import decontamination, line_dedup, packing, simhash
+from rosterline.llm import decontamination, line_dedup, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -98,3 +98,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, max_tokens=4096)
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs, model, keep=["doc_id"])
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
