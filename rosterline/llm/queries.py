@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import decontamination, line_dedup, packing, simhash, toxicity
+from rosterline.llm import decontamination, line_dedup, packing, simhash, syncmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -106,3 +106,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     found = toxicity.scored(docs, model, keep=["doc_id"])
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = syncmers.with_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
