@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import decontamination, line_dedup, packing, simhash, syncmers, toxicity
+from rosterline.llm import decontamination, line_dedup, packing, simhash, syncmers, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +116,11 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end_id = 49407  # <|endoftext|> of this tokenizer
+    flat = token_counts.write_flat_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id)
+    found = token_counts.document_lengths(flat, end_id)
+    return found.select(F.get("doc_ids", F.col("index")).alias("doc_id"), "file_id", "ordinal", "start", "n_tokens", "complete")
