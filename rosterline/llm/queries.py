@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import decontamination, line_dedup, packing, simhash, syncmers, token_counts, toxicity
+from rosterline.llm import decontamination, licenses, line_dedup, packing, simhash, syncmers, token_counts, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -124,3 +124,74 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = token_counts.write_flat_files(table(spark, sf_dir, "documents"), tokenizer_path(), end_id)
     found = token_counts.document_lengths(flat, end_id)
     return found.select(F.get("doc_ids", F.col("index")).alias("doc_id"), "file_id", "ordinal", "start", "n_tokens", "complete")
+
+
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES.items())
+
+
+@query(f"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS r, doc_id, 'd' AS kind,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 0, 0, license, translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+  FROM (VALUES {_TEMPLATE_ROWS}) AS v(license, body)),
+words AS (SELECT r, doc_id, kind, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM lowered),
+shingles AS (
+  SELECT DISTINCT r, doc_id, kind, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT r, doc_id, kind, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0)),
+templates AS (SELECT kind AS license, s, count(*) OVER (PARTITION BY kind) AS n FROM shingles WHERE kind <> 'd')
+SELECT doc_id, license, count(*)::INT AS n_found, n::INT AS n_shingles, count(*) / n AS containment
+FROM (SELECT * FROM shingles WHERE kind = 'd') JOIN templates USING (s)
+GROUP BY r, doc_id, license, n HAVING count(*) / n >= 0.8
+""")
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+_LISTED = """
+named AS (
+  SELECT page_id, {host} AS host FROM pages),
+known AS (
+  SELECT regexp_replace(host, '^(www|blog|m)[.]', '') AS domain, min(page_id) AS m
+  FROM named WHERE host IS NOT NULL AND host LIKE '%.%' GROUP BY 1),
+entries AS (
+  SELECT domain, CASE m % 2 WHEN 0 THEN 'ads' ELSE 'malware' END AS category, 'add' AS action, (m * 31) % 200 AS day FROM known WHERE m % 3 = 0
+  UNION ALL SELECT domain, CASE m % 2 WHEN 0 THEN 'ads' ELSE 'malware' END, 'remove', (m * 31) % 200 + 20 + m % 90 FROM known WHERE m % 3 = 0 AND m % 5 <> 0
+  UNION ALL SELECT domain, CASE m % 2 WHEN 0 THEN 'ads' ELSE 'malware' END, 'add', 300 + m % 50 FROM known WHERE m % 6 = 0
+  UNION ALL SELECT domain, 'tracker', 'add', (m * 17) % 300 FROM known WHERE m % 4 = 1
+  UNION ALL SELECT domain, 'tracker', 'add', (m * 17) % 300 + 5 FROM known WHERE m % 4 = 1)
+"""
+
+
+@query("WITH " + _LISTED.format(host=r"""nullif(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '')""") + """,
+captures AS (
+  SELECT DISTINCT page_id, url, (page_id * 7919) % 366 AS day,
+    nullif(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '') AS host FROM pages),
+as_of AS (
+  SELECT page_id, url, c.day, c.host, e.domain, e.category, arg_max(e.action, e.day) AS action
+  FROM captures c JOIN entries e ON (c.host = e.domain OR c.host LIKE '%.' || e.domain) AND e.day <= c.day
+  GROUP BY ALL),
+listed AS (SELECT page_id, url, day, list_sort(list(DISTINCT category)) AS categories FROM as_of WHERE action = 'add' GROUP BY ALL)
+SELECT c.page_id, c.url, (DATE '2024-01-01' + c.day::INT)::DATE AS fetched_at, c.host,
+  coalesce(array_to_string(l.categories, ','), '') AS categories, l.categories IS NOT NULL AS blocked
+FROM captures c LEFT JOIN listed l ON c.page_id = l.page_id AND c.url IS NOT DISTINCT FROM l.url AND c.day = l.day
+""")
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of ``pages`` on days that follow from their ids, against lists that follow from their hosts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    name = url_filters.host(F.col("url"))
+    known = pages.select("page_id", name.alias("host")).where(F.col("host").contains("."))
+    known = known.groupBy(F.regexp_replace("host", "^(www|blog|m)[.]", "").alias("domain")).agg(F.min("page_id").alias("m"))
+    kind = "CASE m % 2 WHEN 0 THEN 'ads' ELSE 'malware' END"
+    entries = known.select("domain", F.explode(F.expr(f"""filter(array(
+        named_struct('on', m % 3 = 0, 'category', {kind}, 'action', 'add', 'day', (m * 31) % 200),
+        named_struct('on', m % 3 = 0 AND m % 5 <> 0, 'category', {kind}, 'action', 'remove', 'day', (m * 31) % 200 + 20 + m % 90),
+        named_struct('on', m % 6 = 0, 'category', {kind}, 'action', 'add', 'day', 300 + m % 50),
+        named_struct('on', m % 4 = 1, 'category', 'tracker', 'action', 'add', 'day', (m * 17) % 300),
+        named_struct('on', m % 4 = 1, 'category', 'tracker', 'action', 'add', 'day', (m * 17) % 300 + 5)), e -> e.on)""")).alias("e"))
+    entries = entries.select("domain", "e.category", "e.action", day(F.col("e.day")).alias("at"))
+    captures = pages.withColumn("fetched_at", day((F.col("page_id") * 7919) % 366))
+    found = url_filters.filter_captures(captures, url_filters.validity(entries))
+    return found.withColumn("categories", F.array_join("categories", ","))
