@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import decontamination, licenses, line_dedup, packing, simhash, syncmers, token_counts, toxicity, url_filters
+from rosterline.llm import chat_tools, decontamination, licenses, line_dedup, packing, simhash, syncmers, token_counts, toxicity, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -195,3 +195,68 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = pages.withColumn("fetched_at", day((F.col("page_id") * 7919) % 366))
     found = url_filters.filter_captures(captures, url_filters.validity(entries))
     return found.withColumn("categories", F.array_join("categories", ","))
+
+
+CHAT_SCHEMAS = {
+    "lookup": {"limit": ("integer", True), "query": ("string", True)},
+    "search": {"limit": ("integer", False), "query": ("string", True)},
+    "write": {"limit": ("integer", True), "query": ("string", True)},
+}
+
+
+@query("""
+WITH calls AS (
+  SELECT conv_id, 'c' || conv_id || '-' || turn AS call_id, turn AS position,
+    CASE turn % 3 WHEN 0 THEN 'lookup' WHEN 1 THEN 'search' ELSE 'write' END AS name,
+    (conv_id + turn) % 5 AS v, substr(text, 1, 20) AS q,
+    CASE WHEN turn >= 3 THEN ['c' || conv_id || '-' || (turn - 2)] ELSE [] END AS needs
+  FROM conversations WHERE role = 'assistant'),
+results AS (
+  SELECT conv_id, 'c' || conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'user' AND turn > 0),
+linked AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.position, c.name, c.v, c.q,
+    c.needs, r.text AS result, c.call_id IS NOT NULL AS called
+  FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id),
+placed AS (
+  SELECT l.*, len(l.needs) > 0 AND p1.call_id IS NULL AS lacks,
+    CASE WHEN NOT l.called THEN NULL WHEN p1.call_id IS NULL THEN 0 WHEN p2.call_id IS NULL OR p1.position < 3 THEN 1
+      WHEN p3.call_id IS NULL OR p2.position < 3 THEN 2 ELSE 3 END AS level
+  FROM linked l
+  LEFT JOIN calls p1 ON p1.conv_id = l.conv_id AND p1.position = l.position - 2 AND l.position >= 3
+  LEFT JOIN calls p2 ON p2.conv_id = l.conv_id AND p2.position = l.position - 4 AND l.position >= 5
+  LEFT JOIN calls p3 ON p3.conv_id = l.conv_id AND p3.position = l.position - 6 AND l.position >= 7),
+judged AS (
+  SELECT *, CASE WHEN NOT called THEN ['no call'] ELSE list_sort(list_concat(
+      CASE v WHEN 1 THEN ['type of limit'] WHEN 2 THEN ['missing query'] WHEN 3 THEN ['unknown debug'] ELSE [] END,
+      CASE WHEN lacks THEN ['missing call'] ELSE [] END)) END AS problems,
+    CASE WHEN NOT called THEN NULL
+      WHEN v = 1 THEN '{"limit":"' || position || '","query":' || to_json(q) || '}'
+      WHEN v = 2 THEN '{"limit":' || position || '}'
+      WHEN v = 3 THEN '{"debug":true,"limit":' || position || ',"query":' || to_json(q) || '}'
+      ELSE '{"limit":' || position || ',"query":' || to_json(q) || '}' END AS canonical
+  FROM placed)
+SELECT conv_id, call_id, level, position, name, array_to_string(problems, ', ') AS problems,
+  '{' || coalesce('"arguments":' || canonical || ',', '') || '"call_id":"' || call_id || '","conv_id":' || conv_id
+    || coalesce(',"level":' || level, '') || coalesce(',"name":"' || name || '"', '')
+    || CASE WHEN called THEN ',"needs":' || to_json(needs) ELSE '' END || ',"problems":' || to_json(problems)
+    || coalesce(',"result":' || to_json(result), '') || '}' AS json
+FROM judged
+""")
+def op7_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls stand for the assistant's turns of ``conversations``, results for the user turns after them."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    args = F.expr("""CASE (conv_id + turn) % 5
+        WHEN 1 THEN to_json(named_struct('query', substr(text, 1, 20), 'limit', cast(turn AS string)))
+        WHEN 2 THEN to_json(named_struct('limit', turn))
+        WHEN 3 THEN to_json(named_struct('query', substr(text, 1, 20), 'limit', turn, 'debug', true))
+        ELSE to_json(named_struct('query', substr(text, 1, 20), 'limit', turn)) END""")
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id", F.expr("concat('c', conv_id, '-', turn)").alias("call_id"), F.col("turn").alias("position"),
+        F.expr("CASE turn % 3 WHEN 0 THEN 'lookup' WHEN 1 THEN 'search' ELSE 'write' END").alias("name"), args.alias("arguments"),
+        F.expr("CASE WHEN turn >= 3 THEN array(concat('c', conv_id, '-', turn - 2)) ELSE cast(array() AS array<string>) END").alias("needs"),
+    )
+    results = turns.where("role = 'user' AND turn > 0").select(
+        "conv_id", F.expr("concat('c', conv_id, '-', turn - 1)").alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
+    )
+    found = chat_tools.format_calls(calls, results, CHAT_SCHEMAS)
+    return found.withColumn("problems", F.array_join("problems", ", "))
