@@ -1,11 +1,13 @@
 """Frequent lines, found with levelled sorted runs of line hashes, and their removal.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z in lower
-case; its hash is 64 bits of XXH64. A *run* is a table (hash, documents), sorted and
-bucketed by hash. Every batch of documents is merge-anti-joined with the hashes already
-known to be frequent, and what is left becomes a run of level 0. When a level is full its
-runs are merged into one run of the next level, and hashes that reached the limit move to
-the frequent runs. All runs have the same buckets, so these merges neither shuffle nor sort.
+case; its hash is 64 bits of XXH64. A *run* is a stored table (hash, documents) of files
+sorted by hash. Every batch of documents is merge-anti-joined with the hashes already known
+to be frequent, and what is left becomes a run of level 0. When a level is full its runs
+are merged into one run of the next level, and hashes that reached the limit move to the
+frequent runs. Merges move two numbers per different line, never a text. Runs are not
+bucketed tables: Spark 4.1 skips the shuffle of an aggregate over a union of them although
+it then reads them unbucketed, so equal hashes do not meet.
 
 Defined cases: NULL and empty texts are one empty line; keys shorter than ``min_chars``
 are never dropped; a line that a document repeats counts once for it; repeated rows are
@@ -17,7 +19,6 @@ A rare line is dropped by a hash collision with chance (frequent keys) / 2^64 pe
 from __future__ import annotations
 
 import string
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -54,30 +55,23 @@ class LineRuns:
     levels: dict[int, list[str]] = field(default_factory=dict)
     settled: list[str] = field(default_factory=list)
 
-    def __post_init__(self) -> None:
-        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
     def _write(self, run: DataFrame) -> str:
-        name = f"line_run_{uuid.uuid4().hex[:16]}"
-        writer = run.write.format("parquet").bucketBy(self.buckets, "hash").sortBy("hash")
-        writer.option("path", fresh_dir(self.spark, "line-run")).saveAsTable(name)
-        return name
-
-    def _merged(self, names: list[str]) -> DataFrame:
-        runs = self.spark.table(names[0])
-        for name in names[1:]:
-            runs = runs.unionByName(self.spark.table(name))
-        return runs.groupBy("hash").agg(F.sum("documents").alias("documents"))
+        path = fresh_dir(self.spark, "line-run")
+        run.sortWithinPartitions("hash").write.parquet(path)
+        return path
 
-    def _forget(self, names: list[str]) -> None:
-        for name in names:
-            self.spark.sql(f"DROP TABLE {name}")
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.schema("hash BIGINT, documents BIGINT").parquet(path)
+
+    def _merged(self, paths: list[str]) -> DataFrame:
+        runs = self.spark.read.schema("hash BIGINT, documents BIGINT").parquet(*paths)
+        return runs.groupBy("hash").agg(F.sum("documents").alias("documents"))
 
     def add(self, hashes: DataFrame) -> None:
         """Takes the (distinct per document) line hashes of one batch, column ``hash``."""
         fresh = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("documents"))
         for known in self.settled:
-            fresh = fresh.join(self.spark.table(known).hint("merge"), "hash", "left_anti")
+            fresh = fresh.join(self._read(known).hint("merge"), "hash", "left_anti")
         self.levels.setdefault(0, []).append(self._write(fresh))
         level = 0
         while len(self.levels.get(level, [])) >= self.fanout:
@@ -86,17 +80,15 @@ class LineRuns:
 
     def _compact(self, level: int) -> None:
         full = self.levels.pop(level)
-        merged = self.spark.table(self._write(self._merged(full)))
+        merged = self._read(self._write(self._merged(full)))
         enough = F.col("documents") >= self.min_docs
         self.settled.append(self._write(merged.where(enough)))
         self.levels.setdefault(level + 1, []).append(self._write(merged.where(~enough)))
-        self._forget(full)
 
     def frequent(self) -> DataFrame:
         """The hashes found in at least ``min_docs`` documents of all batches so far."""
-        # ``settled`` runs are disjoint: a settled hash is anti-joined from every later batch,
-        # but an open run may still hold a part of its count, so one merge goes over all.
-        runs = [*self.settled, *(name for names in self.levels.values() for name in names)]
+        # A settled hash may have parts of its count in runs of other levels: one merge over all.
+        runs = [*self.settled, *(path for paths in self.levels.values() for path in paths)]
         if not runs:
             return self.spark.createDataFrame([], "hash BIGINT")
         return self._merged(runs).where(F.col("documents") >= self.min_docs).select("hash")
