@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterline.llm.tokenizing import WordEncoder
+from rosterline.llm.tokenizing import shared_encoder
 from rosterline.workspace import stored
 
 MAX_TOKENS = 4096
@@ -39,7 +39,7 @@ def pieces(
     """The pieces of every document: ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, if wanted ``ids``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
@@ -68,30 +68,45 @@ def pieces(
 
 
 def fill(demands: np.ndarray, limits: np.ndarray) -> np.ndarray:
-    """The bin of every item (rows of ``demands``), bins counted from 0; no item may exceed a limit."""
+    """The bin of every item (rows of ``demands``), bins counted from 0; no item may exceed a limit.
+
+    Items of equal demands are one kind, and kinds stand in order of the first demand, so
+    what is too long is cut off by a binary search. The other limits are looked at one by
+    one only if some kind that is left could exceed them.
+    """
     kinds, kind_of, counts = np.unique(demands, axis=0, return_inverse=True, return_counts=True)
-    shares = kinds / limits
-    weights = (shares * counts[:, None]).sum(axis=0)
-    weighted = shares * (weights / max(weights.sum(), 1e-12))
+    weights = (kinds / limits * counts[:, None]).sum(axis=0)
+    weighted = kinds / limits ** 2 * (weights / max(weights.sum(), 1e-12))
     free = [rows.tolist() for rows in np.split(np.argsort(kind_of.reshape(-1), kind="stable"), np.cumsum(counts)[:-1])]
-    # The first dimension of sorted kinds ascends: beyond a search in it nothing can fit.
-    alive = np.arange(len(kinds))
+    numbers = np.arange(len(kinds))
     bins = np.empty(len(demands), np.int64)
-    number = 0
-    while len(alive):
-        left = limits.astype(np.float64).copy()
-        own = alive
-        while len(own):
-            own = own[:np.searchsorted(kinds[own, 0], left[0], side="right")]
-            fitting = own[(kinds[own] <= left).all(axis=1)]
-            if not len(fitting):
+    number, used_up, rest = 0, 0, len(demands)
+
+    def prepared(alive: np.ndarray):
+        own = np.ascontiguousarray(kinds[alive])
+        return alive, own, own[:, 0].copy(), np.maximum.accumulate(own, axis=0), np.ascontiguousarray(weighted[alive]), np.zeros(len(alive))
+
+    alive, own, first, most, value, gone = prepared(numbers)
+    while rest:
+        left = limits.astype(np.int64).copy()
+        while end := int(np.searchsorted(first, left[0], side="right")):
+            product = value[:end] @ left + gone[:end]
+            if (most[end - 1] > left).any():
+                product[~(own[:end] <= left).all(axis=1)] = -np.inf
+            best = end - 1 - int(np.argmax(product[::-1]))
+            if product[best] == -np.inf:
                 break
-            best = int(fitting[::-1][np.argmax((weighted[fitting[::-1]] * (left / limits)).sum(axis=1))])
-            bins[free[best].pop()] = number
-            left -= kinds[best]
-            own = fitting if free[best] else fitting[fitting != best]
-        alive = alive[[bool(free[k]) for k in alive]] if any(not free[k] for k in alive) else alive
+            kind = alive[best]
+            bins[free[kind].pop()] = number
+            rest -= 1
+            left -= own[best]
+            if not free[kind]:
+                gone[best] = -np.inf
+                used_up += 1
         number += 1
+        if 2 * used_up > len(alive):
+            alive, own, first, most, value, gone = prepared(alive[gone == 0])
+            used_up = 0
     return bins
 
 
