@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rosterline.llm.tokenizing import WordEncoder
+from rosterline.llm.tokenizing import shared_encoder
 from rosterline.workspace import fresh_dir
 
 BLOCK_IDS = 65_536
@@ -40,7 +40,7 @@ def write_flat_files(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, special=False)  # a text never holds the end id
+        encoder = shared_encoder(tokenizer, special=False)  # a text never holds the end id
         end = np.array([end_id], "<u2").tobytes()
         file_id, kind = TaskContext.get().partitionId(), None
         size, block, written, held = 2 * block_ids, 0, 0, bytearray()

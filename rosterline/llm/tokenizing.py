@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import unicodedata
+from itertools import filterfalse
 
 import numpy as np
 
-CACHED_WORDS = 250_000
+CACHED_WORDS = 500_000
 #: White space for Python but not for the tokenizers; texts with it are encoded as a whole.
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
+_SIGNS = frozenset(",.;:!?")
 
 
 class WordEncoder:
     """Encodes texts to little-endian 32-bit ids, for tokenizers that drop white space and ignore case.
 
-    For such a tokenizer the ids of a text are those of its words in a row, so words are
-    encoded once and kept in a table of at most ``cached`` entries, which starts anew when
-    full. Texts for which that could fail are encoded whole: texts not in NFC, with a
-    capital sigma (its lower case depends on its place) or with odd white space.
+    It must also be one that never joins letters and a sign in one token. For such a tokenizer the ids of a text are those of its words in a row, so words are
+    encoded once and kept in a table, which loses its older half when it holds more than
+    ``cached``; one call adds at most the words of its texts. Texts for which that could fail are encoded whole: texts not in NFC, with a
+    capital sigma (its lower case depends on its place), with odd white space, or with the
+    beginning of a special token (which only counts as written).
     """
 
     def __init__(self, path: str, special: bool = True, cached: int = CACHED_WORDS):
@@ -34,8 +39,16 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.cached:
-            self.known.clear()
+        """Adds the ids of words; letters and one sign at their end are put together from two entries."""
+        plain, ended = [], []
+        for word in words:
+            (ended if word[-1] in _SIGNS and word[:-1].isalpha() else plain).append(word)
+        known = self.known
+        self._encode({w for x in ended for w in (x[:-1], x[-1]) if w not in known}.union(plain))
+        known.update((w, known[w[:-1]] + known[w[-1]]) for w in ended)
+
+    def _encode(self, chosen: set[str]) -> None:
+        words = list(chosen)
         for first in range(0, len(words), 20_000):
             part = words[first:first + 20_000]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -48,19 +61,27 @@ class WordEncoder:
         split: list[list[str] | None] = []
         for text in texts:
             plain = text.isascii() or ("Σ" not in text and unicodedata.is_normalized("NFC", text))
-            plain = plain and not any(c in text for c in _ODD_SPACE)
+            plain = plain and "<|" not in text and not any(c in text for c in _ODD_SPACE)
             split.append(text.lower().split() if plain else None)
-        seen = set().union(*(words for words in split if words))
-        if len(seen) > self.cached // 2 and len(texts) > 1:
-            half = len(texts) // 2
-            return self.encode(texts[:half]) + self.encode(texts[half:])
-        if new := seen.difference(self.known):
-            before = len(self.known)
-            self._learn(list(new))
-            if len(self.known) < before + len(new):  # it started anew
-                self._learn(list(seen.difference(self.known)))
+        if len(self.known) > self.cached:
+            for word in list(self.known)[:len(self.known) // 2]:
+                del self.known[word]
         known = self.known
+        new = set()
+        for words in split:
+            new.update(filterfalse(known.__contains__, words or ()))
+        if new:
+            self._learn(list(new))
         return [
             self._whole(text) if words is None else b"".join([known[w] for w in words])
             for text, words in zip(texts, split)
         ]
+
+
+def shared_encoder(path: str, special: bool = True) -> WordEncoder:
+    """The encoder of this worker process, so that its tasks go on with the words of those before."""
+    store = sys.modules.setdefault("_rosterline_encoders", types.ModuleType("_rosterline_encoders"))
+    key = f"{path}|{special}"
+    if not hasattr(store, key):
+        setattr(store, key, WordEncoder(path, special))
+    return getattr(store, key)

@@ -1,0 +1,137 @@
+"""Packing and token counts: exact round trips against direct encoding."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rosterline.llm import packing, token_counts
+from rosterline.llm.tokenizing import WordEncoder
+
+TEXTS = [
+    None, "", " \n\t ", "Hello, World! it's 2024", "ÉTÉ naïve Straße", "été decomposed", "ΣΑΣ ΟΔΟΣ", "İstanbul", "a\x1cb", "a b c",
+    "x <|endoftext|> y", "x <|ENDOFTEXT|> y", "日本語 テキスト", "word, word. (word) WORD", "tok " * 3000, "Hello, World! it's 2024", "z" * 3000, "1234567890 3.14",
+]
+
+
+def direct(tokenizer, text, special=True):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(tokenizer)
+    model.encode_special_tokens = not special
+    return model.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("cached", [500, 6])
+def test_word_encoding_is_exact(tokenizer, cached):
+    encoder = WordEncoder(tokenizer, cached=cached)
+    for _ in range(2):
+        got = [np.frombuffer(data, "<u4").tolist() for data in encoder.encode([t or "" for t in TEXTS])]
+        assert got == [direct(tokenizer, t) for t in TEXTS]
+
+
+def check_sequences(rows, limits):
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r["sequence_id"]].append(r)
+    for own in by_sequence.values():
+        at = 0
+        for r in sorted(own, key=lambda r: (r["offset"], r["length"])):
+            assert r["offset"] == at
+            at += r["length"]
+        for column, top in limits.items():
+            assert sum(r[column] for r in own) <= top
+    return len(by_sequence)
+
+
+def test_packed_documents_round_trip(spark, tokenizer):
+    rows = [(i % 15, t, 5) for i, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, start BIGINT").repartition(3)
+    got = packing.pack_documents(docs, tokenizer, 2, max_tokens=512, with_ids=True).collect()
+    check_sequences(got, {"length": 512})
+    want = sorted((i, [*direct(tokenizer, t), 2]) for i, t, _ in rows)
+    pieces = defaultdict(list)
+    for r in got:
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"]
+        pieces[r["doc_id"], r["doc_tokens"]].append(r)
+    joined = []
+    for (doc, total), own in pieces.items():
+        copies = sum(r["start"] == 0 for r in own)
+        own.sort(key=lambda r: r["start"])
+        for copy in range(copies):
+            ids = [n for r in own[copy::copies] for n in r["ids"]]
+            assert len(ids) == total
+            joined.append((doc, ids))
+    assert sorted(joined) == want
+
+
+def test_all_limits_hold_and_little_is_wasted(spark):
+    rng = np.random.default_rng(5)
+    items = [(i, int(t), 1, int(min(t, 480) * rng.random())) for i, t in enumerate(rng.integers(1, 900, 3000))]
+    frame = spark.createDataFrame(items, "item BIGINT, length BIGINT, segments BIGINT, loss_tokens BIGINT")
+    limits = {"length": 1000, "segments": 6, "loss_tokens": 480}
+    got = packing.pack(frame, limits, ["item"], bucket_rows=1000).collect()
+    assert sorted(r["item"] for r in got) == list(range(3000))
+    used = check_sequences(got, limits)
+    need = max(sum(t for _, t, _, _ in items) / 1000, 3000 / 6, sum(x for *_, x in items) / 480)
+    assert used < 1.05 * need + 4
+    again = packing.pack(frame.repartition(7), limits, ["item"], bucket_rows=1000).collect()
+    assert sorted(got) == sorted(again)
+
+
+def test_item_over_a_limit_fails(spark):
+    frame = spark.createDataFrame([(1, 5)], "item BIGINT, length BIGINT")
+    with pytest.raises(Exception, match="exceeds a limit"):
+        packing.pack(frame, {"length": 4}, ["item"]).collect()
+
+
+def test_empty_tables(spark, tokenizer):
+    docs = spark.createDataFrame([], "doc_id BIGINT, text STRING")
+    assert packing.pack_documents(docs, tokenizer, 2).count() == 0
+    assert token_counts.document_lengths(token_counts.write_flat_files(docs, tokenizer, 49407), 49407).count() == 0
+
+
+def brute_lengths(ids, end):
+    found, start = [], 0
+    for i, n in enumerate(ids):
+        if n == end:
+            found.append((len(found), start, i - start, True))
+            start = i + 1
+    if start < len(ids):
+        found.append((len(found), start, len(ids) - start, False))
+    return found
+
+
+@pytest.mark.parametrize("size,group", [(1, 2), (3, 2), (4, 3), (64, 256)])
+def test_blocks_are_stitched(spark, size, group):
+    rng = np.random.default_rng(size)
+    files = {f: rng.choice([7, 1, 2], n, p=[p, (1 - p) / 2, (1 - p) / 2]) for f, (n, p) in enumerate([(40, 0.3), (41, 0.02), (1, 1.0), (30, 0.9), (5, 0.0)])}
+    rows = [
+        (f, b * 5, ids[b * size:(b + 1) * size].astype("<u2").tobytes(), "x", 1)
+        for f, ids in files.items() for b in range(-(-len(ids) // size))
+    ]
+    rows.append((9, 0, b"", "x", 1))
+    blocks = spark.createDataFrame(rows, "file_id INT, block BIGINT, ids BINARY, extra STRING, n_tokens INT").repartition(4)
+    got = token_counts.document_lengths(blocks, 7, group_blocks=group)
+    assert got.columns == ["file_id", "block", "extra", "index", "ordinal", "start", "n_tokens", "complete"]
+    want = sorted((f, *d) for f, ids in files.items() for d in brute_lengths(ids.tolist(), 7))
+    assert sorted((r["file_id"], r["ordinal"], r["start"], r["n_tokens"], r["complete"]) for r in got.collect()) == want
+
+
+def test_raw_files(spark, tmp_path):
+    ids = np.array([1, 2, 7, 3, 7, 7, 4, 5, 6], "<u2")
+    (tmp_path / "a.bin").write_bytes(ids.tobytes())
+    (tmp_path / "b.bin").write_bytes(b"")
+    blocks = token_counts.read_flat_files(spark, str(tmp_path), block_ids=2)
+    got = token_counts.document_lengths(blocks, 7).orderBy("ordinal").collect()
+    assert [(r["start"], r["n_tokens"], r["complete"]) for r in got] == [(0, 2, True), (3, 1, True), (5, 0, True), (6, 3, False)]
+
+
+def test_written_files_name_their_documents(spark, tokenizer):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id BIGINT, text STRING").repartition(3)
+    flat = token_counts.write_flat_files(docs, tokenizer, 49407, block_ids=50)
+    got = token_counts.document_lengths(flat, 49407, group_blocks=4)
+    got = got.select(F.get("doc_ids", F.col("index")).alias("d"), "n_tokens").collect()
+    assert {r["d"]: r["n_tokens"] for r in got} == {i: len(direct(tokenizer, t, special=False)) for i, t in enumerate(TEXTS)} and len(got) == len(TEXTS)
