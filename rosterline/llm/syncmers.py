@@ -131,33 +131,31 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Adds ``edited_text``, ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and
     ``near_next``. Only the part of the next text that is needed, and its sketch, travel to
-    the row that needs them; both joins shuffle the documents by id, which is one exchange.
+    the row that needs them. Both joins shuffle the documents by id; if ``docs`` has no
+    columns but id and text this is one and the same exchange.
     """
-    own = docs.select(
-        F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__hash"),
-    )
-    third = F.floor(F.char_length("__text") / 3).cast("int")
-    ids = own.where("__id IS NOT NULL").groupBy(F.col("__id").alias("id")).agg(F.min("__hash").alias("hash"), F.max(third).alias("need"))
-    needs = sized(following(ids), "next-documents")
-    giving = own.join(needs, (F.col("__id") == F.col("next_id")) & (F.col("__hash") == F.col("next_hash"))).select(
-        F.col("id"), F.substring(F.col("__text"), F.lit(1), F.col("need")).alias("begin"), sketch(F.col("__text")).alias("next")
-    )
-    giving = giving.groupBy("id").agg(F.first("begin").alias("begin"), F.first("next").alias("next"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    third = F.floor(F.char_length(text) / 3).cast("int")
     others = [c for c in docs.columns if c not in OUTPUTS]
-    rows = docs.select(*others, F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    rows = rows.join(giving, F.col("__id") == F.col("id"), "left").drop("id") if "id" not in others else (
-        rows.join(giving.withColumnRenamed("id", "__giver"), F.col("__id") == F.col("__giver"), "left").drop("__giver")
+    named = docs.select(*others).where(F.col(id_col).isNotNull())
+    ids = named.groupBy(F.col(id_col).alias("id")).agg(F.min(F.xxhash64(text)).alias("hash"), F.max(third).alias("need"))
+    needs = sized(following(ids), "next-documents").select(*[F.col(c).alias(f"__{c}") for c in ("id", "need", "next_id", "next_hash")])
+    # A range, not an equality: that would become a second join key, and the exchange one of its own.
+    chosen = F.xxhash64(text).between(F.col("__next_hash"), F.col("__next_hash"))
+    giving = named.join(needs, F.col(id_col) == F.col("__next_id")).where(chosen)
+    giving = giving.select("__id", F.substring(text, F.lit(1), F.col("__need")).alias("__begin"), sketch(text).alias("__next"))
+    giving = giving.groupBy("__id").agg(F.first("__begin").alias("__begin"), F.first("__next").alias("__next"))
+    rows = named.join(giving, F.col(id_col) == F.col("__id")).drop("__id").unionByName(
+        docs.select(*others).where(F.col(id_col).isNull()), allowMissingColumns=True
     )
-    kept = F.substring(F.col("__text"), F.lit(1), F.char_length("__text") - third)
-    edited = F.concat(kept, F.coalesce(F.substring(F.col("begin"), F.lit(1), third), F.lit("")))
-    rows = rows.withColumn("__edited", edited)
-    rows = rows.withColumn("__sketches", F.array(sketch(F.col("__text")), sketch(F.col("__edited"))))
+    kept = F.substring(text, F.lit(1), F.char_length(text) - third)
+    rows = rows.withColumn("__edited", F.concat(kept, F.coalesce(F.substring(F.col("__begin"), F.lit(1), third), F.lit(""))))
+    rows = rows.withColumn("__sketches", F.array(sketch(text), sketch(F.col("__edited"))))
     mine, other = F.get("__sketches", F.lit(0)), F.get("__sketches", F.lit(1))
     return rows.select(
         *others, F.col("__edited").alias("edited_text"), fingerprint(mine).alias("fingerprint"),
         fingerprint(other).alias("edited_fingerprint"), likeness(mine, other).alias("near_edited"),
-        F.coalesce(likeness(mine, F.col("next")), F.lit(0.0)).alias("near_next"),
+        F.coalesce(likeness(mine, F.col("__next")), F.lit(0.0)).alias("near_next"),
     )
 
 
