@@ -85,7 +85,7 @@ def covering_words(templates: dict[str, str]) -> list[str]:
         counts: dict[str, int] = {}
         for shingle in left:
             for word in set(shingle.split(" ")):
-                counts[word] = counts.get(word, 0) + len(word)  # long words are rarer
+                counts[word] = counts.get(word, 0) + (len(word) if len(word) > 4 else 0.01)  # long words are rarer
         best = max(sorted(counts), key=counts.get)
         chosen.append(best)
         left = {s for s in left if best not in s.split(" ")}
@@ -147,7 +147,7 @@ def scan_licenses(
     )
     names = list(templates)
     owners = F.create_map(*[x for k, own in keys.items() for x in (F.lit(k), F.array(*[F.lit(names.index(n)) for n in own]))])
-    cover = "|".join(re.escape(w) for w in covering_words(templates))
+    cover = f"(^|[^0-9a-z])({'|'.join(re.escape(w) for w in covering_words(templates))})([^0-9a-z]|$)"
     found = docs.where(text.rlike(cover)).select(id_col, bind(words, shingles).alias("__shingles")).where(F.size("__shingles") > 0)
     found = found.select(id_col, "__shingles", F.explode(F.array_distinct(F.flatten(F.transform(shared, lambda k: F.element_at(owners, k))))).alias("__t"))
     own = F.array(*[F.array(*[F.lit(s) for s in dict.fromkeys(template_shingles(t))]) for t in templates.values()])
