@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterline.operators.keyed import HOT_ROWS, in_chunks, latest_per_key, split_hot_keys, with_neighbours
+from rosterline.operators.keyed import HOT_ROWS, latest_per_key, one_per_key, order_chunks, split_hot_keys, with_neighbours
 from rosterline.workspace import sized
 
 
@@ -146,8 +146,9 @@ def scd2_from_feed(
     version has those of the row that opened it. Rows with a NULL key are left out.
 
     The feed is shuffled and sorted once. Keys with more than ``hot_rows`` rows are cut in
-    chunks: one integral ``seq`` is cut by itself, for any other give ``chunk``, a number
-    that grows along ``seq``.
+    chunks by the first column of ``seq`` if that is a number or a time; for any other type
+    give ``chunk``, a number that grows along ``seq``, or the call fails at once. A row that
+    lies before the version it would end fails the job.
     """
     order = [seq] if isinstance(seq, str) else list(seq)
     removed = F.lit(False) if removed is None else F.coalesce(removed, F.lit(False))
@@ -155,7 +156,7 @@ def scd2_from_feed(
     state = F.struct(
         removed.alias("gone"), *[F.when(~removed, F.col(c)).alias(c) for c in tracked]
     )
-    chunk = in_chunks(order[0], hot_rows) if chunk is None else chunk
+    chunk = order_chunks(feed, order[0], hot_rows) if chunk is None else chunk
     rows = split_hot_keys(feed.where(valid), keys, chunk, hot_rows)
     rows = rows.select(
         *keys, *order, F.col(ts).alias("__ts"), state.alias("__state"), *carried,
@@ -174,7 +175,8 @@ def scd2_from_feed(
         *[F.col(f"__state.{c}").alias(c) for c in tracked],
         *carried,
         F.col("__ts").alias(validity.start),
-        F.col("__next").alias(validity.end),
+        F.when(F.col("__next") < F.col("__ts"), F.raise_error(F.lit("a change lies before the start of the version it ends")))
+        .otherwise(F.col("__next")).alias(validity.end),
         F.col("__next").isNull().alias(validity.current),
     )
 
@@ -197,7 +199,7 @@ def apply_actions(
 
     Only keys named in the batch pass through the replay; their open version enters it as
     an add at its start. Closed versions of earlier batches are not an input: they never
-    change. The batch must not reach back before those.
+    change. A batch that reaches back before an open version fails the job.
     """
     touched = sized(batch.select(*keys).distinct(), "touched-keys")
     open_rows = current.where(validity.current)
@@ -216,9 +218,15 @@ def apply_feed(
 ) -> DataFrame:
     """Versions after a batch of attribute changes; the batch may hold many rows per key.
 
-    The open version of every touched key is replayed before the batch. Store the result
+    The open version of every touched key is replayed before the batch; a batch row before
+    its start fails the job. Other columns of the history are carried: a new version has
+    them from the row that opened it, NULL if the batch does not have them. Store the result
     before applying the next batch: plans of many batches in a row grow with each.
     """
+    known = {*keys, *tracked, *carried, *validity.columns}
+    others = [c for c in history.columns if c not in known]
+    batch = batch.withColumns({c: F.lit(None).cast(history.schema[c].dataType) for c in others if c not in batch.columns})
+    carried = (*carried, *others)
     touched = sized(batch.select(*keys).distinct(), "touched-keys")
     open_rows, closed = _split_versions(history, validity)
     untouched = open_rows.join(touched, keys, "left_anti")
@@ -233,17 +241,21 @@ def apply_feed(
     replayed = scd2_from_feed(
         feed, keys, tracked, ts, seq, F.col("__removed"), validity=validity, carried=carried
     )
-    columns = replayed.columns
+    columns = history.columns
+    replayed = replayed.select(*columns)
     return closed.select(*columns).unionByName(untouched.select(*columns)).unionByName(replayed)
 
 
 def insert_if_no_current(
     history: DataFrame, snapshot: DataFrame, keys: list[str], run_ts: datetime, validity: Validity = Validity()
 ) -> DataFrame:
-    """Adds a current row for keys that have none. Never closes anything."""
+    """Adds a current row for keys that have none. Never closes anything.
+
+    Of several snapshot rows of a key the one that compares greatest is taken.
+    """
     held = history.where(validity.current).select(*keys)
     ts_type = history.schema[validity.start].dataType.simpleString()
-    added = bootstrap(snapshot.dropDuplicates(keys), run_ts, validity, ts_type).join(held, keys, "left_anti")
+    added = bootstrap(one_per_key(snapshot, keys), run_ts, validity, ts_type).join(held, keys, "left_anti")
     return history.unionByName(added, allowMissingColumns=True)
 
 
@@ -273,9 +285,15 @@ def key_history(history: DataFrame, key: dict[str, object], validity: Validity =
 
 
 def upsert_state(state: DataFrame, updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Keyed state in which the newest update of a key replaces its row."""
+    """Keyed state with the newest row of a key among state and updates: it never goes back.
+
+    State and updates are compared by the columns of ``order`` that the state has; at equal
+    ones, or without any, the update stands.
+    """
     newest = latest_per_key(updates, keys, order).select(*state.columns)
-    return state.join(newest.select(*keys), keys, "left_anti").unionByName(newest)
+    held = [c for c in order if c in state.columns]
+    both = state.withColumn("__new", F.lit(0)).unionByName(newest.withColumn("__new", F.lit(1)))
+    return latest_per_key(both, keys, [*held, "__new"]).drop("__new")
 
 
 def version_counts(history: DataFrame, validity: Validity = Validity()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from rosterline.workspace import stored
+from rosterline.workspace import sized, stored
 
 HOT_ROWS = 1_000_000
 
@@ -23,6 +23,15 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return newest.select(*keys, *[F.col("__row").getField(c).alias(c) for c in values]).select(*df.columns)
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, NULL keys included: of several the one whose other columns compare greatest."""
+    values = [c for c in df.columns if c not in keys]
+    if not values:
+        return df.distinct()
+    greatest = df.groupBy(*keys).agg(F.max(F.struct(*values)).alias("__row"))
+    return greatest.select(*keys, *[F.col("__row").getField(c).alias(c) for c in values]).select(*df.columns)
+
+
 def top_by_distinct(df: DataFrame, key: str, counted: str, k: int, count_name: str = "events") -> DataFrame:
     """The ``k`` keys with most distinct ``counted`` values; equal counts go by key order."""
     return (
@@ -57,14 +66,16 @@ def split_hot_keys(df: DataFrame, keys: list[str], chunk: Column, hot_rows: int
 
     Rows are counted per key first, with partial counts before the shuffle. At most one key
     in ``hot_rows`` rows can be hot, so their list is small; it is stored, and if it is
-    empty, as with most tables, the column is left out.
+    empty, as with most tables, the column is left out. Rows without a chunk number come first.
     """
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows).select(*keys)
     hot, found = stored(hot, "hot-keys", F.count(F.lit(1)))
     if not found:
         return df
-    flagged = df.withColumn("__number", chunk).join(hot.withColumn("__hot", F.lit(True)), keys, "left")
-    return flagged.select(*df.columns, F.when(F.col("__hot"), F.col("__number")).alias("__chunk"))
+    flagged = df.withColumn("__number", F.coalesce(chunk, F.lit(-1).cast("bigint")))
+    flagged = flagged.join(hot.withColumn("__hot", F.lit(True)), keys, "left")
+    # Stored, because every step that looks across chunks reads its input twice.
+    return sized(flagged.select(*df.columns, F.when(F.col("__hot"), F.col("__number")).alias("__chunk")), "chunked-rows")
 
 
 def with_neighbours(
@@ -129,13 +140,29 @@ def numbered(df: DataFrame, keys: list[str], order: str, chunk: Column, name: st
     )
 
 
-def mapped_rows(df: DataFrame, keys: list[str], function, output: str, key_schema: str) -> DataFrame:
+def order_chunks(df: DataFrame, order: str, rows: int = HOT_ROWS) -> Column:
+    """A chunk number that grows along ``order``, from its type; other types raise ``ValueError``."""
+    kind = df.schema[order].dataType.simpleString()
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return in_chunks(order, rows)
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return in_time_chunks(df, order)
+    raise ValueError(f"rows ordered by {order} ({kind}) need a chunk number of their own")
+
+
+OUTPUT_ROWS = 10_000
+
+
+def mapped_rows(
+    df: DataFrame, keys: list[str], function, output: str, key_schema: str, partitions: int | None = None
+) -> DataFrame:
     """Runs ``function(key values) -> list of rows`` for every distinct key, in Arrow batches.
 
     The output has the key columns, ``output`` (a DDL list of value columns) and ``error``.
     A key whose call fails gives one row with the error text; its neighbours go on. Only
-    for logic no column expression can state. Distinct keys are spread evenly by hash, so
-    there is no hot task.
+    for logic no column expression can state. Distinct keys are dealt to ``partitions`` tasks
+    (by default ``spark.sql.shuffle.partitions``), which the adaptive planner leaves alone, and
+    rows are handed on in pieces, so a task holds the rows of one call and one piece.
     """
     value_names = StructType.fromDDL(output).fieldNames()
 
@@ -150,7 +177,11 @@ def mapped_rows(df: DataFrame, keys: list[str], function, output: str, key_schem
                     collected += [(*key, *row, None) for row in function(*key)]
                 except Exception as problem:  # one bad key must not fail the partition
                     collected.append((*key, *[None] * len(value_names), repr(problem)))
+                while len(collected) >= OUTPUT_ROWS:
+                    yield pd.DataFrame(collected[:OUTPUT_ROWS], columns=columns, dtype=object)
+                    del collected[:OUTPUT_ROWS]
             yield pd.DataFrame(collected, columns=columns, dtype=object)
 
-    distinct_keys = df.select(*keys).distinct()
+    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct_keys = df.select(*keys).distinct().repartition(tasks, *keys)
     return distinct_keys.mapInPandas(rows_of_batches, f"{key_schema}, {output}, error STRING")

@@ -53,10 +53,12 @@ def validity_violations(
     Rules: a version ends after it starts, a version does not start before the one before
     it ended, a current version has no end, and a key has at most one current version.
     Keys with more than ``hot_rows`` versions are compared in chunks of ``minutes`` by start.
+    Rows with a NULL key are left to :func:`null_keys`, NULL starts to :func:`check_rules`.
     """
     start, end, current = validity.columns
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
     rows = split_hot_keys(
-        history.select(*keys, start, end, current), keys, in_time_chunks(history, start, minutes), hot_rows
+        history.where(whole).select(*keys, start, end, current), keys, in_time_chunks(history, start, minutes), hot_rows
     )
     seen = with_neighbours(rows, keys, [start, end], previous={start: "__prev_start", end: "__prev_end"})
     overlaps = F.col("__prev_start").isNotNull() & (

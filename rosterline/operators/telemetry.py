@@ -104,7 +104,7 @@ def valid_builds(clients: DataFrame, version: str = "BuildVersion", device: str
 
 def flag_listed(df: DataFrame, value: Column, listed: DataFrame, column: str, flag: str) -> DataFrame:
     """Adds whether ``value`` occurs in a list table; NULL in the list is ignored, a NULL value gives NULL."""
-    known = listed.where(F.col(column).isNotNull()).select(F.col(column).alias("__listed")).distinct()
+    known = sized(listed.where(F.col(column).isNotNull()).select(F.col(column).alias("__listed")).distinct(), "listed")
     joined = df.withColumn("__value", value).join(
         known.withColumn("__hit", F.lit(True)), F.col("__value") == F.col("__listed"), "left"
     )
@@ -147,9 +147,12 @@ def apply_rules(telemetry: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def with_build(telemetry: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Adds ``finalClientBuildVersion``: parsed from the composite text, else looked up by host and gateway."""
-    known = lookup.select(
-        F.col("HostName").alias("__host"), F.col("Gateway").alias("__gateway"), F.col("buildVersion").alias("__build")
+    """Adds ``finalClientBuildVersion``: parsed from the composite text, else looked up by host and gateway.
+
+    A host and gateway that the lookup holds several times counts once, with its greatest build.
+    """
+    known = lookup.groupBy(F.col("HostName").alias("__host"), F.col("Gateway").alias("__gateway")).agg(
+        F.max("buildVersion").alias("__build")
     )
     on_host = (F.col("remoteHostName") == F.col("__host")) & (F.col("gateway") == F.col("__gateway"))
     parsed = telemetry.withColumn("thisClientBuildVersion", build_version(F.col("audioDeviceComposite")))
@@ -166,12 +169,12 @@ def issue_report_v1(
     """Issues on the newest row per person and connection of the last 30 days.
 
     Latency is held against the 75th percentile of all times. ``clients`` has (BuildVersion,
-    EMMA), ``approved`` has (Value). Rows of a person and connection must differ in time.
+    EMMA), ``approved`` has (Value). Of rows of a person and connection at one time the one
+    whose other columns compare greatest counts.
     """
     rows = of_people(telemetry, sized(people, "people"))
-    newest = latest_per_key(
-        rows.where(within(F.col("timeStamp"), as_of, REPORT_DAYS)), ["gpin", "connection"], ["timeStamp"]
-    )
+    order = ["timeStamp", *(c for c in sorted(rows.columns) if c not in ("gpin", "connection", "timeStamp"))]
+    newest = latest_per_key(rows.where(within(F.col("timeStamp"), as_of, REPORT_DAYS)), ["gpin", "connection"], order)
     judged = with_limits(newest, percentile_limits(rows))
     judged = flag_listed(judged, F.col("thisClientBuildVersion"), valid_builds(clients), "build", "__build_ok")
     judged = flag_listed(judged, F.col("citrixClientVersion"), approved, "Value", "__client_ok")

@@ -226,15 +226,11 @@ def issue_client_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.apply_rules(flagged, [T.Rule(T.CLIENT, F.col("citrixClientVersion"), ~F.col("ok"))])
 
 
-BUILD_SQL = """CASE
-    WHEN position(''',''' IN "audioDeviceComposite") > 0 THEN
-      CASE WHEN split_part("audioDeviceComposite", ''',''', 1) = 'T1' THEN NULL
-           ELSE replace(split_part("audioDeviceComposite", ''',''', 1), 'T2'', ''', '') END
-    WHEN position(''',''' IN "audioDeviceComposite") = 0 THEN
-      CASE WHEN split_part("audioDeviceComposite", ',', 1) = 'T1' THEN NULL
-           ELSE replace(substr("audioDeviceComposite", 1, greatest(position(',' IN "audioDeviceComposite") - 1, 0)),
-                        'T1'', ''', '') END
-  END"""
+# The first part before the separator, less its prefix; a part that is only the prefix has no build.
+BUILD_SQL = """nullif(replace(
+    split_part("audioDeviceComposite", CASE WHEN contains("audioDeviceComposite", ''',''') THEN ''',''' ELSE ',' END,
+      CASE WHEN contains("audioDeviceComposite", ',') OR "audioDeviceComposite" = 'T1' THEN 1 ELSE 2 END),
+    CASE WHEN contains("audioDeviceComposite", ''',''') THEN 'T2'', ''' ELSE 'T1'', ''' END, ''), 'T1')"""
 
 
 @query(f"""

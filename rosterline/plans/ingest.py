@@ -270,7 +270,7 @@ def keyed_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT o_custkey, CAST(n AS BIGINT) AS n, o_custkey * 10 + n AS code, NULL::VARCHAR AS error
-FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 17 <> 0), range(3) r(n) WHERE n < o_custkey % 4
+FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 17 <> 0), range(4) r(n) WHERE n < o_custkey % 4
 UNION ALL
 SELECT o_custkey, NULL, NULL, 'KeyError(''no such key'')'
 FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 17 = 0)
@@ -279,7 +279,7 @@ def keyed_python_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lookup(key):
         if key % 17 == 0:
             raise KeyError("no such key")
-        return [(n, key * 10 + n) for n in range(min(3, key % 4))]
+        return [(n, key * 10 + n) for n in range(key % 4)]
 
     return mapped_rows(table(spark, sf_dir, "orders"), ["o_custkey"], lookup, "n BIGINT, code BIGINT", "o_custkey BIGINT")
 

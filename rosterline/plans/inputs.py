@@ -70,9 +70,9 @@ def owner_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 # --- nested groups -----------------------------------------------------------------------
 
 GROUPS_SQL = """edges AS (
-  SELECT s_suppkey // 3 AS parent, s_suppkey AS child FROM supplier WHERE s_suppkey > 0
+  SELECT s_suppkey // 3 AS parent, s_suppkey AS child FROM supplier
   UNION
-  SELECT s_suppkey, s_suppkey // 9 FROM supplier WHERE s_suppkey % 31 = 0 AND s_suppkey > 0),
+  SELECT s_suppkey, s_suppkey // 9 FROM supplier WHERE s_suppkey % 31 = 0),
 members AS (SELECT c_custkey // 15 AS grp, c_custkey AS usr FROM customer)"""
 
 CLOSURE_SQL = GROUPS_SQL + """,
@@ -88,7 +88,7 @@ closure AS (
 
 def group_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    suppliers = table(spark, sf_dir, "supplier").where(key > 0)
+    suppliers = table(spark, sf_dir, "supplier")
     nested = suppliers.select(F.expr("s_suppkey DIV 3").alias("parent"), key.alias("child"))
     back = suppliers.where(key % 31 == 0).select(key.alias("parent"), F.expr("s_suppkey DIV 9").alias("child"))
     return nested.unionByName(back).distinct()
@@ -106,12 +106,11 @@ ROLES_SQL = """roles AS (
          CASE WHEN l_returnflag = 'N' THEN o_custkey ELSE l_suppkey END AS principal_id,
          CASE l_returnflag WHEN 'A' THEN 'SharePointGroup' WHEN 'R' THEN 'SecurityGroup'
               ELSE 'InternalUser' END AS shared_with_type_v2
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_linenumber = 1 AND l_quantity >= 45)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
 def role_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where((F.col("l_linenumber") == 1) & (F.col("l_quantity") >= 45))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     flag = F.col("l_returnflag")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(

@@ -30,8 +30,13 @@ def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) ->
     writer.parquet(path)
 
 
-def read_evolved(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose later files have more columns; missing values are NULL."""
+def read_evolved(spark: SparkSession, path: str, declared: StructType | str | None = None) -> DataFrame:
+    """A table whose later files have more columns; missing values are NULL.
+
+    With the ``declared`` schema no file is opened to find the columns; without it all are.
+    """
+    if declared is not None:
+        return spark.read.schema(declared).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 

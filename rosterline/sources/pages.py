@@ -7,9 +7,10 @@ batch carries a delta link.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterline.functions.columns import principal_type
+from rosterline.operators.keyed import latest_per_key
 from rosterline.workspace import sized
 
 BATCH = ("scope", "batch_id")
@@ -34,12 +35,15 @@ def read_pages(spark: SparkSession, path: str, record: str) -> DataFrame:
 def batch_status(pages: DataFrame, batch: tuple[str, ...] = BATCH) -> DataFrame:
     """Per batch: pages, records, resume token, and whether the batch may be committed.
 
-    A page landed twice counts once, and a page is good when one of its landings is.
+    A page landed twice counts once, and a page is good when one of its landings is; its
+    records are those of the landing that :func:`good_landings` takes.
     Complete means every page up to the last is good and the last one carries the token.
     """
     good = F.col("error").isNull()
     per_page = pages.groupBy(*batch, "page_seq").agg(
-        F.max(F.when(good, F.coalesce(F.size("value"), F.lit(0)))).cast("bigint").alias("records"),
+        F.max_by(
+            F.coalesce(F.size("value"), F.lit(0)), F.when(good, F.struct("received_ts", _content(pages, batch)))
+        ).cast("bigint").alias("records"),
         F.max("received_ts").alias("received_ts"),
         F.max(F.when(good, F.col("delta_link"))).alias("delta_link"),
         F.max(good).alias("is_good"),
@@ -59,15 +63,28 @@ def batch_status(pages: DataFrame, batch: tuple[str, ...] = BATCH) -> DataFrame:
     )
 
 
+def good_landings(pages: DataFrame, batch: tuple[str, ...] = BATCH) -> DataFrame:
+    """One row per page without an error: the landing received last, ties by content."""
+    good = pages.where(F.col("error").isNull())
+    order = ["received_ts", "__content"]
+    return latest_per_key(good.withColumn("__content", _content(pages, batch)), [*batch, "page_seq"], order).drop("__content")
+
+
+def _content(pages: DataFrame, batch: tuple[str, ...]) -> Column:
+    """A digest that puts landings of one page and time in a fixed order."""
+    return F.sha2(F.to_json(F.struct(*[c for c in pages.columns if c not in batch])), 256)
+
+
 def flatten_pages(pages: DataFrame, only_complete: bool = True, batch: tuple[str, ...] = BATCH) -> DataFrame:
     """One row per record, by default of complete batches only, in the order (page, position).
 
-    A page that was landed twice (a retry) counts once.
+    A page that was landed twice (a retry) counts once: its good landing received last, of
+    several at one time the one that compares greatest.
     """
     if only_complete:
         complete = sized(batch_status(pages, batch).where("is_complete").select(*batch), "complete-batches")
         pages = pages.join(complete, list(batch), "left_semi")
-    once = pages.where(F.col("error").isNull()).dropDuplicates([*batch, "page_seq"])
+    once = good_landings(pages, batch)
     return once.select(
         *batch, "page_seq", "received_ts", F.posexplode("value").alias("position", "record")
     )

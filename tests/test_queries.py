@@ -33,4 +33,4 @@ def test_entry_gives_entitlements(spark):
     assert result.columns == [
         "site_id", "resource_id", "resource_type", "role_definition_id", "user_object_id", "grant_type"
     ]
-    assert result.count() == 1595
+    assert result.count() == 109896
