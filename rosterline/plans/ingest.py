@@ -115,7 +115,7 @@ def schema_evolution_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     sinks.append(rows.where("c_acctbal < 0").select("c_custkey", "c_name"), path)
     sinks.append(rows.where("c_acctbal >= 0").drop("c_acctbal"), path)
-    return sinks.read_evolved(spark, path)
+    return sinks.read_evolved(spark, path, "c_custkey BIGINT, c_name STRING, c_mktsegment STRING")
 
 
 @query("SELECT DISTINCT p_brand AS role_definition_id, p_type AS permission_label FROM part")
@@ -287,7 +287,8 @@ def keyed_python_function(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------------------
 
 
-@query("SELECT event_id, user_id, event_type, 2024 AS year, 1 AS month, CAST(day(ts) AS INTEGER) AS day FROM events")
+@query("SELECT event_id, user_id, event_type, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, "
+       "CAST(day(ts) AS INTEGER) AS day FROM events")
 def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target, checkpoint = (fresh_dir(spark, name) for name in ("landing", "ingested", "progress"))
     ts = F.col("ts")
@@ -303,14 +304,16 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {inputs.MEMBERSHIP_SQL} SELECT * FROM membership")
 def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actions landed week by week; every landing is applied before the next."""
+    """Actions landed in four spans of time; every landing is applied before the next."""
     landing, base, checkpoint = (fresh_dir(spark, name) for name in ("actions", "history", "progress"))
     rows = inputs.actions(spark, sf_dir)
     declared = "group_id BIGINT, member_id BIGINT, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN"
     store = sinks.HistoryParts(spark, base, declared)
-    day = F.dayofmonth("ts")
-    for week in (day <= 8, (day > 8) & (day <= 16), (day > 16) & (day <= 24), day > 24):
-        sinks.append(rows.where(week), landing)
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    span = rows.agg(F.min(second).alias("first"), F.max(second).alias("last")).first()
+    width = ((span["last"] or 0) - (span["first"] or 0)) // 4 + 1
+    for part in range(4):
+        sinks.append(rows.where(F.floor((second - (span["first"] or 0)) / width) == part), landing)
         follow_actions(spark, landing, rows.schema, store, checkpoint, MEMBER, "action", "ts", "event_id", unique_ts=True)
     return store.read()
 

@@ -194,3 +194,45 @@ def test_upsert_keeps_other_keys(spark):
 
 def test_version_counts(spark):
     assert tuple(H.version_counts(apply(spark, first(spark), S1, T1)).first()) == (6, 3, 3)
+
+
+FEED = "k STRING, v STRING, ts TIMESTAMP_NTZ, pos BIGINT, gone BOOLEAN"
+
+
+def day(n):
+    return datetime(2025, 1, n)
+
+
+def test_replay_does_not_depend_on_what_counts_as_hot(spark):
+    rows = [("h", str(i // 3), day(1 + i // 2), i, i % 11 == 10) for i in range(40)] + [("c", "x", day(3), 0, False), (None, "y", day(3), 0, False)]
+    feed = spark.createDataFrame(rows, FEED)
+    results = [
+        as_set(H.scd2_from_feed(feed, ["k"], ["v"], "ts", ["ts", "pos"], F.col("gone"), hot_rows=hot)) for hot in (3, 1_000_000)
+    ]
+    assert results[0] == results[1] and len(results[0]) > 5
+
+
+def test_late_rows_fail(spark):
+    history = H.bootstrap(spark.createDataFrame([("k", "a")], "k STRING, v STRING"), day(10))
+    late = spark.createDataFrame([("k", "b", day(5), 0, False)], FEED)
+    with pytest.raises(Exception, match="lies before the start"):
+        H.apply_feed(history, late, ["k"], ["v"], "ts", "pos", "gone").collect()
+    action = late.select("k", "ts", "pos", F.lit("remove").alias("action"))
+    with pytest.raises(Exception, match="lies before the start"):
+        H.apply_actions(history, action, ["k"], "action", "ts", "pos").collect()
+
+
+def test_batches_keep_all_columns(spark):
+    start = H.bootstrap(spark.createDataFrame([("k", "a", "dept"), ("u", "z", "other")], "k STRING, v STRING, department STRING"), day(1))
+    batch = spark.createDataFrame([("k", "b", day(5), 0, False)], FEED)
+    after = H.apply_feed(start, batch, ["k"], ["v"], "ts", "pos", "gone")
+    assert after.columns == start.columns
+    assert as_set(after) == {
+        ("k", "a", "dept", day(1), day(5), False), ("k", "b", None, day(5), None, True), ("u", "z", "other", day(1), None, True)
+    }
+
+
+def test_state_never_goes_back(spark):
+    state = spark.createDataFrame([("a", 9), ("b", 1)], "k STRING, n INT")
+    updates = spark.createDataFrame([("a", 3), ("b", 2), ("c", 0)], "k STRING, n INT")
+    assert as_set(H.upsert_state(state, updates, ["k"], ["n"])) == {("a", 9), ("b", 2), ("c", 0)}

@@ -3,6 +3,7 @@
 import random
 
 from hypothesis import given, settings, strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from rosterline.operators import keyed
@@ -76,3 +77,26 @@ def test_failing_key_becomes_an_error_row(spark):
     df = spark.createDataFrame([("bad",), ("two",), ("two",), ("none",)], "k STRING")
     got = {tuple(r) for r in keyed.mapped_rows(df, ["k"], rows, "n BIGINT", "k STRING").collect()}
     assert got == {("bad", None, "ValueError('no')"), ("two", 1, None), ("two", None, None)}
+
+
+def test_keys_are_dealt_to_several_tasks(spark):
+    def task(key):
+        from pyspark import TaskContext
+
+        return [(TaskContext.get().partitionId(),)]
+
+    keys = spark.range(2000).select("id")
+    assert len({r["task"] for r in keyed.mapped_rows(keys, ["id"], task, "task BIGINT", "id BIGINT", partitions=5).collect()}) == 5
+    wide = keyed.mapped_rows(keys.limit(1), ["id"], lambda key: [(n,) for n in range(25_000)], "n BIGINT", "id BIGINT")
+    assert wide.count() == 25_000
+
+
+def test_one_row_per_key_whatever_the_order(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 1), (None, "c", 2), (None, "b", 3)], "k INT, v STRING, w INT")
+    for rows in (df, df.orderBy(F.desc("v")), df.repartition(3)):
+        assert {tuple(r) for r in keyed.one_per_key(rows, ["k"]).collect()} == {(1, "b", 1), (None, "c", 2)}
+
+
+def test_order_without_a_chunk_fails_at_once(spark):
+    with pytest.raises(ValueError, match="chunk"):
+        keyed.order_chunks(spark.createDataFrame([("a",)], "s STRING"), "s")
