@@ -44,7 +44,7 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i",
 }
 SEPARATORS = set(" ._-*~'`^/\\,:;")
-COST_SUBSTITUTE, COST_SKIP, COST_REPEAT, COST_BREAK, COST_DROP = 0.7, 0.3, 0.4, 2.5, 2.0
+COST_SUBSTITUTE, COST_SKIP, COST_REPEAT, COST_BREAK, COST_DROP, COST_DROP_LETTER = 0.7, 0.3, 0.4, 2.5, 2.0, 5.0
 
 _OPENING = "\"'([{<.,;:?*#%&-_/\\~`^=»«“”„¿…–—"
 _CLOSING = "\"')]}>.,;:?!*#%&-_/\\~`^=»«“”„…–—"
@@ -65,9 +65,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         total = np.zeros(SYMBOLS ** 3, np.int64)
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
-                data = data.copy()
-                inside = offsets[1:-1]
-                data[inside[inside < len(data)]] = 32  # texts do not run into one another
+                data = np.insert(data, offsets[1:-1], 32)  # texts do not run into one another
                 symbols = _BYTE_SYMBOL[data[(data < 128) | (data >= 192)]]
                 if len(symbols) > 2:
                     total += np.bincount(symbols[:-2] * 784 + symbols[1:-1] * 28 + symbols[2:], minlength=SYMBOLS ** 3)
@@ -99,7 +97,7 @@ class Decoder:
         found = [(letter, COST_SUBSTITUTE) for letter in STANDS_FOR.get(char, "")]
         if char in SEPARATORS:
             return [*found, ("", COST_SKIP), (" ", COST_BREAK)]
-        return [*found, ("", COST_DROP), (" ", COST_BREAK)]
+        return [*found, ("", COST_DROP_LETTER if found else COST_DROP), (" ", COST_BREAK)]
 
     def decode(self, token: str) -> str:
         """The reading of least cost; repeated letters may count once."""
