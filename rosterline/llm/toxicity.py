@@ -1,11 +1,13 @@
 """Toxicity of texts that hide their words: restore by noisy channel, then score.
 
-A token with digits or signs among its letters, with stretched letters, or spelt out with
-separators is decoded: each character gives a few readings (itself, the letters it stands
+A token with digits or signs among its letters, with repeated letters, or spelt out with
+separators is decoded, however long it is: each character gives a few readings (itself, the letters it stands
 for, nothing, a word break), and Viterbi search over this lattice finds the reading of
 least cost under a character trigram model and the cost of each substitution. The trigram
 counts are taken over all texts. Words of the restored text, and beginnings of words, are
-the features of a logistic model fitted on labelled rows that are not held out.
+the features of a logistic model fitted on labelled rows that are not held out. A word whose
+letters are at most doubled, as in plain spelling, also counts as it stands; a spelt-out run
+with wider gaps is read both as a whole and between them.
 
 The fit uses about ``max_rows`` labelled rows, chosen by a hash of the id; if there are
 fewer, all. Its features are those most typical of either label, at most ``max_features``.
@@ -36,7 +38,6 @@ THRESHOLD = 0.3
 SYMBOLS = 28  # word break, a-z, any other letter
 PREFIXES = (4, 5, 6, 7)
 CACHED_WORDS = 250_000
-LONGEST_TOKEN = 48
 
 #: Letters that a sign can stand for.
 STANDS_FOR = {
@@ -49,7 +50,10 @@ COST_SUBSTITUTE, COST_SKIP, COST_REPEAT, COST_BREAK, COST_DROP, COST_DROP_LETTER
 _OPENING = "\"'([{<.,;:?*#%&-_/\\~`^=»«“”„¿…–—"
 _CLOSING = "\"')]}>.,;:?!*#%&-_/\\~`^=»«“”„…–—"
 _STRETCHED = re.compile(r"(.)\1\1")
-_SPELT = re.compile(r"(?<!\S)(?:[^\W_][ ._\-*]{1,2}){3,}[^\W_](?!\S)")
+_DOUBLED = re.compile(r"(.)\1")
+# From three letters on, from and to any sign; the end of "don't" is no beginning.
+_SPELT = re.compile(r"(?<![^\W_])(?<![^\W_]['’])(?:[^\W_][ ._\-*]{1,2}){2,}[^\W_](?![^\W_])")
+_GAP = re.compile(r"[._\-*] | {2}")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 _BYTE_SYMBOL = np.zeros(256, np.int64)
@@ -102,42 +106,49 @@ class Decoder:
     def decode(self, token: str) -> str:
         """The reading of least cost; repeated letters may count once."""
         cost = self.cost
-        states = {(0, 0): (0.0, "")}
+        # A reading is a chain (reading before, letter), so readings share their beginnings.
+        states = {(0, 0): (0.0, None)}
         before = ""
         for char in token:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             options = self.readings(char)
-            for (a, b), (so_far, text) in states.items():
+            for (a, b), (so_far, chain) in states.items():
                 for letter, price in options:
                     if not letter:
-                        state, total, grown = (a, b), so_far + price, text
+                        state, total, grown = (a, b), so_far + price, chain
                     else:
                         c = self.symbol(letter)
-                        state, total, grown = (b, c), so_far + price + cost[a][b][c], text + letter
+                        state, total, grown = (b, c), so_far + price + cost[a][b][c], (chain, letter)
                     if state not in after or total < after[state][0]:
                         after[state] = (total, grown)
-                if text and text[-1] in [letter for letter, _ in options if letter] and char == before:
+                if char == before and chain and chain[1] in [letter for letter, _ in options if letter]:
                     total = so_far + COST_REPEAT
                     if (a, b) not in after or total < after[a, b][0]:
-                        after[a, b] = (total, text)
+                        after[a, b] = (total, chain)
             states, before = after, char
-        ends = ((so_far + cost[a][b][0], text) for (a, b), (so_far, text) in states.items())
-        return min(ends)[1]
+        chain = min(((so_far + cost[a][b][0], chain) for (a, b), (so_far, chain) in states.items()), key=lambda end: end[0])[1]
+        letters = []
+        while chain:
+            chain, letter = chain
+            letters.append(letter)
+        return "".join(reversed(letters))
 
     def words(self, token: str) -> list[str]:
         """The words that a lower-case token, or a run of spelt-out letters, stands for."""
         core = token.lstrip(_OPENING).rstrip(_CLOSING)
-        if core.isalpha() and not _STRETCHED.search(core):
+        if core.isalpha() and not _DOUBLED.search(core):
             return [core]
-        if len(core) > LONGEST_TOKEN or not any(c.isalpha() for c in core):
+        if not any(c.isalpha() for c in core):
             return _LETTERS.findall(core)
-        return self.decode(core).split()
+        decoded = self.decode(core).split()
+        return [core, *decoded] if core.isalpha() and not _STRETCHED.search(core) else decoded
 
 
 def tokens(text: str) -> set[str]:
     """The different tokens of a text, spelt-out words as one token each."""
     lowered = text.lower()
-    return {*lowered.split(), *_SPELT.findall(lowered)}
+    runs = _SPELT.findall(lowered)
+    return {*lowered.split(), *runs, *(part for run in runs for part in _GAP.split(run) if _SPELT.fullmatch(part))}
 
 
 def features(words: list[str]) -> set[int]:

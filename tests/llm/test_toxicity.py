@@ -50,6 +50,41 @@ def test_hidden_words_are_restored(model, hidden, word):
     assert word in found
 
 
+@pytest.mark.parametrize("text,word", [
+    ("i d i o t. ok then", "idiot"), ("i d i o t. a man", "idiot"), ("you m o r o n, man", "moron"), ('"i d i o t" to me', "idiot"),
+    ("(l o s e r)", "loser"), ("don't i d i o t", "idiot"), ("idioot", "idiot"), ("moronn", "moron"), ("stuupid", "stupid"),
+    ("idi" + "o" * 100 + "t", "idiot"), ("m" * 3000 + "oron", "moron"), ("1d1ot" + "!" * 60 + "x", "idiot"),
+])
+def test_words_hidden_next_to_signs_or_at_length_are_restored(model, text, word):
+    decoder = toxicity.Decoder(model.counts)
+    assert word in {w for token in toxicity.tokens(text) for w in decoder.words(token)}
+
+
+@pytest.mark.parametrize("text,run", [
+    ("i d i o t. ok then", "i d i o t"), ("d u m b, man", "d u m b"), ('"i d i o t" to me', "i d i o t"), ("d i e", "d i e"),
+    ("i d i o t. a man", "i d i o t"), ("it isn't d u m b", "d u m b"), ("o k. d i e. no", "d i e"),
+])
+def test_spelt_runs_end_at_any_sign(text, run):
+    assert run in toxicity.tokens(text)
+
+
+def test_long_spelt_phrases_are_decoded(model):
+    decoder = toxicity.Decoder(model.counts)
+    phrase = "theing idiot oned handing loser ontion moron erness stupid"
+    spelt = " ".join(phrase.replace(" ", ""))
+    assert len(spelt) > 90 and spelt in toxicity.tokens(spelt)
+    found = decoder.words(spelt)
+    assert "".join(found) == phrase.replace(" ", "") and max(map(len, found)) > 1
+    wide = "  ".join(" ".join(word) for word in phrase.split())
+    assert set(INSULTS) <= {w for token in toxicity.tokens(wide) for w in decoder.words(token)}
+
+
+def test_long_tokens_take_linear_time_and_plain_doubles_stay(model):
+    decoder = toxicity.Decoder(model.counts)
+    assert "".join(decoder.words("a1b" * 50_000)).startswith("a")
+    assert "kitten" in decoder.words("kitten") and decoder.words("handing") == ["handing"]
+
+
 def test_hidden_insults_score_like_plain_ones(spark, model):
     texts = ["theing 1d1ot oned", "theing i d i o t oned", "theing idiot oned", "theing handing oned", "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").withColumn("score", F.lit("mine"))
