@@ -2,10 +2,12 @@
 
 A k-mer of units is a closed syncmer if the least hash among its inner s-mers stands at one
 of its edges. Whether it is one depends on nothing outside it, so a passage gives the same
-anchors wherever it stands. Units are words; texts of at most ``CHARACTERS`` code points,
-where words are too few, are also cut in characters. The fingerprint lists the smallest
-anchor hashes of either kind, and likeness is the Jaccard estimate from those lists (of
-characters if both texts have them, else of words).
+anchors wherever it stands. Units are words; where words are no use, in scripts without
+blanks and in words of more than ``LONG_WORD`` code points, each character is a unit, in
+texts of any length. Texts with fewer units than a sketch holds are also cut in characters
+as a whole. The fingerprint lists the smallest anchor hashes of either kind, and likeness is
+the Jaccard estimate from those lists (of characters if both texts have them, else of
+units). ``anchors`` knows words between blanks only.
 
 Defined cases: NULL and empty texts have no anchors and the fingerprint ``w``; two such
 texts are alike (1), an empty and another text are not (0); texts with fewer units than a
@@ -24,7 +26,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rosterline.workspace import sized
 
 SKETCH = 64
-CHARACTERS = 256
+LONG_WORD = 24
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 WORD_KMER, WORD_SMER = 5, 2
 CHAR_KMER, CHAR_SMER = 6, 3
 
@@ -42,6 +45,17 @@ def char_units(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), ""), lambda c: c != "")
 
 
+def mixed_units(text: Column) -> Column:
+    """Words, but the characters of scripts without blanks and of very long words one by one."""
+    is_long = lambda w: F.char_length(w) > LONG_WORD
+
+    def cut(words: Column) -> Column:
+        parts = F.flatten(F.transform(words, lambda w: F.when(is_long(w), char_units(w)).otherwise(F.array(w))))
+        return F.when(F.exists(words, is_long), parts).otherwise(words)
+
+    return bind(word_units(F.regexp_replace(text, UNSPACED, " $0 ")), cut)
+
+
 def syncmers(units: Column, k: int, s: int) -> Column:
     """The closed syncmers of an array of units, as (position, hash) in order."""
 
@@ -72,12 +86,16 @@ def _smallest(anchors: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """Struct of the lists ``words`` and ``characters`` (empty for longer texts)."""
-    short = F.when(F.char_length(text) <= CHARACTERS, text)
-    return F.struct(
-        _smallest(syncmers(word_units(text), WORD_KMER, WORD_SMER)).alias("words"),
-        _smallest(syncmers(char_units(short), CHAR_KMER, CHAR_SMER)).alias("characters"),
-    )
+    """Struct of the lists ``words`` (of mixed units) and ``characters`` (empty with units enough)."""
+
+    def of_units(units: Column) -> Column:
+        few = F.when(F.size(units) < SKETCH, text)
+        return F.struct(
+            _smallest(syncmers(units, WORD_KMER, WORD_SMER)).alias("words"),
+            _smallest(syncmers(char_units(few), CHAR_KMER, CHAR_SMER)).alias("characters"),
+        )
+
+    return bind(mixed_units(text), of_units)
 
 
 def fingerprint(sketched: Column) -> Column:
