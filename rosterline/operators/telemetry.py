@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterline.functions.columns import build_version, recency_label
 from rosterline.functions.predicates import none_like, within
@@ -34,7 +35,6 @@ VALID_BUILDS = 2
 REPORT_COLUMNS = ["gpin", "timeStamp", "connection", "remoteHostName", "localHostName", "issueType", "metric"]
 
 PLACE = ["workLocationId", "connection"]
-ACCURACY = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -71,20 +71,53 @@ def eligible_people(
     )
 
 
+def exact_quantiles(telemetry: DataFrame, measure: str, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """Per group, for each name in ``shares`` the value whose rank is that share of the rows, rounded up.
+
+    Equal values are counted first. Groups and values are then cut in ranges, a running sum over
+    the ranges of a group finds those that hold a rank, and only these are put in order, each in
+    a task of its own. NULL values do not count; a group of NULLs only has NULL limits.
+    """
+    spark = telemetry.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = telemetry.groupBy(*keys, measure).agg(F.count(measure).alias("__n"))
+    ranged = counts.repartitionByRange(parts, *keys, measure).withColumn("__range", F.spark_partition_id())
+    ranged = sized(ranged, "value-counts")
+
+    group = Window.partitionBy(*keys)
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__in"))  # a group has a row for each range at most
+    sums = sums.withColumn("__upto", F.sum("__in").over(group.orderBy("__range"))).withColumn("__all", F.sum("__in").over(group))
+    # Decimals, as a product of doubles could round past a whole rank.
+    rank = {name: F.ceil(F.col("__all").cast("decimal(18,0)") * F.lit(Decimal(str(share)))) for name, share in shares.items()}
+    rank = {name: F.greatest(r.cast("bigint"), F.lit(1)) for name, r in rank.items()}
+
+    def holds(upto: Column, n: Column, r: Column) -> Column:
+        return (upto - n < r) & (upto >= r)
+
+    wanted = reduce(lambda c, r: c | holds(F.col("__upto"), F.col("__in"), r), rank.values(), F.col("__all") == 0)
+    before = (F.col("__upto") - F.col("__in")).alias("__before")
+    marked = sized(
+        sums.where(wanted).select(*[F.col(k).alias(f"__key_{k}") for k in keys], F.col("__range").alias("__at"), before, "__all"), "rank-ranges"
+    )
+    same = reduce(lambda c, k: c & F.col(k).eqNullSafe(F.col(f"__key_{k}")), keys, F.col("__range") == F.col("__at"))
+    inside = Window.partitionBy(*keys, "__range").orderBy(measure)
+    rows = ranged.join(marked, same).withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
+    found = [F.max(F.when(holds(F.col("__upto"), F.col("__n"), r), F.col(measure))).alias(name) for name, r in rank.items()]
+    return rows.groupBy(*keys).agg(*found)
+
+
 def percentile_limits(telemetry: DataFrame, measure: str = "latencyAverage", keys: list[str] = PLACE,
                       share: float = 0.75, name: str = "latencyThreshold") -> DataFrame:
-    """The ``share`` percentile of a measure per group. Sketches merge, so hot groups are safe."""
-    return telemetry.groupBy(*keys).agg(F.percentile_approx(measure, share, ACCURACY).alias(name))
+    """The exact ``share`` percentile of a measure per group."""
+    return exact_quantiles(telemetry, measure, keys, {name: share})
 
 
 def fence_limits(telemetry: DataFrame, measure: str = "latencyAverage", keys: list[str] = PLACE,
                  name: str = "latencyUpperBound") -> DataFrame:
-    """Upper interquartile fence per group, with the quartiles from one sketch."""
-    quartiles = telemetry.groupBy(*keys).agg(
-        F.percentile_approx(measure, [0.25, 0.75], ACCURACY).alias("__q")
-    )
-    q1, q3 = F.col("__q")[0], F.col("__q")[1]
-    return quartiles.select(*keys, q1.alias("q1"), q3.alias("q3"), (q3 + FENCE_FACTOR * (q3 - q1)).alias(name))
+    """Upper interquartile fence per group, with the exact quartiles."""
+    quartiles = exact_quantiles(telemetry, measure, keys, {"q1": 0.25, "q3": 0.75})
+    q1, q3 = F.col("q1"), F.col("q3")
+    return quartiles.select(*keys, q1, q3, (q3 + FENCE_FACTOR * (q3 - q1)).alias(name))
 
 
 def with_limits(telemetry: DataFrame, limits: DataFrame, keys: list[str] = PLACE) -> DataFrame:

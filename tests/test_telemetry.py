@@ -1,7 +1,9 @@
 """Issue rules on literal rows."""
 
+import tempfile
 from datetime import datetime
 
+import duckdb
 from pyspark.sql import functions as F
 
 from rosterline.functions import columns as C, predicates as P
@@ -56,6 +58,24 @@ def test_fence_and_percentile(spark):
     assert tuple(T.fence_limits(df).first())[2:] == (2.0, 6.0, 12.0)
 
 
+def test_limits_are_exact_on_a_hot_group(spark):
+    n = 2_000_000
+    value = ((F.col("id") * 1_299_709) % n).cast("double") / 7
+    hot = spark.range(n).select(F.lit(1).cast("bigint").alias("workLocationId"), F.lit("c").alias("connection"), value.alias("latencyAverage"))
+    odd = [(2, "c", None), (None, "c", 5.0), (None, "c", None), (3, None, 1.0), (3, None, 2.0), *[(4, "d", float(v // 3)) for v in range(100)]]
+    rows = hot.unionByName(spark.createDataFrame(odd, "workLocationId BIGINT, connection STRING, latencyAverage DOUBLE")).repartition(8)
+    folder = tempfile.mkdtemp(prefix="run-")
+    rows.write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    quartiles = ", ".join(f"quantile_disc(\"latencyAverage\", {share})" for share in (0.25, 0.75, 0.9))
+    want = duckdb.sql(f"SELECT \"workLocationId\", connection, {quartiles} FROM '{folder}/rows/*.parquet' GROUP BY 1, 2").fetchall()
+    fences = {tuple(r)[:2]: (r.q1, r.q3) for r in T.fence_limits(rows).collect()}
+    p75 = {tuple(r)[:2]: r.latencyThreshold for r in T.percentile_limits(rows).collect()}
+    p90 = {tuple(r)[:2]: r.latencyThreshold for r in T.percentile_limits(rows, share=0.9).collect()}
+    assert fences == {r[:2]: r[2:4] for r in want}
+    assert p75 == {r[:2]: r[3] for r in want} and p90 == {r[:2]: r[4] for r in want}
+
+
 def test_population(spark):
     people = spark.createDataFrame([(i, i, 1 if i < 4 else 2) for i in range(6)], "gpin INT, HriEmployeeId INT, workLocationId INT")
     staff = spark.createDataFrame([(0, 1, "Active"), (1, 2, "Active"), (2, 1, "Left"), (3, 1, "Active"), (4, 1, "Active")], "Id INT, OrganizationalUnitId INT, Status STRING")
