@@ -196,7 +196,7 @@ def test_version_counts(spark):
     assert tuple(H.version_counts(apply(spark, first(spark), S1, T1)).first()) == (6, 3, 3)
 
 
-FEED = "k STRING, v STRING, ts TIMESTAMP_NTZ, pos BIGINT, gone BOOLEAN"
+CHANGES = "k STRING, v STRING, ts TIMESTAMP_NTZ, pos BIGINT, gone BOOLEAN"
 
 
 def day(n):
@@ -205,7 +205,7 @@ def day(n):
 
 def test_replay_does_not_depend_on_what_counts_as_hot(spark):
     rows = [("h", str(i // 3), day(1 + i // 2), i, i % 11 == 10) for i in range(40)] + [("c", "x", day(3), 0, False), (None, "y", day(3), 0, False)]
-    feed = spark.createDataFrame(rows, FEED)
+    feed = spark.createDataFrame(rows, CHANGES)
     results = [
         as_set(H.scd2_from_feed(feed, ["k"], ["v"], "ts", ["ts", "pos"], F.col("gone"), hot_rows=hot)) for hot in (3, 1_000_000)
     ]
@@ -214,7 +214,7 @@ def test_replay_does_not_depend_on_what_counts_as_hot(spark):
 
 def test_late_rows_fail(spark):
     history = H.bootstrap(spark.createDataFrame([("k", "a")], "k STRING, v STRING"), day(10))
-    late = spark.createDataFrame([("k", "b", day(5), 0, False)], FEED)
+    late = spark.createDataFrame([("k", "b", day(5), 0, False)], CHANGES)
     with pytest.raises(Exception, match="lies before the start"):
         H.apply_feed(history, late, ["k"], ["v"], "ts", "pos", "gone").collect()
     action = late.select("k", "ts", "pos", F.lit("remove").alias("action"))
@@ -224,7 +224,7 @@ def test_late_rows_fail(spark):
 
 def test_batches_keep_all_columns(spark):
     start = H.bootstrap(spark.createDataFrame([("k", "a", "dept"), ("u", "z", "other")], "k STRING, v STRING, department STRING"), day(1))
-    batch = spark.createDataFrame([("k", "b", day(5), 0, False)], FEED)
+    batch = spark.createDataFrame([("k", "b", day(5), 0, False)], CHANGES)
     after = H.apply_feed(start, batch, ["k"], ["v"], "ts", "pos", "gone")
     assert after.columns == start.columns
     assert as_set(after) == {
