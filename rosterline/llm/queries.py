@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterline.llm import chat_tools, decontamination, licenses, line_dedup, packing, simhash, syncmers, token_counts, toxicity, url_filters
+from rosterline.llm import (
+    chat_tools, decontamination, licenses, line_dedup, manifest, packing, repeats, simhash, spectra, syncmers, token_counts, toxicity,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -260,3 +263,80 @@ def op7_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = chat_tools.format_calls(calls, results, CHAT_SCHEMAS)
     return found.withColumn("problems", F.array_join("problems", ", "))
+
+
+@query()
+def op11_spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spectra.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, p, array_to_string(w[p : p + 12], ' ') AS key
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM docs WHERE len(w) >= 13)),
+firsts AS (SELECT key, min(doc_id) AS first_id FROM windows GROUP BY key HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, unnest(range(p, p + 13)) AS q FROM windows JOIN firsts USING (key) WHERE doc_id > first_id),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY q) AS text, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM docs) ANTI JOIN gone USING (r, q) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+""")
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+_LEAF = "sha256(" + " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(({c})::VARCHAR)) || ':' || ({c})::VARCHAR END"
+    for c in ("doc_id", "source", "lang", "{n_chars}", "text")
+) + ")"
+
+
+@query(rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_LEAF.format(n_chars="n_chars")} AS leaf, {_LEAF.format(n_chars="n_chars + 1")} AS other,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 7 = 0 AS chosen
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS total,
+    row_number() OVER () AS r FROM docs),
+nodes AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS digest, total FROM leaves
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((total + 1) // 2)
+  FROM nodes WHERE total > 1 GROUP BY tree, lvl, pos // 2),
+subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS total FROM nodes WHERE total = 1),
+tops AS (
+  SELECT 0 AS lvl, pos, digest, total FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((total + 1) // 2)
+  FROM tops WHERE total > 1 GROUP BY lvl, pos // 2),
+steps AS (
+  SELECT r, n.lvl, (l.pos >> n.lvl) & 1 AS side, s.digest
+  FROM leaves l JOIN nodes n ON n.tree = l.tree AND n.total > 1 AND n.pos = l.pos >> n.lvl
+  LEFT JOIN nodes s ON s.tree = l.tree AND s.lvl = n.lvl AND s.pos = xor(l.pos >> n.lvl, 1)
+  UNION ALL
+  SELECT r, 1000 + n.lvl, (g.pos >> n.lvl) & 1, s.digest
+  FROM leaves l JOIN subroots g USING (tree) JOIN tops n ON n.total > 1 AND n.pos = g.pos >> n.lvl
+  LEFT JOIN tops s ON s.lvl = n.lvl AND s.pos = xor(g.pos >> n.lvl, 1)),
+paths AS (
+  SELECT r, list({{'side': side, 'digest': digest}} ORDER BY lvl) AS path, string_agg(digest, '' ORDER BY lvl) AS proof FROM steps GROUP BY r),
+folded AS (
+  SELECT l.*, coalesce(p.proof, '') AS proof, list_reduce(
+      list_prepend({{'side': 0::BIGINT, 'digest': CASE WHEN chosen THEN other ELSE leaf END}}, coalesce(p.path, [])),
+      lambda a, b: {{'side': 0::BIGINT, 'digest': sha256(CASE WHEN b.digest IS NULL THEN a.digest WHEN b.side = 1 THEN b.digest || a.digest
+        ELSE a.digest || b.digest END)}}).digest AS folded_root
+  FROM leaves l LEFT JOIN paths p USING (r))
+SELECT doc_id, leaf, g.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = t.digest AS verified
+FROM folded JOIN subroots g USING (tree) CROSS JOIN (SELECT digest FROM tops WHERE total = 1) t
+""")
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = manifest.manifest(table(spark, sf_dir, "documents"), tampered={"n_chars": F.col("n_chars") + 1}, when=chosen)
+    proof = manifest.proof_digest(F.col("path")).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
