@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from rosterline.llm import carried
 from rosterline.llm.byte_words import text_slices, word_hashes, words_of
 from rosterline.llm.shipping import Shipped
 from rosterline.workspace import sized
@@ -350,9 +351,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     found = sized(repeated_spans(docs, id_col, text_col, window, **options), "repeats")
     others = [c for c in docs.columns if c not in (text_col, *OUTPUTS)]
-    carried = F.struct(F.lit(True).alias("__"), *[F.col(f"`{c}`") for c in others])
     rows = docs.select(
-        carried.alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("bigint").alias("own_id"), F.xxhash64(text_col).alias("own_hash"),
+        carried.packed(others).alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("bigint").alias("own_id"), F.xxhash64(text_col).alias("own_hash"),
     )
     met = rows.join(found, (F.col("own_id") == F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     kind = rows.schema["row"].dataType.simpleString()
