@@ -1,9 +1,10 @@
 """Toxicity of texts that hide their words: restore by noisy channel, then score.
 
-A token with digits or signs among its letters, with repeated letters, or spelt out with
+A token with digits or signs among or instead of letters, with repeated letters, or spelt out with
 separators is decoded, however long it is: each character gives a few readings (itself, the letters it stands
 for, nothing, a word break), and Viterbi search over this lattice finds the reading of
-least cost under a character trigram model and the cost of each substitution. The trigram
+least cost under a character trigram model and the cost of each substitution. A token without letters may also be
+read as it stands, at the cost of so many arbitrary digits. The trigram
 counts are taken over all texts. Words of the restored text, and beginnings of words, are
 the features of a logistic model fitted on labelled rows that are not held out. A word whose
 letters are at most doubled, as in plain spelling, also counts as it stands; a spelt-out run
@@ -45,15 +46,17 @@ STANDS_FOR = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i",
 }
 SEPARATORS = set(" ._-*~'`^/\\,:;")
+COST_DIGIT = 2.3  # of ten, any
 COST_SUBSTITUTE, COST_SKIP, COST_REPEAT, COST_BREAK, COST_DROP, COST_DROP_LETTER = 0.7, 0.3, 0.4, 2.5, 2.0, 5.0
 
 _OPENING = "\"'([{<.,;:?*#%&-_/\\~`^=»«“”„¿…–—"
 _CLOSING = "\"')]}>.,;:?!*#%&-_/\\~`^=»«“”„…–—"
 _STRETCHED = re.compile(r"(.)\1\1")
 _DOUBLED = re.compile(r"(.)\1")
-# From three letters on, from and to any sign; the end of "don't" is no beginning.
-_SPELT = re.compile(r"(?<![^\W_])(?<![^\W_]['’])(?:[^\W_][ ._\-*]{1,2}){2,}[^\W_](?![^\W_])")
-_GAP = re.compile(r"[._\-*] | {2}")
+# From three letters on, from and to any sign; the end of "don't" is no beginning. Signs can stand for letters, some only inside.
+_UNIT, _GAPS = r"[^\W_]|[@$€£]", r"[\s._\-*]{1,4}"
+_SPELT = re.compile(rf"(?<![^\W_])(?<![^\W_]['’])(?:{_UNIT}){_GAPS}(?:(?:{_UNIT}|[!|+]){_GAPS})+(?:{_UNIT})(?![^\W_])")
+_GAP = re.compile(r"[._\-*]\s|\s{2,}|\n")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 _BYTE_SYMBOL = np.zeros(256, np.int64)
@@ -105,33 +108,38 @@ class Decoder:
 
     def decode(self, token: str) -> str:
         """The reading of least cost; repeated letters may count once."""
+        return self.best(token)[1]
+
+    def best(self, token: str) -> tuple[float, str]:
+        """The least cost of a reading, and that reading."""
         cost = self.cost
         # A reading is a chain (reading before, letter), so readings share their beginnings.
-        states = {(0, 0): (0.0, None)}
+        # Whether it has begun is part of the state: only then can its last letter, or break, repeat.
+        states = {(0, 0, False): (0.0, None)}
         before = ""
         for char in token:
-            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            after: dict[tuple[int, int, bool], tuple[float, tuple | None]] = {}
             options = self.readings(char)
-            for (a, b), (so_far, chain) in states.items():
+            for (a, b, begun), (so_far, chain) in states.items():
                 for letter, price in options:
                     if not letter:
-                        state, total, grown = (a, b), so_far + price, chain
+                        state, total, grown = (a, b, begun), so_far + price, chain
                     else:
                         c = self.symbol(letter)
-                        state, total, grown = (b, c), so_far + price + cost[a][b][c], (chain, letter)
+                        state, total, grown = (b, c, True), so_far + price + cost[a][b][c], (chain, letter)
                     if state not in after or total < after[state][0]:
                         after[state] = (total, grown)
-                if char == before and chain and chain[1] in [letter for letter, _ in options if letter]:
+                if begun and char == before and chain[1] in [letter for letter, _ in options if letter]:
                     total = so_far + COST_REPEAT
-                    if (a, b) not in after or total < after[a, b][0]:
-                        after[a, b] = (total, chain)
+                    if (a, b, True) not in after or total < after[a, b, True][0]:
+                        after[a, b, True] = (total, chain)
             states, before = after, char
-        chain = min(((so_far + cost[a][b][0], chain) for (a, b), (so_far, chain) in states.items()), key=lambda end: end[0])[1]
+        total, chain = min(((so_far + cost[a][b][0], chain) for (a, b, _), (so_far, chain) in states.items()), key=lambda end: end[0])
         letters = []
         while chain:
             chain, letter = chain
             letters.append(letter)
-        return "".join(reversed(letters))
+        return total, "".join(reversed(letters))
 
     def words(self, token: str) -> list[str]:
         """The words that a lower-case token, or a run of spelt-out letters, stands for."""
@@ -139,11 +147,20 @@ class Decoder:
         if core.isalpha() and not _DOUBLED.search(core):
             return [core]
         if not any(c.isalpha() for c in core):
-            return _LETTERS.findall(core)
+            return self.signs(token)
         decoded = self.decode(core).split()
         return [core, *decoded] if core.isalpha() and not _STRETCHED.search(core) else decoded
 
 
+    def signs(self, token: str) -> list[str]:
+        """The words of a token without letters: none if it reads better as it stands, as numbers do."""
+        core = token.strip("\"'.,;:?*#%&-_/\\~`^=»«“”„¿…–—)]}>[{<")
+        if sum(c in STANDS_FOR for c in core) < 2:
+            return []
+        cost, words = self.best(core)
+        return words.split() if cost < COST_DIGIT * len(core) else []
+
+
 def tokens(text: str) -> set[str]:
     """The different tokens of a text, spelt-out words as one token each."""
     lowered = text.lower()
@@ -171,8 +188,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     share = min(1.0, max_rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
     # Broadcast: about max_rows rows of two numbers, whatever the size of the tables.
-    joined = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id"))
-    return sized(joined.select(F.col(text_col).alias("text"), "toxic"), "labelled-sample")
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("text"))
+    return sized(texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("text", "toxic"), "labelled-sample")
 
 
 def held_out(doc_id) -> F.Column:

@@ -68,6 +68,62 @@ def test_spelt_runs_end_at_any_sign(text, run):
     assert run in toxicity.tokens(text)
 
 
+@pytest.mark.parametrize("text,word", [
+    ("$ t u p i d", "stupid"), ("so $ t u p i d, man", "stupid"), ("i d i o 7", "idiot"), ("s t ! p i d", None), ("l   o   s   e   r", "loser"),
+    ("m\no\nr\no\nn", "moron"), ("m o r\no n", "moron"), ("i - d - i - o - t", "idiot"),
+])
+def test_spelt_words_with_signs_and_wide_gaps(model, text, word):
+    decoder = toxicity.Decoder(model.counts)
+    found = {w for token in toxicity.tokens(text) for w in decoder.words(token)}
+    assert word is None or word in found
+
+
+def test_tokens_of_signs_are_read_as_words_or_numbers(model):
+    counts = np.zeros((28, 28, 28), np.int64)
+    for a, b, c in zip("  455".replace("455", "ass") + " ", " ass  ", "ass   "):
+        counts[tuple(0 if x == " " else ord(x) - 96 for x in (a, b, c))] += 10_000
+    decoder = toxicity.Decoder(counts.reshape(-1))
+    assert decoder.words("455") == ["ass"] and decoder.words("@$$") == ["ass"] and decoder.words("(4$5),") == ["ass"]
+    plain = toxicity.Decoder(model.counts)
+    assert plain.words("$") == plain.words("...") == plain.words("7.") == [] and plain.words("90210") == []
+
+
+def enumerated(decoder, token):
+    """The least cost of all readings, one by one."""
+
+    def go(at, a, b, last, so_far):
+        if at == len(token):
+            return so_far + decoder.cost[a][b][0]
+        options, ends = decoder.readings(token[at]), []
+        for letter, price in options:
+            if letter:
+                c = decoder.symbol(letter)
+                ends.append(go(at + 1, b, c, letter, so_far + price + decoder.cost[a][b][c]))
+            else:
+                ends.append(go(at + 1, a, b, last, so_far + price))
+        if at and token[at] == token[at - 1] and last and last in [letter for letter, _ in options]:
+            ends.append(go(at + 1, a, b, last, so_far + toxicity.COST_REPEAT))
+        return min(ends)
+
+    return go(0, 0, 0, None, 0.0)
+
+
+def test_viterbi_finds_the_best_of_all_readings(model):
+    rng, decoder = random.Random(4), toxicity.Decoder(model.counts)
+    for _ in range(300):
+        token = "".join(rng.choice("ait01!$.-") for _ in range(rng.randint(1, 5)))
+        assert decoder.best(token)[0] == pytest.approx(enumerated(decoder, token)), token
+
+
+def test_documents_with_any_columns(spark, corpus):
+    docs, labels = corpus
+    names = ["toxic", "__id", "__doc", "row", "score", "predicted", "n", "h"]
+    more = docs.limit(60).select("*", *[F.lit(c).alias(c) for c in names])
+    kept = toxicity.without_toxic(more, labels)
+    assert kept.columns == more.columns and all(r[c] == c for r in kept.collect() for c in names)
+    assert toxicity.scored(more, toxicity.fit(more, labels)).count() == 60
+
+
 def test_long_spelt_phrases_are_decoded(model):
     decoder = toxicity.Decoder(model.counts)
     phrase = "theing idiot oned handing loser ontion moron erness stupid"
