@@ -14,3 +14,7 @@ class Shipped:
 
     def load(self):
         return cloudpickle.loads(self._sent.value)
+
+    def release(self) -> None:
+        """Drops the value everywhere; no later job may need it."""
+        self._sent.destroy()

@@ -64,6 +64,45 @@ def test_pipeline_form_keeps_columns(spark):
     assert line_dedup.without_frequent_lines(docs.limit(0)).count() == 0
 
 
+NAMES = ["row_id", "row_hash", "drops", "hash", "line", "key", "batch", "text_lines", "__row", "n_lines", "n_dropped", "hashes"]
+
+
+def test_own_columns_stay(spark):
+    docs = spark.createDataFrame([(i, f"common\nown {i}") for i in range(12)], "doc_id BIGINT, text STRING").select(
+        "doc_id", *[F.lit(c).alias(c) for c in NAMES], "text")
+    kept = line_dedup.without_frequent_lines(docs)
+    assert kept.columns == docs.columns and all(r[c] == c for r in kept.collect() for c in NAMES)
+    got = line_dedup.deduplicate_lines(docs)
+    assert got.columns == [c for c in docs.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
+    assert {(r["n_lines"], r["n_dropped"], r["drops"]) for r in got.collect()} == {(2, 1, "drops")}
+
+
+def test_keys_with_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "key_hash", lambda key: F.pmod(F.xxhash64(key), F.lit(5)))
+    rows = [(i % 12, t) for i, t in enumerate([*TEXTS, *(f"own {i}\nevery\nsome {i % 3}" for i in range(15))])]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    for least in (2, 5):
+        got = line_dedup.deduplicate_lines(docs, min_docs=least).collect()
+        want = sorted([(r[0], *b) for r, b in zip(rows, brute_lines([t for _, t in rows], least))], key=str)
+        assert sorted(map(tuple, got), key=str) == want
+
+
+def test_later_batches_meet_the_runs(spark, monkeypatch):
+    """In the form that the queries use, batches are anti-joined with settled runs and levels build up."""
+    joined, kept = [], []
+    add = line_dedup.LineRuns.add
+
+    def watched(self, hashes):
+        joined.append(len(self.settled))
+        add(self, hashes)
+        kept.append(max(self.levels))
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add", watched)
+    docs = spark.createDataFrame([(i, f"common\nown {i}") for i in range(60)], "doc_id BIGINT, text STRING")
+    assert {r["n_dropped"] for r in line_dedup.deduplicate_lines(docs).collect()} == {1}
+    assert joined == [0, 0, 1, 1] and max(kept) == 2
+
+
 def words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -115,6 +154,40 @@ def test_longest_match_and_removal(spark):
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [0]
 
 
+def test_repetitive_texts_cost_their_longest_matches(spark):
+    import time
+
+    docs = spark.createDataFrame([(1, "a b " * 4000), (2, ("p1 p2 p3 p4 p5 p6 p7 p8 p9 p10 " + "x ") * 300)], "doc_id BIGINT, text STRING")
+    benchmark = spark.createDataFrame([(1, "a b " * 400), (2, ("p1 p2 p3 p4 p5 p6 p7 p8 p9 p10 " + "y ") * 60)], "item_id BIGINT, text STRING")
+    started = time.perf_counter()
+    got = {r["doc_id"]: r for r in decontamination.locate(docs, benchmark).collect()}
+    assert time.perf_counter() - started < 10
+    assert got[1]["n_hit"] == 8000 and got[1]["items"] == ["1"] and max(m["words"] for m in got[1]["matches"]) == 800
+    assert got[2]["n_hit"] == 3000 and got[2]["items"] == ["2"] and len(got[2]["matches"]) == 300
+
+
+def test_longest_match_of_each_place(spark):
+    docs = spark.createDataFrame([(1, "u a b c d e f v a b c d w")], "doc_id BIGINT, text STRING")
+    benchmark = spark.createDataFrame([(1, "a b c x a b c d e f y"), (2, "b c d")], "item_id BIGINT, text STRING")
+    row = decontamination.locate(docs, benchmark, min_words=3).first()
+    found = {(m["item_id"], m["word"], m["item_word"], m["words"]) for m in row["matches"]}
+    assert found == {("1", 1, 4, 6), ("1", 8, 4, 4), ("2", 2, 0, 3), ("2", 9, 0, 3)}
+    assert (row["n_hit"], row["items"]) == (10, ["1", "2"])
+
+
+def test_repeated_items_and_columns_of_any_name(spark):
+    names = ["items", "matches", "n_hit", "n_words", "row", "k1", "spans", "__m0", "__mood", "more_items"]
+    docs = spark.createDataFrame([(0, "one two three four"), (1, "clean words here"), (2, None)], "doc_id BIGINT, text STRING")
+    docs = docs.select("doc_id", *[F.concat(F.lit(c), "doc_id").alias(c) for c in names], "text")
+    benchmark = spark.createDataFrame([(5, "two three four")] * 50 + [(6, "two three four"), (7, "x y z")], "item_id BIGINT, text STRING")
+    for block in (1 << 20, 20):
+        kept = decontamination.without_contaminated(docs, benchmark, min_words=3, block_bytes=block)
+        assert kept.columns == docs.columns
+        assert {tuple(r[c] for c in names) for r in kept.collect()} == {tuple(f"{c}{i}" for c in names) for i in (1, 2)}
+        hit = decontamination.locate(docs, benchmark, min_words=3, block_bytes=block).where("doc_id = 0").first()
+        assert (hit["items"], hit["n_hit"], len(hit["matches"]), hit["row"]) == (["5", "6"], 3, 2, "row0")
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id BIGINT, text STRING")
     some = spark.createDataFrame([(1, "a b c")], "doc_id BIGINT, text STRING")
