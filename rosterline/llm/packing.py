@@ -5,7 +5,11 @@ always adding the piece, among those that still fit in every limit, with the gre
 product of its demands and what the sequence has left, each limit weighted by its share of
 the whole demand. Pieces are dealt to buckets by hash, about ``bucket_rows`` in each, and
 every bucket is packed in a task of its own; buckets are large enough that their last,
-partly filled sequences do not matter.
+partly filled sequences do not matter. A piece's number in storage is part of its hash, so
+pieces that are equal in all else are dealt out too.
+
+The limits of documents are tokens, segments (pieces of a sequence) and loss-bearing
+tokens. Only the first is always set; the others bind where the caller sets them.
 
 Documents that fit in one sequence are not cut; longer ones give whole sequences and a rest.
 
@@ -28,7 +32,6 @@ from rosterline.llm.tokenizing import shared_encoder
 from rosterline.workspace import stored
 
 MAX_TOKENS = 4096
-MAX_SEGMENTS = 64
 BUCKET_ROWS = 20_000
 
 
@@ -114,14 +117,16 @@ def pack(items: DataFrame, limits: dict[str, int], order: list[str], bucket_rows
     """``items`` with ``sequence_id`` and ``offset``, the sum of the first limited column before it.
 
     ``limits`` maps columns with the demands of an item to what a sequence may hold; the
-    first is its length. ``order`` names columns that tell items apart; it fixes the buckets
-    and the order in a bucket, so that a task that runs again gives the same rows.
+    first is its length. ``order`` names columns that tell items apart; with a number that each item
+    gets as it is stored they fix the buckets and the order in a bucket, so that a task that
+    runs again gives the same rows.
     """
-    items = items.select(*[c for c in items.columns if c not in ("sequence_id", "offset")])
+    names = [c for c in items.columns if c not in ("sequence_id", "offset")]
     sizes, tops = list(limits), np.array(list(limits.values()))
-    items, rows = stored(items, "pack-items", F.count(F.lit(1)))
+    numbered = items.select(*names, F.monotonically_increasing_id().alias("__number"))
+    items, rows = stored(numbered, "pack-items", F.count(F.lit(1)))
     buckets = max(1, math.ceil((rows or 0) / bucket_rows))
-    names = items.columns
+    order = [*order, "__number"]
 
     def fill_bucket(key, table):
         table = table.sort_by([(c, "ascending") for c in order])
@@ -138,22 +143,42 @@ def pack(items: DataFrame, limits: dict[str, int], order: list[str], bucket_rows
         sequence = (np.int64(key[0].as_py()) << 32) + bins[by_bin]
         return table.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offsets))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    dealt = items.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema if f.name in names)
+    hashed = F.pmod(F.xxhash64(*order[:-1]), F.lit(buckets))
+    dealt = items.withColumn("__bucket", hashed)
+    # Items equal in all of ``order`` share a bucket; one that they fill several times over is cut by their numbers.
+    counts = dealt.groupBy(F.col("__bucket").alias("__full")).agg(F.count(F.lit(1)).alias("__items"))
+    full, found = stored(counts.where(F.col("__items") > 2 * bucket_rows), "full-buckets", F.count(F.lit(1)))
+    if found:
+        cut = F.pmod("__number", F.ceil(F.col("__items") / bucket_rows)) * buckets
+        dealt = dealt.join(full, F.col("__bucket") == F.col("__full"), "left")
+        dealt = dealt.withColumn("__bucket", F.col("__bucket") + F.coalesce(cut, F.lit(0))).drop("__full", "__items")
     return dealt.groupBy("__bucket").applyInArrow(fill_bucket, f"{kinds}, sequence_id BIGINT, offset BIGINT")
 
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-    max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss_tokens: int | None = None, with_ids: bool = False,
+    max_tokens: int = MAX_TOKENS, max_segments: int | None = None, max_loss_tokens: int | None = None, with_ids: bool = False,
+    prompt_col: str | None = None,
 ) -> DataFrame:
     """Every piece of ``docs`` with its ``sequence_id`` and ``offset``.
 
-    Loss-bearing are all ids but the first of a document, which nothing predicts.
+    ``prompt_col`` says how many ids at a document's beginning are its prompt and bear no
+    loss (NULL: none); without it all ids bear loss. A limit of None never binds.
     """
-    cut = pieces(docs, tokenizer, end_id, id_col, text_col, max_tokens, with_ids)
-    cut = cut.withColumns({
-        "segments": F.lit(1).cast("bigint"), "loss_tokens": F.col("length") - (F.col("start") == 0).cast("bigint"),
-    })
-    limits = {"length": max_tokens, "segments": max_segments, "loss_tokens": max_loss_tokens or max_tokens}
-    return pack(cut, limits, ["start", "length", "ids_crc32", id_col]).drop("segments", "loss_tokens")
+    name = id_col
+    if prompt_col:
+        # The prompt's length goes along with the id through the tokenizer.
+        docs = docs.select(F.struct(F.col(id_col).alias("id"), F.coalesce(F.col(prompt_col).cast("bigint"), F.lit(0)).alias("prompt")).alias("__named"), text_col)
+        name = "__named"
+    cut = pieces(docs, tokenizer, end_id, name, text_col, max_tokens, with_ids)
+    if prompt_col:
+        named = [F.col("__named.id").alias(id_col), F.col("__named.prompt").alias("__prompt")]
+        cut = cut.select(*named, *[c for c in cut.columns if c != name])
+    prompt = F.col("__prompt") if prompt_col else F.lit(0)
+    unscored = F.least(F.greatest(prompt - F.col("start"), F.lit(0)), F.col("length"))
+    cut = cut.withColumns({"segments": F.lit(1).cast("bigint"), "loss_tokens": (F.col("length") - unscored).cast("bigint")})
+    # A sequence of max_tokens ids holds no more pieces and no more loss-bearing ids than that anyway.
+    limits = {"length": max_tokens, "segments": max_segments, "loss_tokens": max_loss_tokens}
+    packed = pack(cut, {k: max_tokens if v is None else v for k, v in limits.items()}, ["start", "length", "ids_crc32", id_col])
+    return packed.drop("segments", "loss_tokens", "__prompt")

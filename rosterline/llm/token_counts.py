@@ -31,9 +31,11 @@ OUTPUTS = ["index", "ordinal", "start", "n_tokens", "complete"]
 
 
 def write_flat_files(
-    docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS
+    docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS, width: int = 2
 ) -> DataFrame:
-    """Tokenizes ``docs`` into one flat file of 16-bit ids per task, stored in blocks.
+    """Tokenizes ``docs`` into one flat file of ids of ``width`` bytes per task, stored in blocks.
+
+    An id that does not fit in that width fails the job, as it would turn into another one.
 
     Rows (``file_id``, ``block``, ``ids``, ``doc_ids``): the last are the ids of the documents that
     end in the block, for the reader who wants to name what a scan counts; no scan needs them.
@@ -41,9 +43,9 @@ def write_flat_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer, special=False)  # a text never holds the end id
-        end = np.array([end_id], "<u2").tobytes()
+        end = np.array([end_id], f"<u{width}").tobytes()
         file_id, kind = TaskContext.get().partitionId(), None
-        size, block, written, held = 2 * block_ids, 0, 0, bytearray()
+        size, block, written, held = width * block_ids, 0, 0, bytearray()
         ending: list[int] = []  # the block in which each document not given yet ends
         names: list = []
 
@@ -59,7 +61,10 @@ def write_flat_files(
                 part = batch.slice(first, 256)
                 encoded = encoder.encode([t or "" for t in part.column(1).to_pylist()])
                 for name, data in zip(part.column(0).to_pylist(), encoded):
-                    held += np.frombuffer(data, "<u4").astype("<u2").tobytes() + end
+                    ids = np.frombuffer(data, "<u4")
+                    if int(ids.max(initial=0)) >= 1 << (8 * width):
+                        raise ValueError(f"token id {ids.max()} does not fit in {width} bytes")
+                    held += ids.astype(f"<u{width}").tobytes() + end
                     written += len(data) // 4 + 1
                     ending.append((written - 1) // block_ids)
                     names.append(name)
@@ -70,6 +75,8 @@ def write_flat_files(
         if held:
             yield give(bytes(held))
 
+    if end_id >= 1 << (8 * width):
+        raise ValueError(f"end id {end_id} does not fit in {width} bytes")
     path = fresh_dir(docs.sparkSession, "flat-files")
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"file_id INT, block BIGINT, ids BINARY, doc_ids ARRAY<{kind}>"

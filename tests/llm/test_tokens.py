@@ -81,6 +81,43 @@ def test_all_limits_hold_and_little_is_wasted(spark):
     assert sorted(got) == sorted(again)
 
 
+def test_short_documents_share_sequences(spark, tokenizer):
+    docs = spark.createDataFrame([(i, "two words") for i in range(1000)], "doc_id BIGINT, text STRING")
+    got = packing.pack_documents(docs, tokenizer, 2).collect()
+    assert len(got) == 1000 and len({r["sequence_id"] for r in got}) == -(-sum(r["length"] for r in got) // 4096)
+    few = packing.pack_documents(docs, tokenizer, 2, max_segments=64).collect()
+    assert check_sequences([{**r.asDict(), "segments": 1} for r in few], {"length": 4096, "segments": 64}) == 16
+
+
+def test_prompts_bear_no_loss(spark, tokenizer):
+    rows = [(i, "tok " * 50, 40 if i % 2 else None) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, prompt INT")
+    got = packing.pack_documents(docs, tokenizer, 2, max_tokens=600, max_loss_tokens=120, prompt_col="prompt").collect()
+    assert all(set(r.asDict()) == {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} for r in got)
+    loss = {i: r["length"] - (min(40, r["length"]) if i % 2 else 0) for r in got for i in [r["doc_id"]]}
+    check_sequences([{**r.asDict(), "loss": loss[r["doc_id"]]} for r in got], {"length": 600, "loss": 120})
+    with pytest.raises(Exception, match="exceeds a limit"):
+        packing.pack_documents(docs, tokenizer, 2, max_loss_tokens=0).collect()
+
+
+def test_repeated_rows_are_cut_over_buckets(spark):
+    frame = spark.createDataFrame([(7, 10)] * 900 + [(i, 10) for i in range(100)], "item BIGINT, length BIGINT").repartition(3)
+    got = packing.pack(frame, {"length": 40}, ["item"], bucket_rows=100).collect()
+    assert len(got) == 1000 and check_sequences(got, {"length": 40}) <= 270
+    tasks = {r["sequence_id"] >> 32 for r in got if r["item"] == 7}
+    assert len(tasks) >= 8
+
+
+def test_ids_that_do_not_fit_fail(spark, tokenizer):
+    docs = spark.createDataFrame([(1, "some words")], "doc_id BIGINT, text STRING")
+    with pytest.raises(ValueError, match="does not fit"):
+        token_counts.write_flat_files(docs, tokenizer, 70_000)
+    with pytest.raises(Exception, match="does not fit in 1 bytes"):
+        token_counts.write_flat_files(docs, tokenizer, 200, width=1).collect()
+    flat = token_counts.write_flat_files(docs, tokenizer, 70_000, width=4)
+    assert [r["n_tokens"] for r in token_counts.document_lengths(flat, 70_000, width=4).collect()] == [len(direct(tokenizer, "some words"))]
+
+
 def test_item_over_a_limit_fails(spark):
     frame = spark.createDataFrame([(1, 5)], "item BIGINT, length BIGINT")
     with pytest.raises(Exception, match="exceeds a limit"):
