@@ -2,19 +2,19 @@
 
 A k-mer of units is a closed syncmer if the least hash among its inner s-mers stands at one
 of its edges. Whether it is one depends on nothing outside it, so a passage gives the same
-anchors wherever it stands. Units are words; where words are no use, in scripts without
-blanks and in words of more than ``LONG_WORD`` code points, each character is a unit, in
-texts of any length. Texts with fewer units than a sketch holds are also cut in characters
-as a whole. The fingerprint lists the smallest anchor hashes of either kind, and likeness is
-the Jaccard estimate from those lists (of characters if both texts have them, else of
-units). ``anchors`` knows words between blanks only.
+anchors wherever it stands. Units are words; the characters of scripts without blanks, and
+of words of more than ``LONG_WORD`` code points, are units one by one. This rule goes by content alone and is
+the same for texts of any length. The fingerprint lists the smallest anchor hashes, and
+likeness is the Jaccard estimate from those lists. ``anchors`` gives anchors with their
+positions, and ``positional_matches`` lines up two texts by them.
 
 Defined cases: NULL and empty texts have no anchors and the fingerprint ``w``; two such
 texts are alike (1), an empty and another text are not (0); texts with fewer units than a
 k-mer have one anchor of all of them; documents with equal ids are compared with the same
 next document; of several documents with the next id the one whose text hashes least
 counts; rows with a NULL id have no next document; a single document is its own next one;
-an empty table gives an empty table; outputs replace columns of the same name.
+an empty table gives an empty table; outputs replace columns of the same name, others stay
+whatever their names.
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rosterline.llm import carried
 from rosterline.workspace import sized
 
 SKETCH = 64
 LONG_WORD = 24
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
-WORD_KMER, WORD_SMER = 5, 2
-CHAR_KMER, CHAR_SMER = 6, 3
+KMER, SMER = 3, 1
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -65,7 +65,8 @@ def syncmers(units: Column, k: int, s: int) -> Column:
         def chosen(g: Column) -> Column:
             def closed(i: Column) -> Column:
                 edges = F.least(F.get(g, i), F.get(g, i + (k - s)))
-                return edges <= F.least(*[F.get(g, i + j) for j in range(1, k - s)])
+                inner = [F.get(g, i + j) for j in range(1, k - s)]
+                return edges <= (F.least(*inner) if len(inner) > 1 else inner[0])
 
             return F.filter(F.sequence(F.lit(0), F.size(h) - k), closed)
 
@@ -81,49 +82,64 @@ def syncmers(units: Column, k: int, s: int) -> Column:
 
 def _smallest(anchors: Column) -> Column:
     """The ``SKETCH`` smallest different anchor hashes, cut to 32 bits."""
-    short = F.array_distinct(F.transform(anchors, lambda a: F.shiftrightunsigned(a.hash, 32)))
+    short = F.array_distinct(F.transform(anchors, lambda a: F.shiftright(a.hash, 32).cast("int")))
     return F.slice(F.sort_array(short), 1, SKETCH)
 
 
 def sketch(text: Column) -> Column:
-    """Struct of the lists ``words`` (of mixed units) and ``characters`` (empty with units enough)."""
-
-    def of_units(units: Column) -> Column:
-        few = F.when(F.size(units) < SKETCH, text)
-        return F.struct(
-            _smallest(syncmers(units, WORD_KMER, WORD_SMER)).alias("words"),
-            _smallest(syncmers(char_units(few), CHAR_KMER, CHAR_SMER)).alias("characters"),
-        )
-
-    return bind(mixed_units(text), of_units)
+    """The ``SKETCH`` smallest different anchor hashes of a text."""
+    return _smallest(syncmers(mixed_units(text), KMER, SMER))
 
 
 def fingerprint(sketched: Column) -> Column:
-    def digits(values: Column) -> Column:
-        return F.array_join(F.transform(values, lambda v: F.lower(F.lpad(F.hex(v), 8, "0"))), "")
-
-    characters = F.when(F.size(sketched.characters) > 0, F.concat(F.lit("c"), digits(sketched.characters)))
-    return F.concat(F.lit("w"), digits(sketched.words), F.coalesce(characters, F.lit("")))
+    digits = lambda v: F.lower(F.lpad(F.hex(v.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+    return F.concat(F.lit("w"), F.array_join(F.transform(sketched, digits), ""))
 
 
-def _jaccard(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column) -> Column:
+    """From 0 to 1; 1 for equal sketches."""
     both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
     least = F.size(F.array_intersect(F.array_intersect(a, b), both))
     return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(least / F.size(both))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """From 0 to 1; 1 for equal sketches."""
-    chars = (F.size(a.characters) > 0) & (F.size(b.characters) > 0)
-    return F.when(chars, _jaccard(a.characters, b.characters)).otherwise(_jaccard(a.words, b.words))
-
-
 def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (``id_col``, ``position`` counted in words, ``hash``): the word anchors of all documents."""
-    found = F.explode(syncmers(word_units(F.col(text_col)), WORD_KMER, WORD_SMER))
+    """Rows (``id_col``, ``position`` counted in units, ``hash``): the anchors of all documents."""
+    found = F.explode(syncmers(mixed_units(F.col(text_col)), KMER, SMER))
     return docs.select(id_col, found.alias("__anchor")).select(id_col, "__anchor.position", "__anchor.hash")
 
 
+def positional_matches(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """``pairs`` with ``matches``: stretches of units that two texts share, by anchors that stand once in each.
+
+    Anchors with one hash in both texts lie on a diagonal, the difference of their positions;
+    a stretch goes from the first to the last anchor of a diagonal: (left, right, units).
+    """
+
+    def once(text: Column) -> Column:
+        found = syncmers(mixed_units(text), KMER, SMER)
+        return bind(found, lambda own: bind(F.transform(own, lambda a: a.hash), lambda hashes: F.filter(
+            own, lambda a: F.size(F.filter(hashes, lambda h: h == a.hash)) == 1
+        )))
+
+    both = pairs.withColumn("__left", once(F.col(left))).withColumn("__right", once(F.col(right)))
+    shared = F.array_intersect(F.transform("__left", lambda a: a.hash), F.transform("__right", lambda a: a.hash))
+    at = lambda side: F.map_from_entries(F.transform(side, lambda a: F.struct(a.hash, a.position)))
+    both = both.withColumns({"__shared": shared, "__l": at("__left"), "__r": at("__right")})
+    points = F.transform("__shared", lambda h: F.struct((F.element_at("__r", h) - F.element_at("__l", h)).alias("diagonal"), F.element_at("__l", h).alias("at")))
+    both = both.withColumn("__points", points)
+    diagonals = F.sort_array(F.array_distinct(F.transform("__points", lambda p: p.diagonal)))
+
+    def stretch(diagonal: Column) -> Column:
+        places = F.transform(F.filter("__points", lambda p: p.diagonal == diagonal), lambda p: p["at"])
+        return F.struct(
+            F.array_min(places).alias("left"), (F.array_min(places) + diagonal).alias("right"),
+            (F.array_max(places) - F.array_min(places) + KMER).alias("units"),
+        )
+
+    return both.select(*pairs.columns, F.transform(diagonals, stretch).alias("matches"))
+
+
 def following(ids: DataFrame) -> DataFrame:
     """For distinct ``id`` rows (``id``, ``hash``, ``need``) the next lower id, round to the highest.
 
@@ -148,33 +164,45 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with fingerprints of each text and of the text whose last third gives way to the next document.
 
     Adds ``edited_text``, ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and
-    ``near_next``. Only the part of the next text that is needed, and its sketch, travel to
-    the row that needs them. Both joins shuffle the documents by id; if ``docs`` has no
-    columns but id and text this is one and the same exchange.
+    ``near_next``. Every text is sketched once; ids, hashes and sketches are stored, and meet
+    the ids and hashes that need them. Only the part of the next text that is needed
+    travels. All joins with texts go by the id, so texts are shuffled by one exchange.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    outputs = ["edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    others = [c for c in docs.columns if c not in outputs and c != text_col]
+    # One struct of the columns that only go along: none of them can clash with names used here.
+    texts = docs.select(
+        F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
+        *([carried.packed([c for c in others if c != id_col]).alias("__row")] if others != [id_col] else []),
+    )
+    text = F.coalesce("__text", F.lit(""))
     third = F.floor(F.char_length(text) / 3).cast("int")
-    others = [c for c in docs.columns if c not in OUTPUTS]
-    named = docs.select(*others).where(F.col(id_col).isNotNull())
-    ids = named.groupBy(F.col(id_col).alias("id")).agg(F.min(F.xxhash64(text)).alias("hash"), F.max(third).alias("need"))
-    needs = sized(following(ids), "next-documents").select(*[F.col(c).alias(f"__{c}") for c in ("id", "need", "next_id", "next_hash")])
+    own = sized(texts.select("__id", F.xxhash64(text).alias("hash"), third.alias("need"), sketch(text).alias("sketch")), "sketches")
+    named = own.where(F.col("__id").isNotNull())
+    ids = named.groupBy(F.col("__id").alias("id")).agg(F.min("hash").alias("hash"), F.max("need").alias("need"))
+    needs = sized(following(ids), "next-documents")
+    once = named.groupBy("__id", "hash").agg(F.first("sketch").alias("sketch"))  # equal texts have equal sketches
+    given = once.select(F.col("__id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("sketch").alias("__next"))
+    asked = sized(needs.join(given, ["next_id", "next_hash"]), "next-sketches")
     # A range, not an equality: that would become a second join key, and the exchange one of its own.
-    chosen = F.xxhash64(text).between(F.col("__next_hash"), F.col("__next_hash"))
-    giving = named.join(needs, F.col(id_col) == F.col("__next_id")).where(chosen)
-    giving = giving.select("__id", F.substring(text, F.lit(1), F.col("__need")).alias("__begin"), sketch(text).alias("__next"))
-    giving = giving.groupBy("__id").agg(F.first("__begin").alias("__begin"), F.first("__next").alias("__next"))
-    rows = named.join(giving, F.col(id_col) == F.col("__id")).drop("__id").unionByName(
-        docs.select(*others).where(F.col(id_col).isNull()), allowMissingColumns=True
-    )
+    whose = asked.select(F.col("id").alias("__for"), "need", F.col("next_id").alias("__from"), "next_hash")
+    of_ids = texts.where(F.col("__id").isNotNull())
+    giving = of_ids.join(whose, F.col("__id") == F.col("__from")).where(F.xxhash64(text).between(F.col("next_hash"), F.col("next_hash")))
+    giving = giving.select("__for", F.substring(text, F.lit(1), F.col("need")).alias("__begin")).groupBy("__for").agg(F.first("__begin").alias("__begin"))
+    rows = of_ids.join(giving, F.col("__id") == F.col("__for")).drop("__for")
+    rows = rows.join(asked.select(F.col("id").alias("__for"), "__next"), F.col("__id") == F.col("__for")).drop("__for")
+    mine = once.select(F.col("__id").alias("__for"), "hash", F.col("sketch").alias("__own"))
+    rows = rows.join(mine, F.col("__id") == F.col("__for")).where(F.xxhash64(text).between(F.col("hash"), F.col("hash"))).drop("__for", "hash")
+    alone = texts.where(F.col("__id").isNull()).withColumn("__own", sketch(text))
+    rows = rows.unionByName(alone, allowMissingColumns=True)
     kept = F.substring(text, F.lit(1), F.char_length(text) - third)
     rows = rows.withColumn("__edited", F.concat(kept, F.coalesce(F.substring(F.col("__begin"), F.lit(1), third), F.lit(""))))
-    rows = rows.withColumn("__sketches", F.array(sketch(text), sketch(F.col("__edited"))))
-    mine, other = F.get("__sketches", F.lit(0)), F.get("__sketches", F.lit(1))
+    rows = rows.withColumn("__other", sketch(F.col("__edited")))
+    sketched, other = F.col("__own"), F.col("__other")
+    named_back = {c: F.col("__row").getField(c) for c in others if c != id_col} | {id_col: F.col("__id"), text_col: F.col("__text")}
     return rows.select(
-        *others, F.col("__edited").alias("edited_text"), fingerprint(mine).alias("fingerprint"),
-        fingerprint(other).alias("edited_fingerprint"), likeness(mine, other).alias("near_edited"),
-        F.coalesce(likeness(mine, F.col("__next")), F.lit(0.0)).alias("near_next"),
+        *[named_back[c].alias(c) for c in docs.columns if c not in outputs],
+        F.col("__edited").alias("edited_text"), fingerprint(sketched).alias("fingerprint"),
+        fingerprint(other).alias("edited_fingerprint"), likeness(sketched, other).alias("near_edited"),
+        F.coalesce(likeness(sketched, F.col("__next")), F.lit(0.0)).alias("near_next"),
     )
-
-
-OUTPUTS = ["edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

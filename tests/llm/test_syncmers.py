@@ -2,9 +2,9 @@
 
 import hashlib
 import random
-import re
 import string
 
+import regex as re
 import xxhash
 from pyspark.sql import functions as F
 
@@ -32,6 +32,24 @@ def brute_syncmers(units, k, s):
     return found
 
 
+def units(text):
+    spaced = re.sub(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]", r" \g<0> ", text or "")
+    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", spaced) if w]
+    return [u for w in words for u in (w if len(w) > syncmers.LONG_WORD else [w])]
+
+
+def brute_sketch(text):
+    found = brute_syncmers(units(text), syncmers.KMER, syncmers.SMER)
+    if found and found[0][1] is None:
+        return None  # the hash of a whole short text is Spark's own
+    return sorted({h >> 32 for _, h in found})[:syncmers.SKETCH]
+
+
+def brute_likeness(a, b):
+    both = sorted(set(a) | set(b))[:syncmers.SKETCH]
+    return len(set(a) & set(b) & set(both)) / len(both) if both else 1.0
+
+
 TEXTS = [
     None, "", " \n", "one", "one two three", "a b c d e f g h i j k l m n o p q r s t u v", "Été à la plage, été à la mer; été à la montagne",
     "the cat sat on the mat " * 40, " ".join(f"w{i}" for i in range(600)), "日本語 のテキスト です ね はい そう", "one", "x" * 400,
@@ -44,7 +62,7 @@ def test_anchors_match_brute_force(spark):
     for r in syncmers.anchors(docs).collect():
         got.setdefault(r["doc_id"], []).append((r["position"], r["hash"]))
     for i, text in enumerate(TEXTS):
-        want = brute_syncmers([w for w in re.split(r"[ \t\n\x0b\f\r]+", text or "") if w], 5, 2)
+        want = brute_syncmers(units(text), syncmers.KMER, syncmers.SMER)
         if want and want[0][1] is None:
             assert [p for p, _ in got[i]] == [0]
         else:
@@ -101,6 +119,50 @@ def test_texts_without_blanks_are_alike_at_every_length(spark):
     assert all(r[0] > 0.75 for r in alike), alike
 
 
+def test_sketch_and_likeness_match_brute_force(spark):
+    rng = random.Random(8)
+    for words in (4, 12, 63, 64, 65, 400):
+        TEXTS.append(" ".join(rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(words)))
+    rows = [(a, b) for a in TEXTS for b in TEXTS]
+    df = spark.createDataFrame(rows, "a STRING, b STRING")
+    a, b = syncmers.sketch(F.col("a")), syncmers.sketch(F.col("b"))
+    for r in df.select("a", "b", a.alias("x"), b.alias("y"), syncmers.likeness(a, b).alias("z"), syncmers.fingerprint(a).alias("f")).collect():
+        want = brute_sketch(r["a"]), brute_sketch(r["b"])
+        if want[0] is not None:
+            assert r["x"] == want[0] and r["f"] == "w" + "".join(f"{v & 0xFFFFFFFF:08x}" for v in want[0])
+        assert r["z"] == brute_likeness(r["x"], r["y"])
+        assert r["a"] != r["b"] or r["z"] == 1.0
+
+
+def test_one_rule_at_every_length(spark):
+    """One word more or less changes likeness a little, at 63 and 64 words like anywhere."""
+    words = [f"u{i}" for i in range(200)]
+    pairs = [(" ".join(words[:n]), " ".join(words[:n + 1])) for n in (20, 62, 63, 64, 65, 150)]
+    df = spark.createDataFrame(pairs, "a STRING, b STRING")
+    assert all(r[0] > 0.85 for r in df.select(syncmers.likeness(syncmers.sketch(F.col("a")), syncmers.sketch(F.col("b")))).collect())
+
+
+def test_positional_matches(spark):
+    shared = [f"s{i}" for i in range(60)]
+    left = " ".join(["l1", "l2", *shared, "l3"])
+    right = " ".join([*[f"r{i}" for i in range(9)], *shared[:30], "new", *shared[30:]])
+    df = spark.createDataFrame([(left, right), (left, "nothing of it"), (None, left)], "a STRING, b STRING")
+    rows = syncmers.positional_matches(df, "a", "b").collect()
+    found = [(m["left"], m["right"], m["units"]) for m in rows[0]["matches"]]
+    assert {r - x for x, r, _ in found} == {7, 8} and all(n >= 24 for _, _, n in found)
+    a, b = left.split(), right.split()
+    assert all(a[x:x + n] == b[r:r + n] for x, r, n in found)
+    assert rows[1]["matches"] == [] and rows[2]["matches"] == []
+
+
+def test_own_columns_stay(spark):
+    names = ["id", "hash", "need", "sketch", "__for", "__next", "next_id", "next_hash", "range", "top", "__own"]
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, None)], "doc_id BIGINT, text STRING").select("*", *[F.lit(c).alias(c) for c in names])
+    got = syncmers.with_edited(docs)
+    assert got.columns[:len(docs.columns)] == docs.columns
+    assert all(r[c] == c for r in got.collect() for c in names) and {r["text"] for r in got.collect()} == {"a b c d e", None}
+
+
 def test_single_and_no_documents(spark):
     one = spark.createDataFrame([(5, "some words in a row to be cut here")], "doc_id BIGINT, text STRING")
     text = "some words in a row to be cut here"
