@@ -208,7 +208,7 @@ CHAT_SCHEMAS = {
 
 
 @query("""
-WITH calls AS (
+WITH RECURSIVE calls AS (
   SELECT conv_id, 'c' || conv_id || '-' || turn AS call_id, turn AS position,
     CASE turn % 3 WHEN 0 THEN 'lookup' WHEN 1 THEN 'search' ELSE 'write' END AS name,
     (conv_id + turn) % 5 AS v, substr(text, 1, 20) AS q,
@@ -220,14 +220,15 @@ linked AS (
   SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.position, c.name, c.v, c.q,
     c.needs, r.text AS result, c.call_id IS NOT NULL AS called
   FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id),
+chain AS (
+  SELECT c.conv_id, c.position, 0 AS level FROM calls c
+  WHERE c.position < 3 OR NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.position = c.position - 2)
+  UNION ALL
+  SELECT c.conv_id, c.position, h.level + 1 FROM chain h JOIN calls c ON c.conv_id = h.conv_id AND c.position = h.position + 2 AND c.position >= 3),
 placed AS (
-  SELECT l.*, len(l.needs) > 0 AND p1.call_id IS NULL AS lacks,
-    CASE WHEN NOT l.called THEN NULL WHEN p1.call_id IS NULL THEN 0 WHEN p2.call_id IS NULL OR p1.position < 3 THEN 1
-      WHEN p3.call_id IS NULL OR p2.position < 3 THEN 2 ELSE 3 END AS level
-  FROM linked l
-  LEFT JOIN calls p1 ON p1.conv_id = l.conv_id AND p1.position = l.position - 2 AND l.position >= 3
-  LEFT JOIN calls p2 ON p2.conv_id = l.conv_id AND p2.position = l.position - 4 AND l.position >= 5
-  LEFT JOIN calls p3 ON p3.conv_id = l.conv_id AND p3.position = l.position - 6 AND l.position >= 7),
+  SELECT l.*, len(l.needs) > 0 AND p.call_id IS NULL AS lacks, h.level
+  FROM linked l LEFT JOIN calls p ON p.conv_id = l.conv_id AND p.position = l.position - 2 AND l.position >= 3
+  LEFT JOIN chain h ON h.conv_id = l.conv_id AND h.position = l.position),
 judged AS (
   SELECT *, CASE WHEN NOT called THEN ['no call'] ELSE list_sort(list_concat(
       CASE v WHEN 1 THEN ['type of limit'] WHEN 2 THEN ['missing query'] WHEN 3 THEN ['unknown debug'] ELSE [] END,

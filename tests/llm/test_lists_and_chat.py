@@ -108,8 +108,57 @@ def test_tool_calls(spark):
         assert r["json"] == json.dumps(record, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-def test_a_chain_takes_a_round_per_level(spark):
-    calls = [(1, f"c{i}", ["c%d" % (i - 1)] if i else []) for i in range(6)]
-    frame = spark.createDataFrame(calls, "conv_id INT, call_id STRING, needs ARRAY<STRING>")
-    assert {r["call_id"]: r["level"] for r in chat_tools.levels(frame).collect()} == {f"c{i}": i for i in range(6)}
-    assert chat_tools.levels(frame.limit(0)).count() == 0
+def plain_levels(calls):
+    """Levels call by call; those on or behind a cycle have none."""
+    needs = {(c, i): [(c, n) for n in set(ns or []) if any((c, n) == (d, j) for d, j, _, _ in calls)] for c, i, _, ns in calls}
+    level = {}
+    while True:
+        ready = {k: max((level[n] + 1 for n in ns), default=0) for k, ns in needs.items() if k not in level and all(n in level for n in ns)}
+        if not ready:
+            return level
+        level |= ready
+
+
+CALLS = "conv_id INT, call_id STRING, position INT, needs ARRAY<STRING>"
+
+
+def levels_of(spark, calls):
+    return {(r["conv_id"], r["call_id"]): r["level"] for r in chat_tools.levels(spark.createDataFrame(calls, CALLS)).collect()}
+
+
+def test_levels_match_a_plain_version(spark):
+    import random
+
+    rng, calls = random.Random(2), []
+    for conv in range(30):
+        n = rng.randint(1, 12)
+        for i in range(n):
+            back = rng.random() < 0.85
+            pool = [f"c{j}" for j in (range(i) if back else range(n))] + ["gone"]
+            calls.append((conv, f"c{i}", rng.choice([i, 0]), rng.sample(pool, rng.randint(0, min(3, len(pool))))))
+    calls += [(99, "a", 1, ["b", "c"]), (99, "b", 2, ["c"]), (99, "c", 3, ["b"]), (99, "d", 4, ["d"]), (99, "e", 5, ["a", "x"]), (99, "x", 6, None)]
+    assert levels_of(spark, calls) == plain_levels(calls)
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    write = chat_tools.stored
+    monkeypatch.setattr(chat_tools, "stored", lambda df, label, measure: rounds.append(label) or write(df, label, measure))
+    chain = [(1, f"c{i}", i, [f"c{i - 1}"] if i else []) for i in range(1000)]
+    assert levels_of(spark, chain) == {(1, f"c{i}"): i for i in range(1000)}
+    assert rounds.count("chat-chains") <= 13
+    both = [(1, f"c{i}", i, [f"c{j}" for j in range(max(0, i - 2), i)]) for i in range(200)]
+    rounds.clear()
+    assert levels_of(spark, both) == {(1, f"c{i}"): i for i in range(200)}
+    assert len(rounds) <= 14
+    ring = [(1, f"c{i}", i, [f"c{(i - 1) % 50}"]) for i in range(50)] + [(1, "free", 60, [])]
+    assert levels_of(spark, ring) == {(1, "free"): 0}
+    assert levels_of(spark, []) == {}
+
+
+def test_no_calls_at_all(spark):
+    calls = spark.createDataFrame([], "conv_id INT, call_id STRING, position INT, name STRING, arguments STRING, needs ARRAY<STRING>")
+    results = spark.createDataFrame([(1, "a", 1, "alone")], "conv_id INT, call_id STRING, position INT, content STRING")
+    rows = chat_tools.format_calls(calls, results, {}).collect()
+    assert [(r["call_id"], r["level"], r["problems"]) for r in rows] == [("a", None, ["no call"])]
+    assert chat_tools.format_calls(calls, results.limit(0), {}).count() == 0
