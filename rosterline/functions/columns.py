@@ -62,18 +62,15 @@ def recency_label(ts: Column, as_of: datetime) -> Column:
 def build_version(composite: Column) -> Column:
     """The client build held in a composite device text; NULL for an empty device.
 
-    Two layouts occur: parts separated by a quoted comma, and parts separated by a plain
-    comma. The build is the first part without its layout's prefix.
+    Two layouts occur, told apart by their separator: a quoted comma, or else a plain one. The
+    build is the first part less the layout's prefix. A text without any comma names no
+    build: it is empty, or NULL for an empty device like the first part of any other.
     """
     quoted = composite.contains(QUOTED_SEPARATOR)
-    first_quoted = F.substring_index(composite, QUOTED_SEPARATOR, 1)
-    first_plain = F.substring_index(composite, ",", 1)
-    before_comma = F.left(composite, F.locate(",", composite) - 1)
-    is_empty = F.when(quoted, first_quoted).otherwise(first_plain) == EMPTY_DEVICE
-    build = F.when(quoted, F.replace(first_quoted, F.lit(QUOTED_PREFIX), F.lit(""))).otherwise(
-        F.replace(before_comma, F.lit(PLAIN_PREFIX), F.lit(""))
-    )
-    return F.when(~is_empty, build)
+    first = F.split_part(composite, F.when(quoted, QUOTED_SEPARATOR).otherwise(","), F.lit(1))
+    prefix = F.when(quoted, QUOTED_PREFIX).otherwise(PLAIN_PREFIX)
+    build = F.when(composite.contains(","), F.replace(first, prefix, F.lit(""))).otherwise("")
+    return F.when(first != EMPTY_DEVICE, build)
 
 
 def new_run_id(prefix: str, at: datetime | None = None, suffix: str | None = None) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterline.functions.columns import recency_label
@@ -9,7 +11,7 @@ from rosterline.functions.predicates import none_like, within
 from rosterline.operators import keyed, telemetry as T
 from rosterline.plans import inputs
 from rosterline.plans.registry import query, table
-from rosterline.workspace import sized
+from rosterline.workspace import fresh_dir, sized
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,3 +335,21 @@ def issue_report_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.telemetry(spark, sf_dir), _people(spark, sf_dir), inputs.thin_clients(spark, sf_dir),
         inputs.supported_values(spark, sf_dir), inputs.build_lookup(spark, sf_dir), inputs.AS_OF,
     )
+
+
+@query(REPORT_V2_SQL)
+def issue_report_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second report with limits from stored counts of days, the last days of which were added later."""
+    rows, people = inputs.telemetry(spark, sf_dir), sized(_people(spark, sf_dir), "people")
+    mine = T.of_people(rows, people)
+    kept = T.DailyCounts(
+        spark, fresh_dir(spark, "daily-counts"), "`workLocationId` BIGINT, connection STRING, `latencyAverage` DOUBLE"
+    )
+    middle = F.lit("2024-01-20").cast("timestamp_ntz")
+    kept.add(mine.where(F.col("timeStamp") < middle))
+    kept.add(mine.where(F.col("timeStamp") >= middle))
+    first = (inputs.AS_OF - timedelta(days=30)).date()
+    return T.issue_report_v2(
+        rows, people, inputs.thin_clients(spark, sf_dir), inputs.supported_values(spark, sf_dir),
+        inputs.build_lookup(spark, sf_dir), inputs.AS_OF, T.fence_of_counts(kept.counts(first)),
+    )
