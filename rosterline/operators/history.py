@@ -8,7 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterline.operators.keyed import HOT_ROWS, latest_per_key, one_per_key, order_chunks, split_hot_keys, with_neighbours
+from rosterline.operators.keyed import (
+    HOT_ROWS, carried_forward, in_time_chunks, latest_per_key, one_per_key, order_chunks, split_hot_keys, with_neighbours,
+)
 from rosterline.workspace import sized
 
 
@@ -35,16 +37,22 @@ def _any_differs(columns: list[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
+def _packed_key(keys: list[str]) -> Column:
+    """The key as one struct: in joins a struct with NULL fields equals another such, a NULL column does not."""
+    return F.struct(*keys).alias("__key")
+
+
 def _paired(old: DataFrame, new: DataFrame, keys: list[str], old_cols: list[str], new_cols: list[str]) -> DataFrame:
     """Full outer join on unique keys, each side packed in a struct that is NULL when absent.
 
-    The new side is reduced to one row per key first. That aggregate and the join share
-    one shuffle, and with unique keys on both sides no key can be hot.
+    NULL keys meet like any others. The new side is reduced to one row per key first. That
+    aggregate and the join share one shuffle, and with unique keys on both sides no key can be hot.
     """
-    left = old.select(*keys, F.struct(F.lit(True).alias("__present"), *old_cols).alias("old"))
+    left = old.select(_packed_key(keys), F.struct(F.lit(True).alias("__present"), *old_cols).alias("old"))
     packed = F.struct(F.lit(True).alias("__present"), *new_cols)
-    right = new.groupBy(*keys).agg(F.max(packed).alias("new"))
-    return left.join(right, keys, "full_outer")
+    right = new.select(_packed_key(keys), packed.alias("__new")).groupBy("__key").agg(F.max("__new").alias("new"))
+    pairs = left.join(right, "__key", "full_outer")
+    return pairs.select(*[F.col("__key").getField(k).alias(k) for k in keys], "old", "new")
 
 
 def scd2_from_snapshot(
@@ -251,11 +259,12 @@ def insert_if_no_current(
 ) -> DataFrame:
     """Adds a current row for keys that have none. Never closes anything.
 
-    Of several snapshot rows of a key the one that compares greatest is taken.
+    Of several snapshot rows of a key the one that compares greatest is taken. NULL keys count like others.
     """
-    held = history.where(validity.current).select(*keys)
+    held = history.where(validity.current).select(_packed_key(keys))
     ts_type = history.schema[validity.start].dataType.simpleString()
-    added = bootstrap(one_per_key(snapshot, keys), run_ts, validity, ts_type).join(held, keys, "left_anti")
+    opened = bootstrap(one_per_key(snapshot, keys), run_ts, validity, ts_type).withColumn("__key", _packed_key(keys))
+    added = opened.join(held, "__key", "left_anti").drop("__key")
     return history.unionByName(added, allowMissingColumns=True)
 
 
@@ -278,6 +287,41 @@ def as_of(history: DataFrame, at: datetime, validity: Validity = Validity()) ->
     return history.where((F.col(validity.start) <= instant) & (end.isNull() | (end > instant)))
 
 
+def as_of_join(
+    probes: DataFrame, history: DataFrame, keys: list[str], at: str, columns: list[str],
+    validity: Validity = Validity(), hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Every row of ``probes`` with ``columns`` (which may be validity columns) of the version valid at its own instant ``at``.
+
+    Versions of a key must not overlap; of several that begin at one time the one that ends last counts. A row without a valid
+    version, with a NULL key or a NULL instant has NULLs. Versions and probes are put in one
+    order by time and the last version is carried forward, so a probe meets one version, never
+    all of its key; keys with more than ``hot_rows`` rows are cut in chunks of time.
+    """
+    start, end = validity.start, validity.end
+    kind = history.schema[start].dataType
+    never = F.lit("9999-12-31 23:59:59").cast(kind)
+    version = F.struct(F.col(start).alias("__start"), F.coalesce(end, never).alias("__end"), F.struct(*columns).alias("__values"))
+    packed = F.struct(*probes.columns)
+    versions = history.select(
+        *[F.col(k).alias(f"__key_{k}") for k in keys], F.col(start).alias("__at"), F.lit(0).alias("__side"), version.alias("__version")
+    )
+    asked = probes.select(
+        *[F.col(k).alias(f"__key_{k}") for k in keys], F.col(at).cast(kind).alias("__at"), F.lit(1).alias("__side"), packed.alias("__probe")
+    )
+    by = [f"__key_{k}" for k in keys]
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in [*by, "__at"]))
+    rows = versions.unionByName(asked, allowMissingColumns=True).where(whole)
+    rows = split_hot_keys(rows, by, in_time_chunks(rows, "__at"), hot_rows)
+    # At one time versions stand before probes: a version holds from its very start.
+    order = [F.col("__at"), F.col("__side"), F.col("__version.__end")]
+    met = carried_forward(rows, by, order, F.col("__version"), F.col("__version"), "__held").where("__side = 1")
+    valid = F.col("__held.__end") > F.col("__at")
+    found = met.select("__probe", F.when(valid, F.col("__held.__values")).alias("__values"))
+    without = asked.where(~whole).select("__probe", F.lit(None).cast(found.schema["__values"].dataType).alias("__values"))
+    return found.unionByName(without).select("__probe.*", *[F.col(f"__values.{c}").alias(c) for c in columns])
+
+
 def key_history(history: DataFrame, key: dict[str, object], validity: Validity = Validity()) -> DataFrame:
     """All versions of one key, newest first."""
     match = reduce(lambda a, b: a & b, (F.col(c) == F.lit(v) for c, v in key.items()))

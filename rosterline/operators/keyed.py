@@ -121,6 +121,40 @@ def with_neighbours(
     return windowed.withColumns(added).drop(*temporary).select(*df.columns, *added)
 
 
+def earlier_max(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """Adds the greatest ``value`` of all rows before, per key in ``order``; NULL for the first.
+
+    On the result of ``split_hot_keys`` the running maximum goes chunk by chunk, and a prefix scan
+    over the chunks' maxima, one row per chunk, carries it across. Chunk numbers must grow with ``order``.
+    """
+    split = "__chunk" in df.columns
+    group = [*keys, "__chunk"] if split else keys
+    before = lambda part, *by: Window.partitionBy(*part).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn(name, F.max(value).over(before(group, *order)))
+    if not split:
+        return rows
+    chunks = df.where(F.col("__chunk").isNotNull()).groupBy(*group).agg(F.max(value).alias("__max"))
+    carried = chunks.select(*group, F.max("__max").over(before(keys, "__chunk")).alias("__carried"))
+    return rows.join(carried, group, "left").withColumn(name, F.greatest(name, "__carried")).drop("__carried")
+
+
+def carried_forward(df: DataFrame, keys: list[str], order: list[Column], value: Column, latest: Column, name: str) -> DataFrame:
+    """Adds the last ``value`` that is not NULL up to and with each row, per key in ``order``.
+
+    Hot keys go chunk by chunk as in :func:`earlier_max`; ``latest`` orders the values of a chunk.
+    """
+    split = "__chunk" in df.columns
+    group = [*keys, "__chunk"] if split else keys
+    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.withColumn(name, F.last(value, ignorenulls=True).over(upto))
+    if not split:
+        return rows
+    chunks = df.where(F.col("__chunk").isNotNull()).groupBy(*group).agg(F.max_by(value, F.when(value.isNotNull(), latest)).alias("__last"))
+    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select(*group, F.last("__last", ignorenulls=True).over(before).alias("__carried"))
+    return rows.join(carried, group, "left").withColumn(name, F.coalesce(name, "__carried")).drop("__carried")
+
+
 def numbered(df: DataFrame, keys: list[str], order: str, chunk: Column, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds a number from 0 per key in ``order``; hot keys are counted chunk by chunk."""
     rows = split_hot_keys(df, keys, chunk, hot_rows)

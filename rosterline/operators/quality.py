@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterline.operators.history import Validity
-from rosterline.operators.keyed import HOT_ROWS, in_time_chunks, split_hot_keys, with_neighbours
+from rosterline.operators.keyed import HOT_ROWS, earlier_max, in_time_chunks, split_hot_keys
 from rosterline.schemas import INGESTION_RUNS
 
 
@@ -50,8 +50,9 @@ def validity_violations(
 ) -> DataFrame:
     """Broken history invariants: (rule, violations).
 
-    Rules: a version ends after it starts, a version does not start before the one before
-    it ended, a current version has no end, and a key has at most one current version.
+    Rules: a version ends after it starts, a version does not start before every earlier one
+    has ended, a current version has no end, and a key has at most one current version. A
+    version that overlaps several earlier ones counts once.
     Keys with more than ``hot_rows`` versions are compared in chunks of ``minutes`` by start.
     Rows with a NULL key are left to :func:`null_keys`, NULL starts to :func:`check_rules`.
     """
@@ -60,15 +61,15 @@ def validity_violations(
     rows = split_hot_keys(
         history.where(whole).select(*keys, start, end, current), keys, in_time_chunks(history, start, minutes), hot_rows
     )
-    seen = with_neighbours(rows, keys, [start, end], previous={start: "__prev_start", end: "__prev_end"})
-    overlaps = F.col("__prev_start").isNotNull() & (
-        F.col("__prev_end").isNull() | (F.col(start) < F.col("__prev_end"))
-    )
+    # A version without an end never ends.
+    never = F.lit("9999-12-31 23:59:59").cast(history.schema[end].dataType)
+    seen = earlier_max(rows, keys, [start, end], F.coalesce(end, never), "__earlier_end")
+    overlaps = F.col("__earlier_end") > F.col(start)
     per_row = check_rules(
         seen,
         {
             "ends before it starts": F.col(end) <= F.col(start),
-            "overlaps the version before": overlaps,
+            "overlaps an earlier version": overlaps,
             "current with an end": F.col(current) & F.col(end).isNotNull(),
         },
     )

@@ -51,11 +51,15 @@ spoiled AS (
   SELECT group_id, member_id, valid_from,
          CASE WHEN group_id % 5 = 0 THEN valid_to + INTERVAL 3 DAY ELSE valid_to END AS valid_to,
          is_current OR member_id = 7 AS is_current FROM membership),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY group_id, member_id ORDER BY valid_from, valid_to NULLS FIRST) AS n FROM spoiled),
 pairs AS (
-  SELECT *, lag(valid_from) OVER w AS ps, lag(valid_to) OVER w AS pe FROM spoiled
-  WINDOW w AS (PARTITION BY group_id, member_id ORDER BY valid_from, valid_to NULLS FIRST))
+  SELECT * , EXISTS (
+    SELECT 1 FROM ordered b WHERE b.group_id = a.group_id AND b.member_id = a.member_id AND b.n < a.n
+      AND (b.valid_to IS NULL OR b.valid_to > a.valid_from)) AS late
+  FROM ordered a WHERE group_id IS NOT NULL AND member_id IS NOT NULL)
 SELECT 'ends before it starts' AS rule, count(*) FILTER (WHERE valid_to <= valid_from) AS violations FROM pairs
-UNION ALL SELECT 'overlaps the version before', count(*) FILTER (WHERE ps IS NOT NULL AND (pe IS NULL OR valid_from < pe)) FROM pairs
+UNION ALL SELECT 'overlaps an earlier version', count(*) FILTER (WHERE late) FROM pairs
 UNION ALL SELECT 'current with an end', count(*) FILTER (WHERE is_current AND valid_to IS NOT NULL) FROM pairs
 UNION ALL SELECT 'more than one current', count(*) FROM (
   SELECT 1 FROM spoiled WHERE is_current GROUP BY group_id, member_id HAVING count(*) > 1)

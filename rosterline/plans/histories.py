@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rosterline.operators import history as H
 from rosterline.plans import inputs
 from rosterline.plans.registry import query, table
+from rosterline.workspace import sized
 
 PAIR = ["group_id", "owner_id"]
 MEMBER = ["group_id", "member_id"]
@@ -128,7 +129,9 @@ def assignment_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     first = H.bootstrap(assignments(lines.where(F.col("l_shipdate") < split)), inputs.RUN_0)
     second = assignments(lines.where(F.col("l_shipdate") >= split))
-    once = H.scd2_from_snapshot(first, second, ASSIGNMENT, ["resource_type"], inputs.RUN_1)
+    second = sized(second, "assignments")
+    # Stored between the runs: the next one reads a history in two parts.
+    once = sized(H.scd2_from_snapshot(first, second, ASSIGNMENT, ["resource_type"], inputs.RUN_1), "assignment-history")
     return H.scd2_from_snapshot(once, second, ASSIGNMENT, ["resource_type"], datetime(2003, 1, 1))
 
 
@@ -190,3 +193,25 @@ FROM membership
 """)
 def conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.version_counts(membership(spark, sf_dir))
+
+
+@query("""
+WITH seen AS (
+  SELECT user_id, event_type, ts, event_id,
+         lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS prev FROM events),
+changes AS (
+  SELECT * FROM seen
+  WHERE CASE WHEN prev IS NULL THEN event_type <> 'error' ELSE event_type <> prev END),
+timed AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt FROM changes),
+versions AS (SELECT user_id, event_type AS state, ts AS valid_from, nxt AS valid_to FROM timed WHERE event_type <> 'error'),
+probes AS (SELECT event_id, user_id, ts - INTERVAL 1 HOUR * (event_id % 50) AS asked_at FROM events)
+SELECT event_id, p.user_id, asked_at, v.state, v.valid_from
+FROM probes p LEFT JOIN versions v
+  ON v.user_id = p.user_id AND v.valid_from <= asked_at AND (v.valid_to IS NULL OR v.valid_to > asked_at)
+""")
+def events_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every event the state its user was in up to two days earlier."""
+    events = table(spark, sf_dir, "events")
+    history = scd2_feed_history(spark, sf_dir).withColumnRenamed("event_type", "state")
+    probes = events.select("event_id", "user_id", F.expr("ts - make_dt_interval(0, event_id % 50)").alias("asked_at"))
+    return H.as_of_join(probes, history, ["user_id"], "asked_at", ["state", "valid_from"])

@@ -236,3 +236,34 @@ def test_state_never_goes_back(spark):
     state = spark.createDataFrame([("a", 9), ("b", 1)], "k STRING, n INT")
     updates = spark.createDataFrame([("a", 3), ("b", 2), ("c", 0)], "k STRING, n INT")
     assert as_set(H.upsert_state(state, updates, ["k"], ["n"])) == {("a", 9), ("b", 2), ("c", 0)}
+
+
+def test_null_keys_are_keys(spark):
+    start = H.bootstrap(spark.createDataFrame([(None, "o", "a"), ("g", None, "b")], "g STRING, o STRING, s STRING"), T0)
+    same = start.select("g", "o", "s")
+    again = H.scd2_from_snapshot(start, same, ["g", "o"], ["s"], T1)
+    assert as_set(again) == as_set(start)
+    assert {r.change for r in H.snapshot_diff(same, same, ["g", "o"], ["s"]).collect()} == {"same"}
+    assert as_set(H.insert_if_no_current(start, same, ["g", "o"], T1)) == as_set(start)
+    gone = H.scd2_from_snapshot(start, same.where("g IS NULL"), ["g", "o"], ["s"], T1)
+    assert {(r.g, r.is_current) for r in gone.collect()} == {(None, True), ("g", False)}
+
+
+def test_as_of_join_meets_one_version(spark):
+    history = spark.createDataFrame(
+        [("k", "a", day(2), day(5)), ("k", "b", day(5), day(7)), ("k", "c", day(9), None), ("l", "z", day(1), None), (None, "n", day(1), None)],
+        "k STRING, v STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ")
+    asked = [("k", n, day(n)) for n in range(1, 12)] + [("k", 5, day(5)), ("l", 1, day(3)), ("m", 1, day(3)), (None, 1, day(3)), ("k", 0, None)]
+    probes = spark.createDataFrame(asked, "k STRING, n INT, at TIMESTAMP_NTZ")
+    want = sorted([(k, n, at, next((v for hk, v, s, e in history.collect() if k and hk == k and at and s <= at and (e is None or at < e)), None))
+                   for k, n, at in asked], key=str)
+    for hot_rows in (1, 3, 100):
+        got = H.as_of_join(probes, history, ["k"], "at", ["v"], hot_rows=hot_rows)
+        assert got.columns == ["k", "n", "at", "v"] and sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_as_of_join_keeps_clashing_names(spark):
+    history = spark.createDataFrame([("k", "a", day(2), None)], "k STRING, v STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ")
+    probes = spark.createDataFrame([("k", day(3), 1, "x")], "k STRING, at TIMESTAMP_NTZ, valid_to INT, note STRING")
+    got = H.as_of_join(probes, history, ["k"], "at", ["v", "valid_from"])
+    assert got.columns == ["k", "at", "valid_to", "note", "v", "valid_from"] and tuple(got.first())[4:] == ("a", day(2))
