@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterline.operators.history import upsert_state
-from rosterline.schemas import CHANGE_MARKS, empty_table
+from rosterline.operators.runlog import Step
+from rosterline.schemas import LANDED_MARKS, empty_table
 from rosterline.sinks.tables import read_version, replace_partitions, write_version
-from rosterline.sources.pages import batch_status, flatten_pages
-from rosterline.workspace import committed_children, sized
+from rosterline.sources.pages import batch_status, flatten_pages, page_counts, read_pages
+from rosterline.workspace import child_names, committed_children, sized
 
 
 def above_mark(feed: DataFrame, marks: DataFrame, scope: str, seq: str, mark: str = "mark") -> DataFrame:
@@ -39,23 +41,58 @@ def commit_tokens(tokens: DataFrame, status: DataFrame, baseline: datetime | Non
     return upsert_state(tokens, finished, ["scope"], ["last_success_ts", "batch_id"])
 
 
+def unread_batches(spark: SparkSession, landing: str, marks: dict[str, str]) -> list[str]:
+    """Folders ``scope=.../batch_id=...`` of batches above their scope's mark.
+
+    Only folder names are looked at, on the driver: one per scope, and one per batch of a scope.
+    Batch names of a scope ascend as text.
+    """
+    found = []
+    for scope in child_names(spark, landing, "scope="):
+        mark = marks.get(unquote(scope.removeprefix("scope=")), "")
+        for batch in child_names(spark, f"{landing}/{scope}", "batch_id="):
+            if unquote(batch.removeprefix("batch_id=")) > mark:
+                found.append(f"{landing}/{scope}/{batch}")
+    return found
+
+
+def landed_marks(spark: SparkSession, marks_base: str) -> DataFrame:
+    """The stored mark and resume token of every scope."""
+    if committed_children(spark, marks_base, "version="):
+        return read_version(spark, marks_base)
+    return empty_table(spark, LANDED_MARKS)
+
+
 def land_batches(
-    pages: DataFrame, rows: Callable[[DataFrame], DataFrame], rows_path: str, tokens_base: str,
-    baseline: datetime | None = None,
-) -> None:
-    """Stores the records of complete batches, and only then their resume tokens.
-
-    ``rows`` turns flattened records into the rows to store and keeps ``batch_id``. A
-    failure in between leaves the old tokens; the repeated run replaces the same batches,
-    so nothing is lost or doubled.
+    spark: SparkSession, landing: str, record: str, rows: Callable[[DataFrame], DataFrame], rows_path: str,
+    marks_base: str, baseline: datetime | None = None, log: Step | None = None,
+) -> DataFrame | None:
+    """Stores the records of newly finished batches, and only then their marks and resume tokens.
+
+    Batches at or below their scope's mark are not opened. ``rows`` turns flattened records
+    into the rows to store and keeps ``scope`` and ``batch_id``. A batch that is not
+    finished waits; once a later one of its scope is, it was given up and is left out, as
+    the later one began at the same token. A failure before the marks leaves the old
+    ones, and the repeated run replaces the same batches: nothing is lost or doubled.
+    Gives the pages that were read, or None when nothing is new.
     """
-    spark = pages.sparkSession
-    replace_partitions(rows(flatten_pages(pages)), rows_path, ["batch_id"])
-    if committed_children(spark, tokens_base, "version="):
-        tokens = read_version(spark, tokens_base)
-    else:
-        tokens = empty_table(spark, CHANGE_MARKS)
-    write_version(commit_tokens(tokens, batch_status(pages), baseline), tokens_base)
+    marks = landed_marks(spark, marks_base)
+    held = {r["scope"]: r["batch_id"] or "" for r in marks.select("scope", "batch_id").collect()}  # one row per scope
+    paths = unread_batches(spark, landing, held)
+    if not paths:
+        return None
+    pages = read_pages(spark, paths, record, base=landing)
+    if log:
+        log.pages(page_counts(pages))
+    taken = rows(flatten_pages(pages))
+    store = lambda df: replace_partitions(df, rows_path, ["scope", "batch_id"])
+    log.stores(taken, store) if log else store(taken)
+    since = F.lit(baseline.isoformat(sep=" ") if baseline else None).cast("timestamp_ntz")
+    finished = batch_status(pages).where("is_complete").select(
+        "scope", "delta_link", F.col("received_ts").alias("last_success_ts"), since.alias("snapshot_filter_from"), "batch_id"
+    )
+    write_version(upsert_state(marks, finished, ["scope"], ["batch_id"]), marks_base)
+    return pages
 
 
 def latest_batch_keys(feed: DataFrame, key: str, batch: str = "delta_batch_id", received: str = "received_ts") -> DataFrame:

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterline import schemas
 from rosterline.functions import columns as C, predicates as P
+from rosterline.operators.increments import land_batches, landed_marks
 from rosterline.operators.keyed import in_chunks, mapped_rows, numbered
 from rosterline.operators.quality import batch_progress
+from rosterline.operators.runlog import RunLog
 from rosterline.plans import inputs
 from rosterline.plans.histories import MEMBER
 from rosterline.plans.registry import query, table
 from rosterline.sinks import tables as sinks
 from rosterline.sources import pages as feed, snapshots, tables as sources
-from rosterline.streaming.jobs import follow_actions, ingest_files
-from rosterline.workspace import fresh_dir
+from rosterline.streaming.feed_store import FeedStore
+from rosterline.streaming.jobs import follow_feed, ingest_files
+from rosterline.workspace import fresh_dir, sized
 
 SNAPSHOT_DDL = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE"
 DAY = ["year", "month", "day"]
@@ -212,10 +215,15 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_last & (F.col("last_type") != "error"), link).alias("@odata.deltaLink"),
     )
     path = fresh_dir(spark, "pages")
-    envelopes.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    _land(envelopes, path)
     return feed.read_pages(spark, path, schemas.GROUP_RECORD)
 
 
+def _land(envelopes: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> None:
+    written = envelopes.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    (written.partitionBy(*partition_cols) if partition_cols else written).json(path)
+
+
 @query(f"""
 WITH {PAGES_SQL}
 SELECT CAST(batch AS VARCHAR) AS batch_id, page AS page_seq, CAST(event_id % 100 AS INTEGER) AS position,
@@ -230,6 +238,91 @@ def change_page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LANDED_SQL = PAGES_SQL + """,
+runs AS (SELECT 'r' || n AS run_id, n FROM range(1, 4) r(n)),
+landed AS (
+  SELECT rows.*, 'b' || lpad(CAST(batch AS VARCHAR), 6, '0') AS batch_id, last_type <> 'error' AS finished,
+         CASE WHEN batch % 2 = 0 THEN 1 ELSE 2 END AS run
+  FROM rows JOIN ends USING (batch)),
+marks AS (
+  SELECT batch % 3 AS scope, run, max(batch_id) AS mark FROM landed WHERE finished GROUP BY ALL),
+taken AS (
+  SELECT l.* FROM landed l LEFT JOIN (SELECT scope, mark FROM marks WHERE run = 1) m ON m.scope = l.batch % 3
+  WHERE run = 1 OR mark IS NULL OR batch_id > mark)"""
+
+
+def _lander(spark: SparkSession, sf_dir: str) -> tuple[str, str, RunLog]:
+    """Three runs over batches of three scopes, even ones landed first, the odd ones before the second run.
+
+    The third run finds nothing above the marks but what was cut off, and its store fails.
+    """
+    landing, rows_path, marks, events = (fresh_dir(spark, name) for name in ("landing", "landed-rows", "marks", "events"))
+    number = F.col("batch_id").cast("bigint")
+    pages = landed_pages(spark, sf_dir).withColumnsRenamed({"next_link": "@odata.nextLink", "delta_link": "@odata.deltaLink"})
+    pages = sized(pages.withColumn("number", number), "pages").select(
+        (F.col("number") % 3).cast("string").alias("scope"), F.concat(F.lit("b"), F.lpad("batch_id", 6, "0")).alias("batch_id"),
+        *[F.col(f"`{c}`") for c in pages.columns if c not in ("scope", "batch_id")], "number",
+    )
+    log = RunLog(spark, events)
+
+    def rows(records: DataFrame) -> DataFrame:
+        return feed.group_rows(records, keep=("scope", "batch_id", "received_ts"))
+
+    def failing(records: DataFrame) -> DataFrame:
+        raise RuntimeError("no room")
+
+    for run, (part, turn) in enumerate(((0, rows), (1, rows), (None, failing)), 1):
+        if part is not None:
+            _land(pages.where(F.col("number") % 2 == part).drop("number"), landing, ("scope", "batch_id"))
+        try:
+            with log.step(f"r{run}", "directory", "groups") as step:
+                land_batches(spark, landing, schemas.GROUP_RECORD, turn, rows_path, marks, log=step)
+        except RuntimeError:
+            pass
+    return rows_path, marks, log
+
+
+@query(f"""
+WITH {LANDED_SQL}
+SELECT 'rows' AS part, CAST(batch % 3 AS VARCHAR) AS scope, batch_id, count(*) AS n, NULL AS token FROM taken WHERE finished GROUP BY ALL
+UNION ALL
+SELECT 'mark', CAST(batch % 3 AS VARCHAR), max(batch_id), NULL, 'token-' || max(batch) FROM landed WHERE finished GROUP BY ALL
+""")
+def landed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs of the lander stored, and where their marks stand."""
+    rows_path, marks, _ = _lander(spark, sf_dir)
+    stored = spark.read.schema("group_id STRING, scope STRING, batch_id STRING").parquet(rows_path)
+    counted = stored.groupBy("scope", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+    reached = landed_marks(spark, marks)
+    return counted.select(F.lit("rows").alias("part"), "scope", "batch_id", "n", F.lit(None).cast("string").alias("token")).unionByName(
+        reached.select(F.lit("mark").alias("part"), "scope", "batch_id", F.lit(None).cast("bigint").alias("n"), F.col("delta_link").alias("token"))
+    )
+
+
+@query(f"""
+WITH {LANDED_SQL},
+seen AS (
+  SELECT 'r1' AS run_id, * EXCLUDE (run) FROM landed WHERE run = 1
+  UNION ALL SELECT 'r2', * EXCLUDE (run) FROM taken WHERE run = 2
+  UNION ALL SELECT 'r2', l.* EXCLUDE (run) FROM landed l LEFT JOIN (SELECT scope, mark FROM marks WHERE run = 1) m ON m.scope = l.batch % 3
+    WHERE run = 1 AND (mark IS NULL OR batch_id > mark)
+  UNION ALL SELECT 'r3', l.* EXCLUDE (run) FROM landed l
+    LEFT JOIN (SELECT scope, max(mark) AS mark FROM marks GROUP BY 1) m ON m.scope = l.batch % 3 WHERE mark IS NULL OR batch_id > mark)
+SELECT run_id, 'START' AS event, NULL AS scope, NULL AS batch_id, NULL AS page_seq, NULL AS records, NULL AS notes FROM runs
+UNION ALL
+SELECT run_id, 'PAGE', CAST(batch % 3 AS VARCHAR), batch_id, page, count(*), NULL FROM seen GROUP BY ALL
+UNION ALL
+SELECT r.run_id, CASE WHEN n = 3 AND EXISTS (SELECT 1 FROM seen s WHERE s.run_id = 'r3') THEN 'FAIL' ELSE 'SUCCESS' END, NULL, NULL, NULL,
+  CASE WHEN n = 3 THEN 0 ELSE (SELECT count(*) FROM seen s WHERE s.run_id = r.run_id AND finished) END,
+  CASE WHEN n = 3 AND EXISTS (SELECT 1 FROM seen s WHERE s.run_id = 'r3') THEN 'RuntimeError: no room' END
+FROM runs r
+""")
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of these runs: a START each, every page they read, and how they ended."""
+    _, _, log = _lander(spark, sf_dir)
+    return log.events().select("run_id", "event", "scope", "batch_id", "page_seq", "records", "notes")
+
+
 @query(f"""
 WITH {PAGES_SQL}
 SELECT CAST(batch AS VARCHAR) AS batch_id, CASE WHEN last_type <> 'error' THEN 'SUCCESS' ELSE 'FAIL' END AS event,
@@ -307,15 +400,25 @@ def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actions landed in four spans of time; every landing is applied before the next."""
     landing, base, checkpoint = (fresh_dir(spark, name) for name in ("actions", "history", "progress"))
     rows = inputs.actions(spark, sf_dir)
-    declared = "group_id BIGINT, member_id BIGINT, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN"
-    store = sinks.HistoryParts(spark, base, declared)
+    store = FeedStore(spark, base, "group_id BIGINT, member_id BIGINT", fanout=2)
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
     span = rows.agg(F.min(second).alias("first"), F.max(second).alias("last")).first()
     width = ((span["last"] or 0) - (span["first"] or 0)) // 4 + 1
     for part in range(4):
         sinks.append(rows.where(F.floor((second - (span["first"] or 0)) / width) == part), landing)
-        follow_actions(spark, landing, rows.schema, store, checkpoint, MEMBER, "action", "ts", "event_id", unique_ts=True)
-    return store.read()
+        follow_feed(spark, landing, rows.schema, store, checkpoint, "ts", "event_id", F.col("action") == "remove")
+    return store.versions()
+
+
+@query(f"WITH {inputs.MEMBERSHIP_SQL} SELECT * FROM membership")
+def late_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same actions dealt to five batches without regard to time: every batch reaches back."""
+    rows = inputs.actions(spark, sf_dir)
+    store = FeedStore(spark, fresh_dir(spark, "late"), "group_id BIGINT, member_id BIGINT", fanout=2)
+    for part in range(5):
+        batch = rows.where((F.col("event_id") * 7 + F.col("group_id")) % 5 == part)
+        store.apply(part, batch, "ts", "event_id", F.col("action") == "remove")
+    return store.versions()
 
 
 # --- columns and predicates --------------------------------------------------------------

@@ -1,13 +1,12 @@
-"""Writing tables: partition replacement, appends, new versions, clustering, history parts."""
+"""Writing tables: partition replacement, appends, new versions, clustering, reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from rosterline.functions.columns import file_safe
-from rosterline.schemas import empty_table
-from rosterline.workspace import committed_children
+from rosterline.workspace import committed_children, sized
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], file_format: str = "parquet") -> None:
@@ -72,47 +71,26 @@ def compact(df: DataFrame, path: str, keys: list[str], files: int | None = None)
     ordered.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
-def write_per_report(df: DataFrame, path: str, title: str) -> None:
-    """One folder per report title, named by its file-safe form."""
-    replace_partitions(df.withColumn("report", file_safe(F.col(title))), path, ["report"])
+def report_folder(title: Column, shared: Column) -> Column:
+    """A folder name: the file-safe title, with a hash of the title where that alone would not tell titles apart.
 
+    ``shared`` says that another title has the same file-safe form. A title of nothing but
+    removed characters, an empty and a NULL title have names too.
+    """
+    safe = F.coalesce(file_safe(title), F.lit(""))
+    digest = F.left(F.sha2(F.coalesce(F.concat(F.lit("="), title), F.lit("")).cast("binary"), 256), F.lit(8))
+    return F.when(safe == "", F.concat(F.lit("untitled-"), digest)).when(shared, F.concat_ws("-", safe, digest)).otherwise(safe)
 
-class HistoryParts:
-    """A stored history, batch by batch: closed versions are only added, current ones rewritten.
 
-    Batch ``N`` writes ``batch=N`` with one part per value of the current flag. The history
-    is the closed part of every committed batch and the current part of the last. Storing
-    a batch again overwrites it with the same rows, so a replay is harmless.
-    """
+def write_per_report(df: DataFrame, path: str, title: str) -> None:
+    """One folder per report title; see :func:`report_folder`.
 
-    def __init__(self, spark: SparkSession, base: str, schema: str, current: str = "is_current") -> None:
-        self.spark, self.base, self.flag = spark, base, current
-        self.schema = StructType.fromDDL(schema)
-
-    def batches(self, before: int | None = None) -> list[int]:
-        numbers = committed_children(self.spark, self.base, "batch=")
-        return [n for n in numbers if before is None or n < before]
-
-    def _read(self, numbers: list[int]) -> DataFrame:
-        paths = [f"{self.base}/batch={n}" for n in numbers]
-        with_batch = StructType([*self.schema.fields, StructField("batch", IntegerType())])
-        return self.spark.read.schema(with_batch).option("basePath", self.base).parquet(*paths)
-
-    def current(self, before: int | None = None) -> DataFrame:
-        """Versions that batch ``before`` finds open; all that are open without it."""
-        numbers = self.batches(before)
-        if not numbers:
-            return empty_table(self.spark, self.schema)
-        return self._read(numbers[-1:]).where(self.flag).select(*self.schema.names)
-
-    def store(self, number: int, versions: DataFrame) -> None:
-        """Stores what a batch left open and what it closed."""
-        versions.write.mode("overwrite").partitionBy(self.flag).parquet(f"{self.base}/batch={number}")
-
-    def read(self) -> DataFrame:
-        """All versions as of the last committed batch."""
-        numbers = self.batches()
-        if not numbers:
-            return empty_table(self.spark, self.schema)
-        rows = self._read(numbers)
-        return rows.where(~F.col(self.flag) | (F.col("batch") == numbers[-1])).select(*self.schema.names)
+    A title gets the hash in its name when several titles of the table share a file-safe form, so rows
+    of two reports never mix.
+    """
+    titles = df.select(F.col(title).alias("__title")).distinct().withColumn("__safe", F.coalesce(file_safe(F.col("__title")), F.lit("")))
+    forms = titles.groupBy("__safe").agg(F.count(F.lit(1)).alias("__titles"))
+    named = titles.join(forms, "__safe").select("__title", report_folder(F.col("__title"), F.col("__titles") > 1).alias("__report"))
+    named = sized(named, "report-names")
+    met = df.join(named, F.col(title).eqNullSafe(F.col("__title")), "left")
+    replace_partitions(met.drop("__title").withColumnRenamed("__report", "report"), path, ["report"])

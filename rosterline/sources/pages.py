@@ -24,10 +24,16 @@ def envelope_schema(record: str) -> str:
     )
 
 
-def read_pages(spark: SparkSession, path: str, record: str) -> DataFrame:
-    """Envelopes below ``path`` with ``next_link`` and ``delta_link`` columns."""
+def read_pages(spark: SparkSession, path: str | list[str], record: str, base: str | None = None) -> DataFrame:
+    """Envelopes below ``path`` with ``next_link`` and ``delta_link`` columns.
+
+    Below ``base``, folders named ``scope=`` and ``batch_id=`` stand for these two fields.
+    """
+    reader = spark.read.schema(envelope_schema(record))
+    if base:
+        reader = reader.option("basePath", base)
     return (
-        spark.read.schema(envelope_schema(record)).json(path)
+        reader.json(path)
         .withColumnsRenamed({"@odata.nextLink": "next_link", "@odata.deltaLink": "delta_link"})
     )
 
@@ -63,6 +69,14 @@ def batch_status(pages: DataFrame, batch: tuple[str, ...] = BATCH) -> DataFrame:
     )
 
 
+def page_counts(pages: DataFrame, batch: tuple[str, ...] = BATCH) -> DataFrame:
+    """Records of every page, of the landing that counts; an error or no records give 0."""
+    good = F.when(F.col("error").isNull(), F.struct("received_ts", _content(pages, batch)))
+    size = F.coalesce(F.size("value"), F.lit(0))
+    counted = pages.groupBy(*batch, "page_seq").agg(F.max_by(size, good).alias("records"), F.max("received_ts").alias("received_ts"))
+    return counted.select(*batch, "page_seq", F.coalesce("records", F.lit(0)).cast("bigint").alias("records"), "received_ts")
+
+
 def good_landings(pages: DataFrame, batch: tuple[str, ...] = BATCH) -> DataFrame:
     """One row per page without an error: the landing received last, ties by content."""
     good = pages.where(F.col("error").isNull())

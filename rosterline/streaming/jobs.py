@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from rosterline.operators.history import apply_actions
-from rosterline.sinks.tables import HistoryParts
+from rosterline.streaming.feed_store import FeedStore
 
 
 def ingest_files(
@@ -34,23 +33,18 @@ def ingest_files(
     query.awaitTermination()
 
 
-def follow_actions(
-    spark: SparkSession, source: str, schema: StructType, store: HistoryParts, checkpoint: str,
-    keys: list[str], action: str, ts: str, seq: str, unique_ts: bool = False, file_format: str = "parquet",
+def follow_feed(
+    spark: SparkSession, source: str, schema: StructType, store: FeedStore, checkpoint: str,
+    ts: str, seq: str, removed: Column | None = None, file_format: str = "parquet",
 ) -> None:
-    """Applies every newly landed file of add and remove actions to a stored history.
+    """Applies every newly landed file of a change feed to a stored history, then returns.
 
-    A micro-batch is applied to the state before its own number, so a replay after a
-    failure gives the same versions again.
+    Rows may arrive in any order. A micro-batch that the store holds already, as after a
+    failure between its commit and the stream's, changes nothing.
     """
-
-    def apply(batch: DataFrame, number: int) -> None:
-        versions = apply_actions(store.current(before=number), batch, keys, action, ts, seq, unique_ts)
-        store.store(number, versions)
-
     query = (
         spark.readStream.format(file_format).schema(schema).load(source)
-        .writeStream.foreachBatch(apply)
+        .writeStream.foreachBatch(lambda batch, number: store.apply(number, batch, ts, seq, removed))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

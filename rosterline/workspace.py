@@ -64,11 +64,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def committed_children(spark: SparkSession, base: str, prefix: str) -> list[int]:
-    """Numbers ``n`` of the sub-folders ``<prefix>n`` of ``base`` whose write job finished."""
+def committed_names(spark: SparkSession, base: str, prefix: str) -> list[str]:
+    """Names of the sub-folders of ``base`` that begin with ``prefix`` and whose write job finished."""
     fs, hadoop_path = _path(spark, base)
     if not fs.exists(hadoop_path):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    numbers = [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
-    return sorted(n for n in numbers if path_exists(spark, f"{base}/{prefix}{n}/_SUCCESS"))
+    return sorted(n for n in names if n.startswith(prefix) and path_exists(spark, f"{base}/{n}/_SUCCESS"))
+
+
+def child_names(spark: SparkSession, base: str, prefix: str) -> list[str]:
+    """Names of the sub-folders of ``base`` that begin with ``prefix``; what they hold is not looked at."""
+    fs, hadoop_path = _path(spark, base)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(n for s in fs.listStatus(hadoop_path) if s.isDirectory() and (n := s.getPath().getName()).startswith(prefix))
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing reads any more."""
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def committed_children(spark: SparkSession, base: str, prefix: str) -> list[int]:
+    """Numbers ``n`` of the sub-folders ``<prefix>n`` of ``base`` whose write job finished."""
+    return sorted(int(name[len(prefix):]) for name in committed_names(spark, base, prefix))

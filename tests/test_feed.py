@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterline import schemas
 from rosterline.operators import increments as L, quality as Q
+from rosterline.operators.runlog import RunLog, runs_of_events
 from rosterline.sources import pages as P
 
 T = "2025-01-01T00:00:0{}.000000"
@@ -88,9 +89,21 @@ def test_token_moves_only_with_a_finished_batch(spark, land):
         ("users", "old", None), ("groups", "b1-0", datetime(2024, 12, 31))}
 
 
-def test_rows_are_stored_before_the_token_and_a_retry_repeats_nothing(spark, land, tmp_path, monkeypatch):
-    pages = land([page("b1", 0, [GROUP, GONE], last=True)])
-    rows_path, tokens = str(tmp_path / "rows"), str(tmp_path / "tokens")
+def landed(folder, pages):
+    for one in pages:
+        where = folder / f"scope={one['scope'].replace('/', '%2F')}" / f"batch_id={one['batch_id']}"
+        where.mkdir(parents=True, exist_ok=True)
+        body = {k: v for k, v in one.items() if k not in ("scope", "batch_id")}
+        (where / f"{one['page_seq']}-{len(list(where.iterdir()))}.json").write_text(json.dumps(body))
+
+
+def stored_rows(records):
+    return P.group_rows(records, keep=("scope", "batch_id", "received_ts"))
+
+
+def test_rows_are_stored_before_the_mark_and_a_retry_repeats_nothing(spark, tmp_path, monkeypatch):
+    landed(tmp_path / "in", [page("b1", 0, [GROUP, GONE], last=True, scope="a/b")])
+    args = (spark, str(tmp_path / "in"), schemas.GROUP_RECORD, stored_rows, str(tmp_path / "rows"), str(tmp_path / "marks"))
 
     def fail(*_):
         raise RuntimeError("disk")
@@ -98,13 +111,61 @@ def test_rows_are_stored_before_the_token_and_a_retry_repeats_nothing(spark, lan
     with monkeypatch.context() as broken:
         broken.setattr(L, "replace_partitions", fail)
         with pytest.raises(RuntimeError):
-            L.land_batches(pages, P.group_rows, rows_path, tokens)
-    assert not (tmp_path / "tokens").exists()
-    for _ in range(2):
-        L.land_batches(pages, P.group_rows, rows_path, tokens)
-    assert {r.group_id for r in spark.read.parquet(rows_path).collect()} == {"g1", "g2"}
-    assert spark.read.parquet(rows_path).count() == 2
-    assert [(r.scope, r.delta_link) for r in L.read_version(spark, tokens).collect()] == [("groups", "b1-0")]
+            L.land_batches(*args)
+    assert not (tmp_path / "marks").exists()
+    assert L.land_batches(*args) is not None and L.land_batches(*args) is None
+    got = spark.read.parquet(args[4])
+    assert {(r.group_id, r.scope, r.batch_id) for r in got.collect()} == {("g1", "a/b", "b1"), ("g2", "a/b", "b1")} and got.count() == 2
+    assert [(r.scope, r.delta_link, r.batch_id) for r in L.landed_marks(spark, args[5]).collect()] == [("a/b", "b1-0", "b1")]
+
+
+def test_only_folders_above_the_mark_are_read(spark, tmp_path):
+    source = tmp_path / "in"
+    args = (spark, str(source), schemas.GROUP_RECORD, stored_rows, str(tmp_path / "rows"), str(tmp_path / "marks"))
+    landed(source, [page("b1", 0, [GROUP], last=True), page("b2", 0, [GROUP]), page("b1", 0, [GROUP], last=True, scope="users")])
+    assert len(L.land_batches(*args).inputFiles()) == 3
+    landed(source, [page("b3", 0, [GONE], last=True), page("b2", 0, [GONE], last=True, scope="users")])
+    files = L.land_batches(*args).inputFiles()
+    assert sorted("/".join(f.split("/")[-3:-1]) for f in files) == [
+        "scope=groups/batch_id=b2", "scope=groups/batch_id=b3", "scope=users/batch_id=b2"]
+    assert L.land_batches(*args) is None  # b2 of groups was given up when b3 finished
+    assert {(r.scope, r.batch_id) for r in L.landed_marks(spark, args[5]).collect()} == {("groups", "b3"), ("users", "b2")}
+    assert {(r.scope, r.batch_id, r.group_id) for r in spark.read.parquet(args[4]).collect()} == {
+        ("groups", "b1", "g1"), ("users", "b1", "g1"), ("groups", "b3", "g2"), ("users", "b2", "g2")}
+
+
+def test_an_unfinished_batch_waits_for_its_last_page(spark, tmp_path):
+    source = tmp_path / "in"
+    args = (spark, str(source), schemas.GROUP_RECORD, stored_rows, str(tmp_path / "rows"), str(tmp_path / "marks"))
+    landed(source, [page("b1", 0, [GROUP])])
+    L.land_batches(*args)
+    assert L.landed_marks(spark, args[5]).isEmpty()
+    landed(source, [page("b1", 1, [GONE], last=True)])
+    L.land_batches(*args)
+    assert spark.read.parquet(args[4]).count() == 2 and L.landed_marks(spark, args[5]).first().batch_id == "b1"
+
+
+def test_a_failing_step_leaves_its_event(spark, tmp_path):
+    ticks = iter(datetime(2025, 1, 1, 0, 0, i) for i in range(60))
+    log = RunLog(spark, str(tmp_path / "log"), lambda: next(ticks))
+    with log.step("r1", "S", "e") as step:
+        step.stores(spark.range(5), lambda df: df.write.parquet(str(tmp_path / "a")))
+        step.stores(spark.range(2), lambda df: df.write.parquet(str(tmp_path / "b")))
+        step.pages(spark.createDataFrame([("s", "b1", 0, 5), ("s", "b1", 1, 2)], "scope STRING, batch_id STRING, page_seq BIGINT, records BIGINT"))
+    with pytest.raises(ValueError, match="broken"):
+        with log.step("r2", "S", "e") as step:
+            step.stores(spark.range(3), lambda df: df.write.parquet(str(tmp_path / "c")))
+            raise ValueError("broken")
+    with pytest.raises(Exception):
+        with log.step("r3", "S", "e") as step:
+            step.stores(spark.range(3), lambda df: df.select(F.raise_error(F.lit("bad row"))).write.parquet(str(tmp_path / "d")))
+    events = [(r.run_id, r.event, r.page_seq, r.records) for r in log.events().orderBy("at", "page_seq").collect()]
+    assert events == [("r1", "START", None, None), ("r1", "PAGE", 0, 5), ("r1", "PAGE", 1, 2), ("r1", "SUCCESS", None, 7),
+                      ("r2", "START", None, None), ("r2", "FAIL", None, 3), ("r3", "START", None, None), ("r3", "FAIL", None, 0)]
+    runs = {r.run_id: r for r in runs_of_events(log.events()).collect()}
+    assert runs["r1"].status == "SUCCESS" and runs["r1"].rows_ingested == 7 and runs["r2"].notes == "ValueError: broken"
+    assert "bad row" in runs["r3"].notes and runs["r1"].started_at < runs["r1"].ended_at
+    assert tuple(Q.run_summary(runs_of_events(log.events())).first())[:5] == ("S", "e", 3, 2, 7)
 
 
 def test_increments_cover_the_feed_once(spark):
@@ -139,13 +200,23 @@ def test_history_violations_are_found(spark):
     rows = [("ok", d[0], d[1], False), ("ok", d[1], None, True), ("over", d[0], d[3], False), ("over", d[2], None, True),
             ("back", d[2], d[2], False), ("two", d[0], None, True), ("two", d[1], None, True), ("end", d[0], d[1], True)]
     df = spark.createDataFrame(rows, "k STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN")
-    expected = {"ends before it starts": 1, "overlaps the version before": 2, "current with an end": 1, "more than one current": 1}
+    expected = {"ends before it starts": 1, "overlaps an earlier version": 2, "current with an end": 1, "more than one current": 1}
     assert {r.rule: r.violations for r in Q.validity_violations(df, ["k"]).collect()} == expected
     assert {r.rule: r.violations for r in Q.validity_violations(df, ["k"], hot_rows=1).collect()} == expected
     zoned = df.withColumn("valid_from", F.col("valid_from").cast("timestamp")).withColumn("valid_to", F.col("valid_to").cast("timestamp"))
     assert {r.rule: r.violations for r in Q.validity_violations(zoned, ["k"]).collect()} == expected
 
 
+def test_a_long_version_overlaps_all_that_begin_inside_it(spark):
+    d = lambda n: datetime(2025, 1, n)
+    rows = [("k", d(1), d(20), False), ("k", d(2), d(3), False), ("k", d(4), d(5), False), ("k", d(6), None, True),
+            ("open", d(1), None, False), ("open", d(2), d(3), False), ("open", d(9), None, True), ("fine", d(1), d(2), False), ("fine", d(2), None, True)]
+    df = spark.createDataFrame(rows, "k STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN")
+    for hot_rows in (1, 2, 100):
+        found = {r.rule: r.violations for r in Q.validity_violations(df, ["k"], hot_rows=hot_rows).collect()}
+        assert found["overlaps an earlier version"] == 5
+
+
 def test_run_log_without_notes(spark):
     t = datetime(2025, 1, 1)
     runs = Q.run_record(spark, "r1", "S", "e", "SUCCESS", t, t, 5).unionByName(

@@ -1,7 +1,7 @@
 """Readers, writers and streams."""
 
 import gzip
-from datetime import date, datetime
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 from rosterline import schemas, workspace
 from rosterline.sinks import tables as S
 from rosterline.sources import snapshots, tables
-from rosterline.streaming.jobs import follow_actions, ingest_files
-
-VERSIONS = "g STRING, m STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN"
-
+from rosterline.streaming.jobs import ingest_files
 
 def as_set(df):
     return {tuple(r) for r in df.collect()}
@@ -133,30 +130,14 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     assert stored.count() == 12 and {"source_file", "ingest_ts"} <= set(stored.columns)
 
 
-def actions(spark, rows):
-    return spark.createDataFrame(rows, "g STRING, m STRING, action STRING, seq BIGINT").withColumn(
-        "ts", F.timestamp_seconds("seq").cast("timestamp_ntz"))
-
-
-def at(second):
-    return datetime(1970, 1, 1, 0, 0, second)
-
-
-def test_followed_actions_and_replay(spark, tmp_path):
-    source, progress = str(tmp_path / "s"), str(tmp_path / "p")
-    store = S.HistoryParts(spark, str(tmp_path / "h"), VERSIONS)
-    assert store.read().isEmpty()
-    first = actions(spark, [("g", "a", "add", 1), ("g", "b", "add", 2), ("g", "z", "remove", 3)])
-    second = actions(spark, [("g", "a", "remove", 5), ("g", "a", "add", 7), ("g", "b", "add", 8)])
-    for batch in (first, second):
-        S.append(batch, source)
-        follow_actions(spark, source, first.schema, store, progress, ["g", "m"], "action", "ts", "seq")
-    expected = {("g", "a", at(1), at(5), False), ("g", "a", at(7), None, True), ("g", "b", at(2), None, True)}
-    assert as_set(store.read()) == expected
-    follow_actions(spark, source, first.schema, store, progress, ["g", "m"], "action", "ts", "seq")
-    assert as_set(store.read()) == expected
-
-    from rosterline.operators.history import apply_actions
-    again = apply_actions(store.current(before=1), second, ["g", "m"], "action", "ts", "seq")
-    store.store(1, again)
-    assert as_set(store.read()) == expected
+def test_reports_never_share_a_folder(spark, tmp_path):
+    titles = ["a:b", "ab", "a?b", "plain", "", None, ":", "ab"]
+    df = spark.createDataFrame(list(enumerate(titles)), "n INT, title STRING")
+    S.write_per_report(df, str(tmp_path / "r"), "title")
+    rows = spark.read.parquet(str(tmp_path / "r")).collect()
+    assert len(rows) == len(titles) and all(r.report for r in rows)
+    by_folder = {}
+    for r in rows:
+        by_folder.setdefault(r.report, set()).add(r.title)
+    assert all(len(found) == 1 for found in by_folder.values()) and len(by_folder) == 7
+    assert "plain" in by_folder and sum(name.startswith("ab-") for name in by_folder) == 3
