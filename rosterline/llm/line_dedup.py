@@ -81,10 +81,14 @@ class LineRuns:
 
     def add(self, hashes: DataFrame) -> None:
         """Takes the (distinct per document) line hashes of one batch, column ``hash``."""
-        fresh = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("documents"))
-        for known in self.settled:
-            fresh = fresh.join(self._read(known).hint("merge"), "hash", "left_anti")
-        self.levels.setdefault(0, []).append(self._write(fresh))
+        path = self._write(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("documents")))
+        if self.settled:
+            # Of the stored counts: before the aggregate, where the optimizer would put it, a frequent line is many rows.
+            fresh = self._read(path)
+            for known in self.settled:
+                fresh = fresh.join(self._read(known).hint("merge"), "hash", "left_anti")
+            path = self._write(fresh)
+        self.levels.setdefault(0, []).append(path)
         level = 0
         while len(self.levels.get(level, [])) >= self.fanout:
             self._compact(level)
