@@ -1,21 +1,25 @@
 """License notices in texts: MinHash bands retrieve templates, exact containment verifies them.
 
-A text is cut into windows of ``WINDOW`` words, half overlapping; so is every template.
-Each band is the least hash of a window's five-word shingles under one of ``bands`` random
-orders. A window that holds all shingles of the smallest template still shares a band with
-it with at least the given probability (``bands_needed``), and larger templates share more.
-A retrieved template is then held against the words themselves: the share of its shingles
-that the text contains must be at least ``min_containment``.
-
-Every shingle of every template holds one of a few words (a hitting set, found once). A text
-without any of them contains no shingle of any template, so it skips the windows.
-
-The templates are a parameter, at most ``MAX_TEMPLATES`` of at most ``MAX_WORDS`` words, so
-their bands are constants of the plan: texts are neither shuffled nor joined.
+A text is cut into windows of ``WINDOW`` words that overlap by half; templates are cut at every
+word, so that a text's window inside a notice meets the same window of its template. Each
+band is the least hash of a window's five-word shingles under one random order. A template has as many bands
+as it takes that a notice of its length, however it lies to the windows and with a fifth of
+its shingles gone, shares one with it with at least the given probability (``bands_needed``).
+Band keys of windows are joined with those of templates; a retrieved template is then held
+against the words themselves: the share of its shingles that the text contains must be at
+least ``min_containment``.
+
+Only windows that hold some shingle of some template are banded. A filter of bits over all template
+shingles, which travels with the plan, finds them; it lets a few others by and leaves none out. Texts
+are neither shuffled nor stored, only their shingles and windows that passed.
+
+Templates are a table; the driver sees their hashes for the filter, 32 bytes a shingle. Any
+number and length will do that leaves the filter a size to send with a task: 200 of 2,000 words make 13 MB.
 
 Defined cases: NULL and empty texts contain no notice; a template of fewer words than a
-shingle is one shingle of all its words, found where the text has just these words in a
-window of its own; repeated rows each give their rows; columns besides the id are ignored.
+shingle is one shingle of all its words, found where the text has just these words; templates
+without words are never found; of templates with one name the one whose text compares least
+counts; repeated rows each give their rows; columns besides the id are ignored.
 """
 
 from __future__ import annotations
@@ -23,18 +27,21 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterline.llm.line_dedup import ascii_lower
 from rosterline.llm.syncmers import bind
+from rosterline.workspace import sized
 
 SHINGLE = 5
 WINDOW = 16
 STEP = 8
 MIN_CONTAINMENT = 0.8
 PROBABILITY = 0.999999
-MAX_TEMPLATES, MAX_WORDS = 200, 2_000
+PER = WINDOW - SHINGLE + 1
+SLOTS, PROBES = 32, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Notices as their licenses word them.
@@ -61,15 +68,24 @@ def template_shingles(text: str) -> list[str]:
     return [" ".join(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))]
 
 
-def bands_needed(templates: dict[str, str], probability: float = PROBABILITY) -> int:
-    """Bands of one row each so that the smallest template is retrieved with ``probability``.
+def similarity(shingles: int, share: float = MIN_CONTAINMENT) -> float:
+    """The least similarity of a notice of so many shingles, ``share`` of them there, to a window of its template.
 
-    A window that holds all its n shingles has Jaccard similarity n / (shingles of a window)
-    to it, the chance that one band agrees.
+    Least over all places of the notice among the text's windows, of the best window.
     """
-    least = min(min(len(set(template_shingles(t))) for t in templates.values()), WINDOW - SHINGLE + 1)
-    similarity = least / (WINDOW - SHINGLE + 1)
-    return 1 if similarity == 1 else math.ceil(math.log(1 - probability) / math.log(1 - similarity))
+    own = min(shingles, PER)
+    worst = PER
+    for shift in range(STEP):
+        inside = [min(at + PER, shingles) - max(at, 0) for at in range(-shift - PER * STEP, shingles, STEP)]
+        worst = min(worst, max(inside))
+    there = max(1, math.ceil(share * worst))
+    return there / (PER + own - there)
+
+
+def bands_needed(shingles: int, probability: float = PROBABILITY) -> int:
+    """Bands of one row each so that a template of so many shingles is retrieved with ``probability``."""
+    alike = similarity(shingles)
+    return 1 if alike == 1 else math.ceil(math.log(1 - probability) / math.log(1 - alike))
 
 
 def _order(band: int) -> int:
@@ -77,82 +93,112 @@ def _order(band: int) -> int:
     return xxhash.xxh64_intdigest(band.to_bytes(4, "big"), 7) - (1 << 63)
 
 
-def covering_words(templates: dict[str, str]) -> list[str]:
-    """Words so chosen, the most helpful first, that every shingle of every template has one."""
-    left = {s for t in templates.values() for s in template_shingles(t)}
-    chosen = []
-    while left:
-        counts: dict[str, int] = {}
-        for shingle in left:
-            for word in set(shingle.split(" ")):
-                counts[word] = counts.get(word, 0) + (len(word) if len(word) > 4 else 0.01)  # long words are rarer
-        best = max(sorted(counts), key=counts.get)
-        chosen.append(best)
-        left = {s for s in left if best not in s.split(" ")}
-    return chosen
-
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >= 1 << 63 else value
-
-
-def template_bands(templates: dict[str, str], bands: int) -> dict[int, list[str]]:
-    """Band key -> templates of which a window has it."""
-    keys: dict[int, list[str]] = {}
-    for name, text in templates.items():
-        hashes = [_signed(xxhash.xxh64_intdigest(s.encode(), 42)) for s in template_shingles(text)]
-        per = WINDOW - SHINGLE + 1
-        for first in range(0, max(1, len(hashes) - per + STEP), STEP):
-            own = hashes[first:first + per]
-            for band in range(bands if own else 0):
-                key = xxhash.xxh64_intdigest(
-                    (min(h ^ _order(band) for h in own) % (1 << 64)).to_bytes(8, "little"),
-                    xxhash.xxh64_intdigest(band.to_bytes(4, "little"), 42),
-                )
-                keys.setdefault(_signed(key), [])
-                if name not in keys[_signed(key)]:
-                    keys[_signed(key)].append(name)
-    return keys
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+
+
+def shingle_hashes(words: Column) -> Column:
+    """One hash per shingle, in order; fewer words than a shingle are one of all."""
+
+    def of(h: Column) -> Column:
+        whole = F.transform(F.sequence(F.lit(0), F.size(h) - SHINGLE), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(SHINGLE)]))
+        return F.when(F.size(h) >= SHINGLE, whole).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.slice(h, 1, 0))
+
+    return bind(F.transform(words, lambda w: F.xxhash64(w)), of)
+
+
+def shingle_at(words: Column, place: Column) -> Column:
+    return F.array_join(F.slice(words, place + 1, SHINGLE), " ")
+
+
+def band_keys(window: Column, bands: int) -> Column:
+    orders = F.array(*[F.lit(_order(b)) for b in range(bands)])
+    return F.transform(orders, lambda order, band: F.xxhash64(band, F.array_min(F.transform(window, lambda x: x.bitwiseXOR(order)))))
+
+
+class ShingleFilter:
+    """Bytes that say of a shingle's hash that no template has it, or that one may."""
+
+    def __init__(self, hashes: list[int]):
+        self.bits = max(16, math.ceil(math.log2(max(1, SLOTS * len(hashes)))))
+        marks = np.zeros(1 << self.bits, np.uint8)
+        values = np.array(hashes, np.int64).view(np.uint64)
+        for probe in range(PROBES):
+            marks[self._slots(values, probe)] = 1
+        self.data = marks.tobytes()
+
+    def _slots(self, values: np.ndarray, probe: int) -> np.ndarray:
+        return ((values >> np.uint64(7 * probe)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def passes(self, value: Column, marks: Column) -> Column:
+        """Whether a hash passes; ``marks`` is this filter's data, bound once so that the plan holds it once."""
+        marked, found = F.lit(b"\x01"), F.lit(True)
+        for probe in range(PROBES):
+            slot = F.shiftrightunsigned(value, 7 * probe).bitwiseAND(F.lit((1 << self.bits) - 1)).cast("int")
+            found = found & (F.substring(marks, slot + 1, F.lit(1)) == marked)
+        return found
+
+
+def _template_rows(docs: DataFrame, templates: dict[str, str] | DataFrame) -> DataFrame:
+    """(license, hashes, shingles) of every template, stored; hashes in order, shingles once each."""
+    if isinstance(templates, dict):
+        templates = docs.sparkSession.createDataFrame(list(templates.items()), "license STRING, body STRING")
+    once = templates.where("license IS NOT NULL").groupBy("license").agg(F.min("body").alias("body"))
+    rows = once.select("license", words_of(F.col("body")).alias("words")).where(F.size("words") > 0)
+    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - SHINGLE))
+    return sized(rows.select(
+        "license", shingle_hashes(F.col("words")).alias("hashes"),
+        F.array_distinct(F.transform(places, lambda i: shingle_at(F.col("words"), i))).alias("shingles"),
+    ), "license-templates")
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
     min_containment: float = MIN_CONTAINMENT,
 ) -> DataFrame:
-    """Rows (``id_col``, ``license``, ``n_found``, ``n_shingles``, ``containment``) of verified templates."""
-    templates = templates or TEMPLATES
-    if len(templates) > MAX_TEMPLATES or any(len(template_words(t)) > MAX_WORDS for t in templates.values()):
-        raise ValueError("more or longer templates than a plan should hold")
-    bands = bands_needed(templates)
-    keys = template_bands(templates, bands)
-    text = ascii_lower(F.col(text_col))
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-
-    def shingles(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - (SHINGLE - 1)))
-        return F.when(F.size(w) > 0, F.transform(starts, lambda i: F.array_join(F.slice(w, i, SHINGLE), " "))).otherwise(F.slice(w, 1, 1))
+    """Rows (``id_col``, ``license``, ``n_found``, ``n_shingles``, ``containment``) of verified templates.
 
-    orders = F.array(*[F.lit(_order(b)) for b in range(bands)])
+    ``templates`` is a table (``license``, ``body``) or the same as a dictionary.
+    """
+    known = _template_rows(docs, TEMPLATES if templates is None else templates)
+    sizes = [r["n"] for r in known.select(F.size("shingles").alias("n")).distinct().collect()]
+    most = max(map(bands_needed, sizes), default=1)
+    own_filter = ShingleFilter([r["h"] for r in known.select(F.explode("hashes").alias("h")).distinct().collect()])
+
+    # Templates: windows at every word, as many bands as their size needs (sizes above a window and a step are alike).
+    enough = F.array(*[F.lit(bands_needed(max(1, n))) for n in range(PER + STEP + 1)])
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("hashes") - PER + 1))
+    windows = known.select("license", F.get(enough, F.least(F.size("shingles"), F.lit(PER + STEP))).alias("bands"), F.explode(
+        F.transform(starts, lambda i: F.slice("hashes", i, PER))).alias("window"))
+    keys = windows.select("license", F.explode(F.slice(band_keys(F.col("window"), most), F.lit(1), F.col("bands"))).alias("key"))
+    keys = sized(keys.distinct(), "license-bands")
+
+    def passing(words: Column) -> Column:
+        """Shingles that pass the filter, and the windows around them."""
+
+        def of(h: Column) -> Column:
+            at = bind(F.lit(own_filter.data), lambda marks: F.filter(
+                F.sequence(F.lit(0), F.size(h) - 1), lambda i: own_filter.passes(F.get(h, i), marks)))
+
+            def around(places: Column) -> Column:
+                last = F.greatest(F.lit(0), F.floor((F.size(h) - (PER - STEP) - 1) / STEP)).cast("int")
+                numbers = F.array_distinct(F.flatten(F.transform(places, lambda p: F.array(
+                    F.least(F.floor(p / STEP).cast("int"), last), F.least(F.greatest(F.floor(p / STEP).cast("int") - 1, F.lit(0)), last)))))
+                return F.struct(
+                    F.array_distinct(F.transform(places, lambda p: shingle_at(words, p))).alias("shingles"),
+                    F.transform(numbers, lambda n: F.slice(h, n * STEP + 1, PER)).alias("windows"),
+                )
 
-    def band_keys(h: Column) -> Column:
-        per = WINDOW - SHINGLE + 1
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(h) - (per - STEP)), F.lit(STEP))
-        windows = F.transform(starts, lambda i: F.slice(h, i, per))
-        return F.flatten(F.transform(windows, lambda w: F.transform(
-            orders, lambda order, band: F.xxhash64(band, F.array_min(F.transform(w, lambda x: x.bitwiseXOR(order))))
-        )))
+            return F.when(F.size(h) > 0, bind(at, around))
 
-    shared = F.array_intersect(
-        bind(F.transform(F.col("__shingles"), lambda s: F.xxhash64(s)), band_keys), F.array(*[F.lit(k) for k in keys])
-    )
-    names = list(templates)
-    owners = F.create_map(*[x for k, own in keys.items() for x in (F.lit(k), F.array(*[F.lit(names.index(n)) for n in own]))])
-    cover = f"(^|[^0-9a-z])({'|'.join(re.escape(w) for w in covering_words(templates))})([^0-9a-z]|$)"
-    found = docs.where(text.rlike(cover)).select(id_col, bind(words, shingles).alias("__shingles")).where(F.size("__shingles") > 0)
-    found = found.select(id_col, "__shingles", F.explode(F.array_distinct(F.flatten(F.transform(shared, lambda k: F.element_at(owners, k))))).alias("__t"))
-    own = F.array(*[F.array(*[F.lit(s) for s in dict.fromkeys(template_shingles(t))]) for t in templates.values()])
-    found = found.select(id_col, "__t", F.get(own, F.col("__t")).alias("__own"), "__shingles").select(
-        id_col, F.get(F.array(*[F.lit(n) for n in names]), F.col("__t")).alias("license"),
-        F.size(F.array_intersect("__own", "__shingles")).alias("n_found"), F.size("__own").alias("n_shingles"),
+        return bind(shingle_hashes(words), of)
+
+    found = docs.select(F.col(id_col).alias("__id"), bind(words_of(F.col(text_col)), passing).alias("__found")).where(F.size("__found.shingles") > 0)
+    hits = sized(found.select("__id", F.monotonically_increasing_id().alias("__row"), "__found.shingles", "__found.windows"), "license-windows")
+    banded = hits.select("__row", F.explode("windows").alias("window")).select("__row", F.explode(band_keys(F.col("window"), most)).alias("key"))
+    retrieved = banded.join(keys, "key").select("__row", "license").distinct()
+    held = retrieved.join(hits.select("__row", "__id", F.col("shingles").alias("__text")), "__row").join(known.select("license", "shingles"), "license")
+    counted = held.select(
+        F.col("__id").alias(id_col), "license", F.size(F.array_intersect("shingles", "__text")).alias("n_found"), F.size("shingles").alias("n_shingles")
     )
-    return found.withColumn("containment", F.col("n_found") / F.col("n_shingles")).where(F.col("containment") >= min_containment)
+    return counted.withColumn("containment", F.col("n_found") / F.col("n_shingles")).where(F.col("containment") >= min_containment)

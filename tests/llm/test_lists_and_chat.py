@@ -72,13 +72,45 @@ def test_licenses_match_exact_containment(spark):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
-def test_bands_follow_the_smallest_template():
-    assert licenses.bands_needed({"x": "a b c d e"}) == 159
-    assert licenses.bands_needed({"x": " ".join(f"w{i}" for i in range(40))}) == 1
-    cover = licenses.covering_words(licenses.TEMPLATES)
-    assert all(set(s.split(" ")) & set(cover) for t in licenses.TEMPLATES.values() for s in licenses.template_shingles(t))
-    with pytest.raises(ValueError):
-        licenses.scan_licenses(None, {"long": "w " * 3000})
+def test_bands_follow_the_size_of_a_template():
+    assert licenses.bands_needed(1) == 159
+    assert licenses.bands_needed(400) == licenses.bands_needed(licenses.PER + licenses.STEP) == 12
+    for shingles in (1, 3, 8, 12, 15, 30):
+        # By trial: the best pair of windows of a text and a template, wherever the notice lies.
+        own = list(range(shingles))
+        of_template = [set(own[i:i + licenses.PER]) for i in range(max(1, shingles - licenses.PER + 1))]
+        for shift in range(licenses.STEP):
+            text = [-1000 - i for i in range(shift + 24)] + own + [-2000 - i for i in range(40)]
+            windows = [set(text[i:i + licenses.PER]) for i in range(0, len(text) - licenses.PER + 1, licenses.STEP)]
+            best = max(len(w & t) / len(w | t) for w in windows for t in of_template)
+            assert best >= licenses.similarity(shingles, 1.0) - 1e-12
+
+
+def test_many_long_templates(spark):
+    import time
+
+    rng = random.Random(11)
+    words = [f"{a}{b}" for a in ("lic", "sub", "war", "per", "dis", "cop", "not") for b in range(400)]
+    bodies = {f"L{i}": " ".join(rng.choices(words, k=2000)) for i in range(200)}
+    table = spark.createDataFrame([*bodies.items(), ("L0", "~ after all"), (None, "x"), ("empty", "...")], "license STRING, body STRING")
+    cut = bodies["L7"].split()
+    texts = [bodies["L3"], "intro " + bodies["L5"] + " outro", " ".join(cut[:1000] + ["new"] + cut[1000:1700]), " ".join(cut[:1500]),
+             " ".join(rng.choices(words, k=5000)), None, "short", bodies["L9"] + " and " + bodies["L199"].upper()]
+    docs = spark.createDataFrame([(i % 7, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING").repartition(2)
+    started = time.perf_counter()
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan_licenses(docs, table).collect())
+    assert got == [(0, "L199"), (0, "L3"), (0, "L9"), (1, "L5"), (2, "L7")]
+    assert time.perf_counter() - started < 90
+
+
+def test_templates_of_few_words_and_columns_of_any_name(spark):
+    names = ["license", "windows", "shingles", "__row", "key", "words", "hashes", "n_found"]
+    docs = spark.createDataFrame([(1, "all rights reserved"), (2, "All Rights Reserved!"), (3, "now all rights reserved"), (4, "a b c d e")], "doc_id BIGINT, text STRING")
+    docs = docs.select("*", *[F.lit(c).alias(c) for c in names])
+    got = licenses.scan_licenses(docs, {"ARR": "All rights reserved.", "five": "A, B, C, D, E"})
+    assert got.columns == ["doc_id", "license", "n_found", "n_shingles", "containment"]
+    assert sorted((r["doc_id"], r["license"]) for r in got.collect()) == [(1, "ARR"), (2, "ARR"), (4, "five")]
+    assert licenses.scan_licenses(docs, {}).count() == 0
 
 
 def test_tool_calls(spark):
