@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterline.operators.history import upsert_state
 from rosterline.operators.runlog import Step
@@ -104,3 +104,33 @@ def latest_batch_keys(feed: DataFrame, key: str, batch: str = "delta_batch_id",
 def refresh_children(children: DataFrame, changed: DataFrame, key: str) -> DataFrame:
     """Child rows of the changed keys."""
     return children.join(sized(changed.select(key), "changed-keys"), key, "left_semi")
+
+
+class BucketedChildren:
+    """Child rows stored in folders by a hash of their parent's key, so that a refresh reads few of them.
+
+    Within a folder rows are sorted by the key, so files and row groups outside the range of
+    the changed keys are skipped too.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, buckets: int = 64) -> None:
+        self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
+        self.schema = f"{schema}, __bucket INT"
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def store(self, children: DataFrame) -> None:
+        """Replaces the buckets that occur in ``children`` by these rows."""
+        rows = children.withColumn("__bucket", self._bucket())
+        replace_partitions(rows.hint("rebalance", "__bucket").sortWithinPartitions("__bucket", self.key), self.path, ["__bucket"], rebalance=False)
+
+    def of(self, changed: DataFrame) -> DataFrame:
+        """Rows of the changed keys. The driver sees which buckets they lie in, and their least and greatest."""
+        keys = sized(changed.where(F.col(self.key).isNotNull()).select(self.key).distinct().withColumn("__in", self._bucket()), "changed-keys")
+        found = keys.agg(F.collect_set("__in").alias("buckets"), F.min(self.key).alias("low"), F.max(self.key).alias("high")).first()
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        rows = rows.where(F.col("__bucket").isin(found["buckets"]))
+        if found["buckets"]:
+            rows = rows.where(F.col(self.key).between(F.lit(found["low"]), F.lit(found["high"])))
+        return rows.drop("__bucket").join(keys.select(self.key), self.key, "left_semi")

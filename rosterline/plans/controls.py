@@ -8,7 +8,8 @@ from rosterline.operators import increments as L, quality as Q
 from rosterline.plans import inputs
 from rosterline.plans.histories import MEMBER, membership
 from rosterline.plans.registry import query, table
-from rosterline.workspace import sized
+from rosterline.products import directory
+from rosterline.workspace import fresh_dir, sized
 
 
 @query("""
@@ -128,4 +129,17 @@ def changed_keys_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts.alias("received_ts"),
     )
     changed = L.latest_batch_keys(feed, "o_custkey")
-    return L.refresh_children(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), changed, "o_custkey")
+    children = L.BucketedChildren(spark, fresh_dir(spark, "children"), "o_orderkey BIGINT, o_custkey BIGINT", "o_custkey")
+    children.store(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return children.of(changed).select("o_orderkey", "o_custkey")
+
+
+@query("""
+SELECT 'Null user_object_id in dim_user' AS rule, count(*) FILTER (WHERE event_id % 9 = 0) AS violations FROM events
+UNION ALL SELECT 'Null aad_group_id in dim_aad_group', 0
+""")
+def dq_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the directory dimensions, on users some of whose ids are missing."""
+    users = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 9 != 0, F.concat(F.lit("u"), "user_id")).alias("user_object_id"))
+    groups = table(spark, sf_dir, "supplier").select(F.concat(F.lit("g"), "s_suppkey").alias("aad_group_id"))
+    return directory.directory_checks(users, groups)

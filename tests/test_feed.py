@@ -222,3 +222,19 @@ def test_run_log_without_notes(spark):
     runs = Q.run_record(spark, "r1", "S", "e", "SUCCESS", t, t, 5).unionByName(
         Q.run_record(spark, "r2", "S", "e", "FAILED", t, t, 7, "boom"))
     assert tuple(Q.run_summary(runs).first()) == ("S", "e", 2, 1, 5, t)
+
+
+def test_a_refresh_reads_only_the_changed_buckets(spark, tmp_path):
+    children = spark.range(2000).select((F.col("id") % 400).alias("parent"), F.col("id").alias("child"))
+    held = L.BucketedChildren(spark, str(tmp_path / "c"), "parent BIGINT, child BIGINT", "parent", buckets=16)
+    held.store(children)
+    changed = spark.createDataFrame([(7,), (7,), (None,), (399,), (5000,)], "parent BIGINT")
+    got = held.of(changed)
+    assert {tuple(r) for r in got.collect()} == {(p, p + 400 * i) for p in (7, 399) for i in range(5)} and got.columns == ["parent", "child"]
+    keys = spark.createDataFrame([(7,), (399,), (5000,)], "parent BIGINT")
+    wanted = {r[0] for r in keys.select(F.pmod(F.xxhash64("parent"), F.lit(16))).collect()}
+    scanned = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "__bucket" in line and "PartitionFilters" in line]
+    assert scanned and all(f"{b}" in scanned[0] for b in wanted)
+    held.store(spark.createDataFrame([(7, -1)], "parent BIGINT, child BIGINT").unionByName(children.where("parent <> 7")))
+    assert [tuple(r) for r in held.of(changed.where("parent = 7")).collect()] == [(7, -1)]
+    assert held.of(changed.where("parent IS NULL")).count() == 0
