@@ -228,11 +228,12 @@ def issue_client_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.apply_rules(flagged, [T.Rule(T.CLIENT, F.col("citrixClientVersion"), ~F.col("ok"))])
 
 
-# The first part before the separator, less its prefix; a part that is only the prefix has no build.
-BUILD_SQL = """nullif(replace(
-    split_part("audioDeviceComposite", CASE WHEN contains("audioDeviceComposite", ''',''') THEN ''',''' ELSE ',' END,
-      CASE WHEN contains("audioDeviceComposite", ',') OR "audioDeviceComposite" = 'T1' THEN 1 ELSE 2 END),
-    CASE WHEN contains("audioDeviceComposite", ''',''') THEN 'T2'', ''' ELSE 'T1'', ''' END, ''), 'T1')"""
+# The first part of the text, cut at the quoted comma if there is one, else at the plain one, less its layout's
+# prefix. No build in an empty device; an empty build in a text without any comma.
+QUOTED_SQL = """contains("audioDeviceComposite", ''',''')"""
+FIRST_SQL = f"""split_part("audioDeviceComposite", CASE WHEN {QUOTED_SQL} THEN ''',''' ELSE ',' END, 1)"""
+BUILD_SQL = f"""CASE WHEN {FIRST_SQL} = 'T1' THEN NULL WHEN NOT contains("audioDeviceComposite", ',') THEN ''
+    ELSE replace({FIRST_SQL}, CASE WHEN {QUOTED_SQL} THEN 'T2'', ''' ELSE 'T1'', ''' END, '') END"""
 
 
 @query(f"""

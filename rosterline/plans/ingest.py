@@ -239,7 +239,7 @@ def change_page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LANDED_SQL = PAGES_SQL + """,
-runs AS (SELECT 'r' || n AS run_id, n FROM range(1, 4) r(n)),
+runs AS (SELECT 'groups_20240131T000000_' || n AS run_id, n FROM range(1, 4) r(n)),
 landed AS (
   SELECT rows.*, 'b' || lpad(CAST(batch AS VARCHAR), 6, '0') AS batch_id, last_type <> 'error' AS finished,
          CASE WHEN batch % 2 = 0 THEN 1 ELSE 2 END AS run
@@ -275,8 +275,8 @@ def _lander(spark: SparkSession, sf_dir: str) -> tuple[str, str, RunLog]:
         if part is not None:
             _land(pages.where(F.col("number") % 2 == part).drop("number"), landing, ("scope", "batch_id"))
         try:
-            with log.step(f"r{run}", "directory", "groups") as step:
-                land_batches(spark, landing, schemas.GROUP_RECORD, turn, rows_path, marks, log=step)
+            with log.step(C.new_run_id("groups", inputs.AS_OF, str(run)), "directory", "groups") as step:
+                land_batches(spark, landing, schemas.GROUP_RECORD, turn, rows_path, marks, inputs.RUN_1, step)
         except RuntimeError:
             pass
     return rows_path, marks, log
@@ -284,37 +284,40 @@ def _lander(spark: SparkSession, sf_dir: str) -> tuple[str, str, RunLog]:
 
 @query(f"""
 WITH {LANDED_SQL}
-SELECT 'rows' AS part, CAST(batch % 3 AS VARCHAR) AS scope, batch_id, count(*) AS n, NULL AS token FROM taken WHERE finished GROUP BY ALL
+SELECT 'rows' AS part, CAST(batch % 3 AS VARCHAR) AS scope, batch_id, count(*) AS n, NULL AS token, NULL::TIMESTAMP AS since
+FROM taken WHERE finished GROUP BY ALL
 UNION ALL
-SELECT 'mark', CAST(batch % 3 AS VARCHAR), max(batch_id), NULL, 'token-' || max(batch) FROM landed WHERE finished GROUP BY ALL
+SELECT 'mark', CAST(batch % 3 AS VARCHAR), max(batch_id), NULL, 'token-' || max(batch), TIMESTAMP '2002-01-01' FROM landed WHERE finished GROUP BY ALL
 """)
 def landed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What three runs of the lander stored, and where their marks stand."""
+    """What three runs of the lander, seeded from a snapshot, stored, and where their marks stand."""
     rows_path, marks, _ = _lander(spark, sf_dir)
     stored = spark.read.schema("group_id STRING, scope STRING, batch_id STRING").parquet(rows_path)
     counted = stored.groupBy("scope", "batch_id").agg(F.count(F.lit(1)).alias("n"))
     reached = landed_marks(spark, marks)
-    return counted.select(F.lit("rows").alias("part"), "scope", "batch_id", "n", F.lit(None).cast("string").alias("token")).unionByName(
-        reached.select(F.lit("mark").alias("part"), "scope", "batch_id", F.lit(None).cast("bigint").alias("n"), F.col("delta_link").alias("token"))
+    rows = counted.select(F.lit("rows").alias("part"), "scope", "batch_id", "n")
+    reached = reached.select(
+        F.lit("mark").alias("part"), "scope", "batch_id", F.col("delta_link").alias("token"), F.col("snapshot_filter_from").alias("since")
     )
+    return rows.unionByName(reached, allowMissingColumns=True)
 
 
 @query(f"""
 WITH {LANDED_SQL},
 seen AS (
-  SELECT 'r1' AS run_id, * EXCLUDE (run) FROM landed WHERE run = 1
-  UNION ALL SELECT 'r2', * EXCLUDE (run) FROM taken WHERE run = 2
-  UNION ALL SELECT 'r2', l.* EXCLUDE (run) FROM landed l LEFT JOIN (SELECT scope, mark FROM marks WHERE run = 1) m ON m.scope = l.batch % 3
+  SELECT 'groups_20240131T000000_1' AS run_id, * EXCLUDE (run) FROM landed WHERE run = 1
+  UNION ALL SELECT 'groups_20240131T000000_2', * EXCLUDE (run) FROM taken WHERE run = 2
+  UNION ALL SELECT 'groups_20240131T000000_2', l.* EXCLUDE (run) FROM landed l LEFT JOIN (SELECT scope, mark FROM marks WHERE run = 1) m ON m.scope = l.batch % 3
     WHERE run = 1 AND (mark IS NULL OR batch_id > mark)
-  UNION ALL SELECT 'r3', l.* EXCLUDE (run) FROM landed l
+  UNION ALL SELECT 'groups_20240131T000000_3', l.* EXCLUDE (run) FROM landed l
     LEFT JOIN (SELECT scope, max(mark) AS mark FROM marks GROUP BY 1) m ON m.scope = l.batch % 3 WHERE mark IS NULL OR batch_id > mark)
 SELECT run_id, 'START' AS event, NULL AS scope, NULL AS batch_id, NULL AS page_seq, NULL AS records, NULL AS notes FROM runs
 UNION ALL
 SELECT run_id, 'PAGE', CAST(batch % 3 AS VARCHAR), batch_id, page, count(*), NULL FROM seen GROUP BY ALL
 UNION ALL
-SELECT r.run_id, CASE WHEN n = 3 AND EXISTS (SELECT 1 FROM seen s WHERE s.run_id = 'r3') THEN 'FAIL' ELSE 'SUCCESS' END, NULL, NULL, NULL,
+SELECT r.run_id, CASE WHEN n = 3 AND EXISTS (SELECT 1 FROM seen s WHERE s.run_id = 'groups_20240131T000000_3') THEN 'FAIL' ELSE 'SUCCESS' END, NULL, NULL, NULL,
   CASE WHEN n = 3 THEN 0 ELSE (SELECT count(*) FROM seen s WHERE s.run_id = r.run_id AND finished) END,
-  CASE WHEN n = 3 AND EXISTS (SELECT 1 FROM seen s WHERE s.run_id = 'r3') THEN 'RuntimeError: no room' END
+  CASE WHEN n = 3 AND EXISTS (SELECT 1 FROM seen s WHERE s.run_id = 'groups_20240131T000000_3') THEN 'RuntimeError: no room' END
 FROM runs r
 """)
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,3 +137,39 @@ def test_directory_checks(spark):
     users = spark.createDataFrame([(None,)], "user_object_id STRING")
     groups = spark.createDataFrame([("g",)], "aad_group_id STRING")
     assert {r.violations for r in D.directory_checks(users, groups).collect()} == {0, 1}
+
+
+def test_stores_advance_like_the_whole_feed(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    group = {"id": "g", "displayName": "G", "mail": "g@x", "securityEnabled": True, "description": "d", "members@delta": [{"id": "m"}, {"id": "n"}],
+             "owners@delta": [{"id": "o"}]}
+    records = feed(spark, landing, schemas.GROUP_RECORD, [
+        [group, {**group, "displayName": "H", "members@delta": [{"id": "n", "@removed": {"reason": "x"}}]}],
+        [{**group, "description": "e", "members@delta": [{"id": "m", "@removed": {"reason": "x"}}], "owners@delta": None}],
+        [{"id": "g", "@removed": {"reason": "deleted"}}], [{**group, "members@delta": [{"id": "m"}], "owners@delta": [{"id": "o", "@removed": {"reason": "x"}}]}]])
+    keep = ("batch_id", "received_ts")
+    rows = {
+        "group": P.group_rows(records), "member": P.link_changes(records, "members@delta", "member_object_id", keep),
+        "owner": P.link_changes(records, "owners@delta", "owner_object_id", keep),
+    }
+    whole = {"group": D.group_history(rows["group"]), "member": D.link_history(rows["member"], "member_object_id"),
+             "owner": D.link_history(rows["owner"], "owner_object_id")}
+    stores = {"group": D.group_store(spark, str(tmp_path / "g"), fanout=2), "member": D.link_store(spark, str(tmp_path / "m"), "member_object_id"),
+              "owner": D.link_store(spark, str(tmp_path / "o"), "owner_object_id")}
+    for kind, store in stores.items():
+        for number, batch in enumerate(("b2", "b0", "b3", "b1")):
+            D.advance(store, number, rows[kind].where(F.col("batch_id") == batch))
+        assert as_set(store.versions(), *[F.col(c).cast("string") for c in whole[kind].columns]) == as_set(
+            whole[kind], *[F.col(c).cast("string") for c in whole[kind].columns])
+
+
+def test_user_store(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    user = {"id": "u", "userPrincipalName": "u@x", "displayName": "U", "mail": None, "accountEnabled": True}
+    rows = P.user_rows(feed(spark, landing, schemas.USER_RECORD, [[user], [{**user, "displayName": "V"}], [{"id": "u", "@removed": {"reason": "x"}}]]))
+    store, whole = D.user_store(spark, str(tmp_path / "u")), D.user_history(rows)
+    for number, batch in enumerate(("b2", "b1", "b0")):
+        D.advance(store, number, rows.where(F.col("batch_id") == batch))
+    assert as_set(store.versions(), *whole.columns) == as_set(whole)
