@@ -345,11 +345,12 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """
     found = near_duplicates(docs, id_col, text_col, **options).where(F.col("id").eqNullSafe(F.col("component_id")))
     alike = found.groupBy("component", "id", "row_hash").agg(F.count(F.lit(1)).alias("n"))
-    first = alike.groupBy("component").agg(F.min(F.struct("row_hash", "id", "n")).alias("__first"))
-    same = docs[id_col].eqNullSafe(F.col("__first.id"))
-    same &= F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("__first.row_hash")
-    kept = docs.join(first.select("__first"), same)
-    once = kept.where("__first.n = 1").select(*docs.columns)
-    again = kept.where("__first.n > 1")
-    least = again.groupBy("__first").agg(F.min(F.struct(*docs.columns)).alias("__row"))
-    return once.unionByName(least.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns]))
+    first = alike.groupBy("component").agg(F.min(F.struct("row_hash", "id", "n")).alias("first"))
+    first = first.select(F.col("first.id").alias("first_id"), F.col("first.row_hash").alias("first_hash"), F.col("first.n").alias("n"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("own_hash")
+    )
+    kept = rows.join(first, F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("own_hash") == F.col("first_hash")))
+    least = kept.where("n > 1").groupBy("first_id", "first_hash").agg(F.min("row").alias("row"))
+    chosen = kept.where("n = 1").select("row").unionByName(least.select("row"))
+    return chosen.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from rosterline.llm import carried
 from rosterline.llm.tokenizing import shared_encoder
 from rosterline.workspace import fresh_dir
 
@@ -126,7 +127,9 @@ def document_lengths(blocks: DataFrame, end_id: int, width: int = 2, group_block
     ``blocks`` has ``file_id``, ``block`` and ``ids``; ``n_tokens`` is without the end id.
     """
     others = [c for c in blocks.columns if c not in ("ids", *OUTPUTS)]
-    found = separators(blocks.select(*others, "ids"), end_id, width)
+    place = ["file_id", "block"]
+    row = carried.packed([c for c in others if c not in place]).alias("__row")
+    found = separators(blocks.select(*place, row, "ids"), end_id, width)
     rows = found.withColumn("__group", F.floor(F.col("block") / group_blocks))
     inside = Window.partitionBy("file_id", "__group").orderBy("block")
     last = F.when(F.size("ends") > 0, F.col("__ids") + F.try_element_at("ends", F.lit(-1)) + 1)
@@ -161,9 +164,9 @@ def document_lengths(blocks: DataFrame, end_id: int, width: int = 2, group_block
         F.array(F.struct(F.size("ends").alias("index"), open_from.alias("start"), (first_id + F.col("n_ids")).alias("stop"), F.lit(False).alias("complete"))),
     ).otherwise(F.filter(stops, lambda s: F.lit(False)))
     documents = rows.select(
-        *others, (F.col("__g_docs") + F.col("__docs")).alias("__first"), F.explode(F.concat(stops, rest)).alias("__doc")
+        *place, "__row", (F.col("__g_docs") + F.col("__docs")).alias("__first"), F.explode(F.concat(stops, rest)).alias("__doc")
     )
     return documents.select(
-        *others, "__doc.index", (F.col("__first") + F.col("__doc.index")).alias("ordinal"), F.col("__doc.start").alias("start"),
+        *[F.col(c) if c in place else F.col("__row").getField(c).alias(c) for c in others], "__doc.index", (F.col("__first") + F.col("__doc.index")).alias("ordinal"), F.col("__doc.start").alias("start"),
         (F.col("__doc.stop") - F.col("__doc.start")).alias("n_tokens"), "__doc.complete",
     )
