@@ -14,4 +14,4 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
