@@ -220,7 +220,9 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(envelopes: DataFrame, path: str, partition_cols: tuple[str, ...] = ()) -> None:
-    written = envelopes.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    # Dealt out by folder, or every task would write a file into every folder.
+    dealt = envelopes.hint("rebalance", *partition_cols) if partition_cols else envelopes
+    written = dealt.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     (written.partitionBy(*partition_cols) if partition_cols else written).json(path)
 
 

@@ -141,3 +141,13 @@ def test_reports_never_share_a_folder(spark, tmp_path):
         by_folder.setdefault(r.report, set()).add(r.title)
     assert all(len(found) == 1 for found in by_folder.values()) and len(by_folder) == 7
     assert "plain" in by_folder and sum(name.startswith("ab-") for name in by_folder) == 3
+
+
+def test_landed_batches_have_one_file_each(spark, tmp_path):
+    from rosterline.plans import ingest
+
+    rows = spark.range(400).selectExpr("'s' AS scope", "concat('b', id % 20) AS batch_id", "id AS page_seq").repartition(8, "page_seq")
+    ingest._land(rows, str(tmp_path / "landing"), ("scope", "batch_id"))
+    folders = sorted((tmp_path / "landing" / "scope=s").glob("batch_id=*"))
+    assert [len(list(f.glob("part-*"))) for f in folders] == [1] * 20
+    assert spark.read.json(str(tmp_path / "landing")).count() == 400
