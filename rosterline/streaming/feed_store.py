@@ -5,8 +5,8 @@ row opens a version, ends one or changes nothing, and when its version ends. Row
 nothing are kept, because a row that arrives late may give them meaning.
 
 Rows lie in *parts*, cut by a hash of the key. A batch adds one part that holds only the rows it
-brings or changes: the touched keys are replayed from the last change before the batch's
-earliest row of that key on. Reading takes every row from its newest part. When a level has ``fanout`` parts they
+brings or changes: the touched keys' stored rows and new ones are put in one order and
+replayed in one pass, and what comes out as it was is not written. Reading takes every row from its newest part. When a level has ``fanout`` parts they
 are merged into one part of the next level, which drops superseded rows; so a row is
 rewritten once per level, and the folder follows the data. A part's name says which batches
 it covers, and it counts once its job is committed: a reader sees the old parts or the merged
@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from rosterline.operators.history import Validity
@@ -122,10 +122,7 @@ class FeedStore:
         if any(p.last > number for p in self.parts()):
             raise ValueError(f"batch {number} comes after a later one")
         rows = sized(self._incoming(batch, ts, seq, removed), "feed-batch")
-        touched = sized(rows.groupBy(*self.keys, "__bucket").agg(F.min("__ts").alias("__reach")), "touched-keys")
-        buckets = [r[0] for r in touched.select("__bucket").distinct().collect()]  # at most as many as the store has
-        entering = self._entering(touched, buckets)
-        replayed = self._replayed(entering.unionByName(rows, allowMissingColumns=True))
+        replayed = self._replayed(self._met(rows, number))
         changed = replayed.where(
             F.col("__was").isNull() | ~F.struct("__seq", "__kind", "__until").eqNullSafe(F.col("__was"))
         )
@@ -136,50 +133,52 @@ class FeedStore:
         gone = F.lit(False) if removed is None else F.coalesce(removed, F.lit(False))
         valid = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in self.keys))
         known = set(batch.columns)
-        rows = batch.where(valid & F.col(ts).isNotNull()).select(
+        return batch.where(valid & F.col(ts).isNotNull()).select(
             *self.keys,
             *[F.when(~gone, F.col(c)).alias(c) for c in self.tracked],
             *[(F.col(c) if c in known else F.lit(None)).cast(self.schema[c].dataType).alias(c) for c in self.carried],
             F.col(ts).cast(self.schema["__ts"].dataType).alias("__ts"), F.col(seq).cast("bigint").alias("__seq"), gone.alias("__gone"),
             F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("__bucket"),
         )
-        # Of rows with one number too, the one that compares greatest.
-        order = ["__seq", "__gone", *self.tracked, *self.carried]
-        return latest_per_key(rows, [*self.keys, "__ts"], order)
-
-    def _entering(self, touched: DataFrame, buckets: list[int]) -> DataFrame:
-        """The touched keys' stored rows from the last change before the batch's earliest row on."""
-        rows = self._read(self.parts(), buckets).join(touched.drop("__bucket"), self.keys)
-        stored = sized(self._newest(rows), "touched-rows")
-        change = (F.col("__ts") < F.col("__reach")) & (F.col("__kind") != SILENT)
-        anchors = stored.where(change).groupBy(*self.keys).agg(F.max("__ts").alias("__anchor"))
-        met = stored.join(anchors, self.keys, "left").where(F.col("__anchor").isNull() | (F.col("__ts") >= F.col("__anchor")))
-        was = F.struct("__seq", "__kind", "__until").alias("__was")
-        return met.select(
-            *self.keys, *self.tracked, *self.carried, "__ts", "__seq", "__gone", "__bucket", was,
-            (F.col("__ts") == F.col("__anchor")).alias("__anchored"),
-        )
+
+    def _met(self, rows: DataFrame, number: int) -> DataFrame:
+        """The batch's rows and the stored ones of their keys, these with what they were (``__was``)."""
+        was = F.struct("__seq", "__kind", "__until")
+        columns = [*self.keys, *self.tracked, *self.carried, "__ts", "__seq", "__gone", "__bucket", "__batch"]
+        held = self._read(self.parts(), []).select(*columns, was.alias("__was"))
+        come = rows.withColumn("__batch", F.lit(number).cast("bigint"))
+        come = come.select(*columns, F.lit(None).cast(held.schema["__was"].dataType).alias("__was"))
+        if not self.parts():
+            return come
+        buckets = [r[0] for r in rows.select("__bucket").distinct().collect()]  # at most as many as the store has
+        touched = sized(rows.select(*self.keys).distinct(), "touched-keys")
+        held = self._read(self.parts(), buckets).join(touched, self.keys, "left_semi").select(*columns, was.alias("__was"))
+        # Stored, because keys are counted before they are replayed.
+        return sized(held.unionByName(come), "feed-rows")
 
     def _replayed(self, rows: DataFrame) -> DataFrame:
-        """Rows with their kind and the end of their version, from what stands before and after each."""
-        was = rows.groupBy(*self.keys, "__ts").agg(F.max("__was").alias("__was"), F.max("__anchored").alias("__anchored"))
-        order = ["__seq", "__gone", *self.tracked, *self.carried]
-        once = latest_per_key(rows.drop("__was", "__anchored"), [*self.keys, "__ts"], order)
-        # Stored, because keys are counted and every row is looked at from both sides.
-        once = sized(once.join(was, [*self.keys, "__ts"]), "feed-rows")
-        state = F.struct("__gone", *self.tracked)
-        cut = split_hot_keys(once.withColumn("__state", state), self.keys, in_time_chunks(once, "__ts"), self.hot_rows)
-        seen = with_neighbours(cut, self.keys, ["__ts"], previous={"__state": "__last"})
-        turns = F.coalesce("__anchored", F.lit(False)) | F.when(F.col("__last").isNull(), ~F.col("__gone")).otherwise(
-            ~F.col("__state").eqNullSafe(F.col("__last"))
+        """One row per key and time with its kind and the end of its version, from what stands before and after each.
+
+        One shuffle by key: every window below works on rows that lie together.
+        """
+        cut = split_hot_keys(rows, self.keys, in_time_chunks(rows, "__ts"), self.hot_rows)
+        group = [*self.keys, *[c for c in cut.columns if c == "__chunk"]]
+        cut = cut.repartition(*group)
+        # Of rows with one number too, the one that compares greatest; of stored copies the newest part's.
+        at_once = Window.partitionBy(*group, "__ts").orderBy("__seq", "__gone", *self.tracked, *self.carried, "__batch")
+        upto = at_once.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        once = cut.withColumns({"__was": F.last("__was", ignorenulls=True).over(upto), "__more": F.lead(F.lit(True)).over(at_once)})
+        once = once.where(F.col("__more").isNull()).drop("__more", "__batch")
+        seen = with_neighbours(
+            once.withColumn("__state", F.struct("__gone", *self.tracked)), self.keys, ["__ts"], previous={"__state": "__last"}
         )
+        turns = F.when(F.col("__last").isNull(), ~F.col("__gone")).otherwise(~F.col("__state").eqNullSafe(F.col("__last")))
         kind = F.when(~turns, SILENT).when(F.col("__gone"), END).otherwise(VERSION)
-        seen = seen.withColumn("__kind", kind).drop("__state", "__last")
-        timed = with_neighbours(seen.where(F.col("__kind") != SILENT), self.keys, ["__ts"], following={"__ts": "__until"})
-        quiet = seen.where(F.col("__kind") == SILENT).withColumn("__until", F.lit(None).cast(self.schema["__ts"].dataType))
-        done = timed.unionByName(quiet)
+        seen = seen.withColumn("__kind", kind).drop("__state", "__last").withColumn("__silent", F.col("__kind") == SILENT)
+        # Changes follow changes; silent rows, which have no end, are a sequence of their own.
+        timed = with_neighbours(seen, [*self.keys, "__silent"], ["__ts"], following={"__ts": "__until"})
         # An end has no end of its own.
-        return done.withColumn("__until", F.when(F.col("__kind") == VERSION, F.col("__until")))
+        return timed.withColumn("__until", F.when(F.col("__kind") == VERSION, F.col("__until"))).drop("__silent")
 
     # --- reading -------------------------------------------------------------------------
 

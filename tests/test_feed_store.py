@@ -124,3 +124,14 @@ def test_followed_feed(spark, tmp_path):
             S.append(frame(spark, part), source)
         follow_feed(spark, source, frame(spark, rows).schema, store, progress, "ts", "seq", F.col("gone"))
         assert as_set(store.versions()) == replay(spark, rows[::2] if part == rows[::2] else rows)
+
+
+def test_a_replay_shuffles_its_rows_once(spark, tmp_path):
+    store = store_at(spark, tmp_path / "s")
+    rows = feed(4, 40, "pq")
+    store.apply(0, frame(spark, rows[::2]), "ts", "seq", F.col("gone"))
+    plan = store._replayed(store._met(store._incoming(frame(spark, rows[1::2]), "ts", "seq", F.col("gone")), 1))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Aggregate" not in text
+    store.apply(1, frame(spark, rows[1::2]), "ts", "seq", F.col("gone"))
+    assert as_set(store.versions()) == replay(spark, rows)
