@@ -173,3 +173,15 @@ def test_user_store(spark, tmp_path):
     for number, batch in enumerate(("b2", "b1", "b0")):
         D.advance(store, number, rows.where(F.col("batch_id") == batch))
     assert as_set(store.versions(), *whole.columns) == as_set(whole)
+
+
+def test_landed_snapshots_are_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    from rosterline.plans import lifecycles
+
+    monkeypatch.setattr(lifecycles, "FILE_ROWS", 100)
+    rows = spark.range(1000).selectExpr("concat('group ', id DIV 100) AS groupId", "concat('user ', id) AS userId")
+    landed = lifecycles._land(spark, str(tmp_path), "sharepoint_groups_v1", rows.coalesce(1))
+    files = [f for f in tmp_path.rglob("*") if f.is_file() and f.name.startswith("part-")]
+    assert len(files) == 10 and all(f.name.endswith(".json.gz") for f in files)
+    assert {(r.groupId, r.userId) for r in landed.collect()} == {(r.groupId, r.userId) for r in rows.collect()}
+    assert landed.count() == 1000
